@@ -99,3 +99,94 @@ ORACLE: dict[str, str] = {
     "performance_trends": f"with {A}, {DAILY_TRAFFIC_CTE}, {TRENDS_CTE} select * from tr",
     "anomalies": f"with {A}, {DAILY_TRAFFIC_CTE}, {TRENDS_CTE} select * from an",
 }
+
+
+# --- window reports (C7-C10) ---------------------------------------------------
+
+AS_OF = "2024-01-15"
+DATE_FILTERS = {
+    "today": "event_date = date '2024-01-15'",
+    "yesterday": "event_date = date '2024-01-14'",
+    "last7days": "event_date between date '2024-01-08' and date '2024-01-15'",
+}
+
+
+def report_sql(keys: list[str], window: str, campaign: str | None = None) -> str:
+    df = DATE_FILTERS[window]
+    k = ", ".join(keys)
+    sel = "".join(f"{x}, " for x in keys)
+    on = " and ".join(f"t.{x} = c.{x}" for x in keys)
+    tsel = "".join(f"t.{x}, " for x in keys)
+    where = f"where t.campaign_id = '{campaign}'" if campaign else ""
+    group = f"group by {k}" if keys else ""
+    join = f"left join sp_conv c on {on}" if keys else ", sp_conv c"
+    return f"""with {A},
+sp_conv as (
+  select {sel}cast(sum(conversions) as bigint) as total_order, cast(sum(sales) as decimal(38,4)) as total_sales,
+         cast(sum(units) as bigint) as total_units
+  from conversion where {df} {group}),
+sp_traff as (
+  select {sel}cast(sum(impressions) as bigint) as total_impression, cast(sum(cost) as decimal(38,4)) as total_cost,
+         cast(sum(clicks) as bigint) as total_click
+  from traffic where {df} {group})
+select {tsel}t.total_impression, t.total_click, cast(round(t.total_cost, 2) as decimal(38,2)) as spend,
+       c.total_order, cast(round(c.total_sales, 2) as decimal(38,2)) as sales, c.total_units,
+       {ratio('t.total_cost', 'c.total_sales', True)} as acos,
+       {ratio('c.total_sales', 't.total_cost')} as roas,
+       {ratio('c.total_order', 't.total_click', True)} as conversion,
+       {ratio('t.total_click', 't.total_impression', True)} as ctr
+from sp_traff t {join} {where}"""
+
+
+KW_ORDER = ("order by cost desc nulls last, campaign_id nulls last, keyword_id nulls last, "
+            "keyword_text nulls last, match_type nulls last limit 10")
+KW_RATIOS = f"""{ratio('cost', 'sales', True)} as acos, {ratio('sales', 'cost')} as roas,
+       {ratio('conversions', 'clicks', True)} as conversion_rate,
+       {ratio('clicks', 'impressions', True)} as ctr"""
+
+
+def keyword_attributed_sql(campaign: str | None = None, keyword: str | None = None) -> str:
+    df = DATE_FILTERS["last7days"]
+    cf = f"and campaign_id = '{campaign}'" if campaign else ""
+    kf = f"and keyword_text like '%{keyword}%'" if keyword else ""
+    return f"""with {A},
+tk as (
+  select campaign_id, keyword_id, keyword_text, match_type,
+         cast(sum(impressions) as bigint) as impressions, cast(sum(clicks) as bigint) as clicks,
+         cast(sum(cost) as decimal(38,4)) as cost
+  from traffic where {df} and keyword_text is not null {cf} {kf}
+  group by campaign_id, keyword_id, keyword_text, match_type),
+ck as (
+  select campaign_id, keyword_id, cast(sum(conversions) as bigint) as conversions,
+         cast(sum(sales) as decimal(38,4)) as sales
+  from conversion where {df} {cf} group by campaign_id, keyword_id),
+j as (select tk.*, ck.conversions, ck.sales from tk left join ck using (campaign_id, keyword_id))
+select *, {KW_RATIOS} from j {KW_ORDER}"""
+
+
+# The reference's raw join, pairs and all: DuckDB enumerates every pair here.
+KEYWORD_AS_WRITTEN_SQL = f"""with {A},
+j as (
+  select t.campaign_id, t.keyword_id, t.keyword_text, t.match_type,
+         cast(sum(t.impressions) as bigint) as impressions, cast(sum(t.clicks) as bigint) as clicks,
+         cast(sum(t.cost) as decimal(38,4)) as cost,
+         cast(sum(c.conversions) as bigint) as conversions, cast(sum(c.sales) as decimal(38,4)) as sales
+  from traffic t
+  left join conversion c
+    on t.campaign_id = c.campaign_id and t.ad_group_id = c.ad_group_id
+   and t.time_window_start = c.time_window_start
+  where t.{DATE_FILTERS['last7days']} and t.keyword_text is not null
+  group by t.campaign_id, t.keyword_id, t.keyword_text, t.match_type)
+select *, {KW_RATIOS} from j {KW_ORDER}"""
+
+ORACLE.update({
+    "report_today": report_sql(["campaign_id", "ad_group_id"], "today"),
+    "report_yesterday": report_sql(["campaign_id", "ad_group_id"], "yesterday"),
+    "report_last7days": report_sql(["campaign_id", "ad_group_id"], "last7days"),
+    "campaign_report": report_sql(["campaign_id"], "last7days"),
+    "campaign_report_one": report_sql(["campaign_id"], "yesterday", "7"),
+    "account_report": report_sql([], "last7days"),
+    "keyword_report_attributed": keyword_attributed_sql(),
+    "keyword_report_as_written": KEYWORD_AS_WRITTEN_SQL,
+    "keyword_search": keyword_attributed_sql("7", "kw 1"),
+})

@@ -48,3 +48,60 @@ QUERIES: dict[str, Query] = {
     "performance_trends": q_performance_trends,
     "anomalies": q_anomalies,
 }
+
+
+# --- window reports (C7-C10) ---------------------------------------------------
+
+from adlens.functions.dates import window_bounds  # noqa: E402
+from adlens.operators import reports  # noqa: E402
+
+ONE_CAMPAIGN = "7"
+KEYWORD_TERM = "kw 1"
+
+
+def _window_tables(spark, sf_dir, window):
+    """Adapter tables with the window's dates pushed to the scan as a ts range."""
+    return ad_tables(spark, sf_dir, date_range=window_bounds(window, AS_OF))
+
+
+def _ad_group_report(window):
+    def q(spark, sf_dir):
+        t, c = _window_tables(spark, sf_dir, window)
+        return reports.ad_group_report(t, c, window, AS_OF)
+    return q
+
+
+def q_campaign_report(spark, sf_dir):
+    t, c = _window_tables(spark, sf_dir, "last7days")
+    return reports.campaign_report(t, c, "last7days", AS_OF)
+
+
+def q_campaign_report_one(spark, sf_dir):
+    t, c = _window_tables(spark, sf_dir, "yesterday")
+    return reports.campaign_report(t, c, "yesterday", AS_OF, campaign_id=ONE_CAMPAIGN)
+
+
+def q_account_report(spark, sf_dir):
+    t, c = _window_tables(spark, sf_dir, "last7days")
+    return reports.account_report(t, c, "last7days", AS_OF)
+
+
+def _keyword_report(mode, campaign_id=None, keyword=None):
+    def q(spark, sf_dir):
+        t, c = _window_tables(spark, sf_dir, "last7days")
+        return reports.keyword_report(t, c, "last7days", AS_OF, campaign_id=campaign_id,
+                                      keyword=keyword, limit=10, mode=mode)
+    return q
+
+
+QUERIES.update({
+    "report_today": _ad_group_report("today"),
+    "report_yesterday": _ad_group_report("yesterday"),
+    "report_last7days": _ad_group_report("last7days"),
+    "campaign_report": q_campaign_report,
+    "campaign_report_one": q_campaign_report_one,
+    "account_report": q_account_report,
+    "keyword_report_attributed": _keyword_report("attributed"),
+    "keyword_report_as_written": _keyword_report("as_written"),
+    "keyword_search": _keyword_report("attributed", ONE_CAMPAIGN, KEYWORD_TERM),
+})
