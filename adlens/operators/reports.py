@@ -24,8 +24,10 @@ REPORT_COLUMNS = ["total_impression", "total_click", "spend", "total_order", "sa
                   "total_units", "acos", "roas", "conversion", "ctr"]
 
 
-def _scope(df: DataFrame, window: str, as_of, campaign_id, bounded: bool) -> DataFrame:
-    df = df.filter(window_filter(window, as_of, bounded=bounded))
+def _scope(df: DataFrame, window: str | None, as_of, campaign_id, bounded: bool) -> DataFrame:
+    """Rows of the report window (all rows for ``window=None``) and the campaign, if any."""
+    if window is not None:
+        df = df.filter(window_filter(window, as_of, bounded=bounded))
     if campaign_id is not None:
         df = df.filter(F.col("campaign_id") == F.lit(str(campaign_id)))
     return df

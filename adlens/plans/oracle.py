@@ -111,31 +111,37 @@ DATE_FILTERS = {
 }
 
 
-def report_sql(keys: list[str], window: str, campaign: str | None = None) -> str:
-    df = DATE_FILTERS[window]
+def report_cte(keys: list[str], window: str | None, campaign: str | None = None,
+               name: str = "rep") -> str:
+    """CTEs ending in ``name``: the reference's report query at the grain of ``keys``."""
+    df = f"where {DATE_FILTERS[window]}" if window else ""
     k = ", ".join(keys)
     sel = "".join(f"{x}, " for x in keys)
     on = " and ".join(f"t.{x} = c.{x}" for x in keys)
     tsel = "".join(f"t.{x}, " for x in keys)
     where = f"where t.campaign_id = '{campaign}'" if campaign else ""
     group = f"group by {k}" if keys else ""
-    join = f"left join sp_conv c on {on}" if keys else ", sp_conv c"
-    return f"""with {A},
-sp_conv as (
+    join = f"left join {name}_conv c on {on}" if keys else f", {name}_conv c"
+    return f"""{name}_conv as (
   select {sel}cast(sum(conversions) as bigint) as total_order, cast(sum(sales) as decimal(38,4)) as total_sales,
          cast(sum(units) as bigint) as total_units
-  from conversion where {df} {group}),
-sp_traff as (
+  from conversion {df} {group}),
+{name}_traff as (
   select {sel}cast(sum(impressions) as bigint) as total_impression, cast(sum(cost) as decimal(38,4)) as total_cost,
          cast(sum(clicks) as bigint) as total_click
-  from traffic where {df} {group})
-select {tsel}t.total_impression, t.total_click, cast(round(t.total_cost, 2) as decimal(38,2)) as spend,
-       c.total_order, cast(round(c.total_sales, 2) as decimal(38,2)) as sales, c.total_units,
-       {ratio('t.total_cost', 'c.total_sales', True)} as acos,
-       {ratio('c.total_sales', 't.total_cost')} as roas,
-       {ratio('c.total_order', 't.total_click', True)} as conversion,
-       {ratio('t.total_click', 't.total_impression', True)} as ctr
-from sp_traff t {join} {where}"""
+  from traffic {df} {group}),
+{name} as (
+  select {tsel}t.total_impression, t.total_click, cast(round(t.total_cost, 2) as decimal(38,2)) as spend,
+         c.total_order, cast(round(c.total_sales, 2) as decimal(38,2)) as sales, c.total_units,
+         {ratio('t.total_cost', 'c.total_sales', True)} as acos,
+         {ratio('c.total_sales', 't.total_cost')} as roas,
+         {ratio('c.total_order', 't.total_click', True)} as conversion,
+         {ratio('t.total_click', 't.total_impression', True)} as ctr
+  from {name}_traff t {join} {where})"""
+
+
+def report_sql(keys: list[str], window: str, campaign: str | None = None) -> str:
+    return f"with {A}, {report_cte(keys, window, campaign)} select * from rep"
 
 
 KW_ORDER = ("order by cost desc nulls last, campaign_id nulls last, keyword_id nulls last, "
@@ -190,3 +196,206 @@ ORACLE.update({
     "keyword_report_as_written": KEYWORD_AS_WRITTEN_SQL,
     "keyword_search": keyword_attributed_sql("7", "kw 1"),
 })
+
+
+# --- summary, alerts, rules, history (C11-C17) -----------------------------------
+
+REP7 = report_cte(["campaign_id", "ad_group_id"], "last7days")
+SUMMARY_COLS = ("total_campaigns, total_ad_groups, total_impressions, total_clicks, total_spend, "
+                "total_orders, total_sales, total_units, overall_acos, overall_roas, "
+                "overall_conversion, overall_ctr")
+
+
+def sql_text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def num_text(x: str) -> str:
+    """Same text as ``metrics.num_text``: two decimals, one trailing zero dropped."""
+    return f"regexp_replace(printf('%.2f', cast({x} as double)), '(\\.\\d)0$', '\\1')"
+
+
+def value_text(x: str) -> str:
+    return f"case when {x} is null then '0' else {num_text(x)} end"
+
+
+def summary_cte(source: str, by: str | None = None) -> str:
+    group = f"group by {by}" if by else ""
+    sel = f"{by}, " if by else ""
+
+    def of_sums(num, den, pct):
+        q = f"cast({num} as double) / cast({den} as double)" + (" * 100.0" if pct else "")
+        return f"case when {den} > 0 then {r2(q)} else 0.0 end"
+
+    return f"""summ0 as (
+  select {sel}count(distinct campaign_id) as total_campaigns, count(distinct ad_group_id) as total_ad_groups,
+         coalesce(cast(sum(total_impression) as bigint), 0) as total_impressions,
+         coalesce(cast(sum(total_click) as bigint), 0) as total_clicks,
+         coalesce(cast(sum(spend) as decimal(38,2)), 0) as total_spend,
+         coalesce(cast(sum(total_order) as bigint), 0) as total_orders,
+         coalesce(cast(sum(sales) as decimal(38,2)), 0) as total_sales,
+         coalesce(cast(sum(total_units) as bigint), 0) as total_units,
+         count(*) as report_rows,
+         count(*) filter (where roas < 2.0) as low_performing,
+         count(*) filter (where roas >= 2.0 and roas < 4.0) as average_performing,
+         count(*) filter (where roas >= 4.0) as high_performing,
+         count(*) filter (where acos > 35.0) as high_acos,
+         count(*) filter (where acos <= 35.0 and acos > 20.0) as target_acos,
+         count(*) filter (where acos <= 20.0) as low_acos
+  from {source} {group}),
+summ as (
+  select *, {of_sums('total_spend', 'total_sales', True)} as overall_acos,
+            {of_sums('total_sales', 'total_spend', False)} as overall_roas,
+            {of_sums('total_orders', 'total_clicks', True)} as overall_conversion,
+            {of_sums('total_clicks', 'total_impressions', True)} as overall_ctr
+  from summ0)"""
+
+
+def _acc_alert(level, kind, cond, *parts):
+    msg = " || ".join(parts)
+    return (f"select '{level}' as level, '{kind}' as type, cast(null as varchar) as campaign_id, "
+            f"cast(null as varchar) as ad_group_id, {msg} as message from acc where {cond}")
+
+
+ROAS_T = f"(case when total_spend > 0 then {num_text('overall_roas')} else '0' end)"
+ACOS_T = f"(case when total_sales > 0 then {num_text('overall_acos')} else '0' end)"
+SPEND_T = num_text("total_spend")
+
+ALERTS_CTE = f"""{summary_cte('rep')},
+acc as (select * from summ where report_rows > 0),
+acc_alerts as (
+  {_acc_alert('CRITICAL', 'ROAS', 'overall_roas < 1.0',
+              sql_text('Overall ROAS is critically low at '), ROAS_T, sql_text(' (threshold: 1.0)'))}
+  union all
+  {_acc_alert('WARNING', 'ROAS', 'overall_roas >= 1.0 and overall_roas < 2.0',
+              sql_text('Overall ROAS is below target at '), ROAS_T, sql_text(' (threshold: 2.0)'))}
+  union all
+  {_acc_alert('CRITICAL', 'ACOS', 'overall_acos > 50.0',
+              sql_text('Overall ACOS is critically high at '), ACOS_T, sql_text('% (threshold: 50.0%)'))}
+  union all
+  {_acc_alert('WARNING', 'ACOS', 'overall_acos <= 50.0 and overall_acos > 35.0',
+              sql_text('Overall ACOS is above target at '), ACOS_T, sql_text('% (threshold: 35.0%)'))}
+  union all
+  {_acc_alert('CRITICAL', 'SPEND', 'total_spend > 1000',
+              sql_text('Daily spend is critically high at $'), SPEND_T, sql_text(' (threshold: $1000.0)'))}
+  union all
+  {_acc_alert('WARNING', 'SPEND', 'total_spend <= 1000 and total_spend > 500',
+              sql_text('Daily spend is high at $'), SPEND_T, sql_text(' (threshold: $500.0)'))}),
+row_alerts as (
+  select 'WARNING' as level, 'CAMPAIGN' as type, campaign_id, ad_group_id,
+         'Campaign ' || campaign_id || ' has high spend ($' || {value_text('spend')} || ') with low ROAS ('
+           || {value_text('roas')} || ')' as message
+  from rep where coalesce(cast(spend as double), 0.0) > 100 and coalesce(roas, 0.0) < 2.0
+  union all
+  select 'CRITICAL', 'CAMPAIGN', campaign_id, ad_group_id,
+         'Campaign ' || campaign_id || ' has very poor performance: ROAS ' || {value_text('roas')}
+           || ', ACOS ' || {value_text('acos')} || '%'
+  from rep where coalesce(cast(spend as double), 0.0) > 50 and coalesce(roas, 0.0) < 1.0),
+all_alerts as (select * from acc_alerts union all select * from row_alerts)"""
+
+NL = "chr(10)"
+ALERT_DIGEST_SQL = f"""with {A}, {REP7}, {ALERTS_CTE},
+body as (
+  select level, 1 as part, case when type = 'CAMPAIGN' then 1 else 0 end as source,
+         cast(case type when 'ROAS' then 1 when 'ACOS' then 2 when 'SPEND' then 3 else 4 end as bigint)
+           as type_rank,
+         campaign_id, ad_group_id, '- ' || message || {NL} as fragment
+  from all_alerts),
+lv as (select distinct level from body)
+select level, 0 as part, 0 as source, cast(0 as bigint) as type_rank, cast(null as varchar) as campaign_id,
+       cast(null as varchar) as ad_group_id,
+       case level when 'CRITICAL' then {sql_text('🚨 CRITICAL ALERTS 🚨')} || {NL} || {NL}
+                  else {sql_text('⚠️ WARNING ALERTS ⚠️')} || {NL} || {NL} end as fragment
+from lv
+union all select * from body
+union all
+select level, 2, 0, cast(0 as bigint), cast(null as varchar), cast(null as varchar),
+       case level when 'CRITICAL' then {NL} || 'Immediate action recommended!'
+                  else {NL} || 'Please review and take appropriate action.' end
+from lv"""
+
+ANOMALY_DIGEST_SQL = f"""with {A}, {DAILY_TRAFFIC_CTE}, {TRENDS_CTE},
+fl as (select * from an where has_anomaly = 1),
+top as (select * from fl order by date, campaign_id, ad_group_id limit 10),
+blocks as (
+  select string_agg('Campaign ' || campaign_id || ' on ' || strftime(date, '%Y-%m-%d') || ':' || {NL}
+           || (case when ctr_anomaly = 1 then '- CTR anomaly detected' || {NL} else '' end)
+           || (case when acos_anomaly = 1 then '- ACOS anomaly detected' || {NL} else '' end)
+           || (case when conversion_anomaly = 1 then '- Conversion rate anomaly detected' || {NL} else '' end)
+           || {NL}, '' order by date, campaign_id, ad_group_id) as txt
+  from top),
+cnt as (select count(*) as anomaly_count from fl)
+select anomaly_count, {sql_text('🚨 Alert: ')} || cast(anomaly_count as varchar)
+         || ' campaigns have performance anomalies!' || {NL} || {NL} || coalesce(txt, '') as message
+from cnt, blocks where anomaly_count > 0"""
+
+
+def rules_sql(source: str, keys: str, extra: str = "") -> str:
+    """One union branch per default rule; metrics missing -> 0."""
+    m = {x: f"coalesce({x}, 0.0)" for x in ("acos", "roas", "conversion", "ctr")}
+    branches = [
+        ("decrease_bid", 20, "roas < 1.0", f"{m['roas']} < 1.0",
+         "ROAS below 1 is losing money, decrease bids by 20%"),
+        ("increase_bid", 10, "roas >= 4.0", f"{m['roas']} >= 4.0",
+         "ROAS above 4 is performing well, increase bids by 10% to gain more volume"),
+        ("decrease_bid", 15, "acos > 40.0", f"{m['acos']} > 40.0",
+         "ACOS above 40% is concerning, decrease bids by 15%"),
+        ("increase_bid", 15, "conversion > 10.0 and roas >= 3.0",
+         f"{m['conversion']} > 10.0 and {m['roas']} >= 3.0",
+         "High conversion rate with good ROAS, increase bids by 15% to gain more volume"),
+    ]
+    metric_cols = (f"{m['acos']} as acos, {m['roas']} as roas, {m['conversion']} as conversion, "
+                   f"{m['ctr']} as ctr, ") if extra else ""
+    parts = []
+    for action, pct, cond_text, cond, desc in branches:
+        d = f", {sql_text(desc)} as description" if extra else ""
+        parts.append(f"select {keys}, {metric_cols}'{action}' as action, {pct} as percentage{d}, "
+                     f"{sql_text('Rule triggered: ' + cond_text)} as reason from {source} where {cond}")
+    return "\nunion all\n".join(parts)
+
+
+def history_sql(keep: int) -> str:
+    rep_d = report_cte(["campaign_id", "ad_group_id", "event_date"], None)
+    return f"""with {A}, {rep_d}, {summary_cte('rep', 'event_date')},
+ranked as (select *, row_number() over (order by event_date desc) as rn from summ)
+select 'all' as account_id, cast(event_date as timestamp) as timestamp, {SUMMARY_COLS},
+       low_performing, average_performing, high_performing, high_acos, target_acos, low_acos
+from ranked where rn <= {keep}"""
+
+
+ORACLE.update({
+    "account_summary": f"with {A}, {REP7}, {summary_cte('rep')} select {SUMMARY_COLS} from summ",
+    "roas_distribution": f"with {A}, {REP7}, {summary_cte('rep')} "
+                         "select low_performing, average_performing, high_performing from summ",
+    "acos_distribution": f"with {A}, {REP7}, {summary_cte('rep')} "
+                         "select high_acos, target_acos, low_acos from summ",
+    "account_alerts": f"with {A}, {REP7}, {ALERTS_CTE} select * from acc_alerts",
+    "row_alerts": f"with {A}, {REP7}, {ALERTS_CTE} select * from row_alerts",
+    "alert_counts": f"with {A}, {REP7}, {ALERTS_CTE} "
+                    "select level, count(*) as alert_count from all_alerts group by level",
+    "alert_digest": ALERT_DIGEST_SQL,
+    "anomaly_digest": ANOMALY_DIGEST_SQL,
+    "bid_adjustments": f"with {A}, {REP7} {rules_sql('rep', 'campaign_id, ad_group_id')}",
+    "rules_from_json": f"with {A}, {REP7} {rules_sql('rep', 'campaign_id, ad_group_id')}",
+    "bid_recommendations": f"with {A}, {report_cte(['campaign_id'], 'last7days')} "
+                           f"{rules_sql('rep', 'campaign_id', extra='metrics')}",
+    "history_last30": history_sql(30),
+    "history_latest10": history_sql(10),
+    "text_to_number": """select event_id, json_extract_string(props, '$.k') as k_text,
+       try_cast(json_extract_string(props, '$.k') as double) as k_number,
+       try_cast(props as double) as props_number
+from events""",
+    "parquet_roundtrip": ORACLE["daily_performance"],
+    "csv_roundtrip": ORACLE["daily_traffic"],
+})
+
+
+def _adhoc_oracle() -> str:
+    from adlens.plans.registry import ADHOC_BODY, ADHOC_DAYS
+    body = ADHOC_BODY
+    for name, day in ADHOC_DAYS.items():
+        body = body.replace(f":{name}", f"date '{day.isoformat()}'")
+    return f"with {A}, {body}"
+
+
+ORACLE["adhoc_sql"] = _adhoc_oracle()

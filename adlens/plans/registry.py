@@ -105,3 +105,153 @@ QUERIES.update({
     "keyword_report_as_written": _keyword_report("as_written"),
     "keyword_search": _keyword_report("attributed", ONE_CAMPAIGN, KEYWORD_TERM),
 })
+
+
+# --- summary, alerts, rules, history (C11-C17) -----------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from adlens.functions.text import to_number  # noqa: E402
+from adlens.operators import alerts, rules, summary  # noqa: E402
+from adlens.session import scratch_path  # noqa: E402
+from adlens.sources import config, history, readers  # noqa: E402
+
+
+def _report_last7(spark, sf_dir):
+    t, c = _window_tables(spark, sf_dir, "last7days")
+    return reports.ad_group_report(t, c, "last7days", AS_OF)
+
+
+def q_account_summary(spark, sf_dir):
+    return summary.account_summary(_report_last7(spark, sf_dir)).select(*summary.SUMMARY_COLUMNS)
+
+
+def q_roas_distribution(spark, sf_dir):
+    return summary.account_summary(_report_last7(spark, sf_dir)).select("roas_distribution.*")
+
+
+def q_acos_distribution(spark, sf_dir):
+    return summary.account_summary(_report_last7(spark, sf_dir)).select("acos_distribution.*")
+
+
+def q_account_alerts(spark, sf_dir):
+    return alerts.account_alerts(summary.account_summary(_report_last7(spark, sf_dir)))
+
+
+def q_row_alerts(spark, sf_dir):
+    return alerts.row_alerts(_report_last7(spark, sf_dir))
+
+
+def _all_alerts(spark, sf_dir):
+    report = _report_last7(spark, sf_dir)
+    return alerts.all_alerts(summary.account_summary(report), report)
+
+
+def q_alert_counts(spark, sf_dir):
+    return alerts.alert_counts(_all_alerts(spark, sf_dir))
+
+
+def q_alert_digest(spark, sf_dir):
+    return alerts.alert_digest(_all_alerts(spark, sf_dir))
+
+
+def q_anomaly_digest(spark, sf_dir):
+    return alerts.anomaly_digest(q_anomalies(spark, sf_dir))
+
+
+def q_bid_adjustments(spark, sf_dir):
+    return rules.bid_adjustments(_report_last7(spark, sf_dir))
+
+
+def q_bid_recommendations(spark, sf_dir):
+    t, c = _window_tables(spark, sf_dir, "last7days")
+    campaigns = reports.campaign_report(t, c, "last7days", AS_OF, ordered=False)
+    recs = rules.bid_recommendations(campaigns)
+    return recs.select("campaign_id", "current_metrics.*", "action", "percentage",
+                       "description", "reason")
+
+
+def q_rules_from_json(spark, sf_dir):
+    path = scratch_path(spark, "rules")
+    config.write_rules(spark, rules.DEFAULT_RULES, path)
+    return rules.bid_adjustments(_report_last7(spark, sf_dir), config.read_rules(spark, path))
+
+
+def _history(keep):
+    def q(spark, sf_dir):
+        t, c = ad_tables(spark, sf_dir)
+        per_day = reports.window_report(t, c, ["campaign_id", "ad_group_id", "event_date"], window=None)
+        daily_summaries = summary.account_summary(per_day, by=["event_date"])
+        entries = history.as_history(daily_summaries, "all", "event_date")
+        return history.latest(entries, keep).select(
+            "account_id", "timestamp", *summary.SUMMARY_COLUMNS,
+            "roas_distribution.*", "acos_distribution.*")
+    return q
+
+
+def q_text_to_number(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    k_text = F.get_json_object("props", "$.k")
+    return events.select("event_id", k_text.alias("k_text"), to_number(k_text).alias("k_number"),
+                         to_number("props").alias("props_number"))
+
+
+# Ad-hoc SQL over the registered views; values bound as parameters.
+ADHOC_BODY = """sp_conv AS (
+  SELECT campaign_id, event_date, CAST(SUM(conversions) AS BIGINT) AS total_order,
+         CAST(SUM(sales) AS DECIMAL(38,4)) AS total_sales
+  FROM conversion WHERE event_date BETWEEN :first_day AND :last_day
+  GROUP BY campaign_id, event_date),
+sp_traff AS (
+  SELECT campaign_id, event_date, CAST(SUM(impressions) AS BIGINT) AS total_impression,
+         CAST(SUM(cost) AS DECIMAL(38,4)) AS total_cost, CAST(SUM(clicks) AS BIGINT) AS total_click
+  FROM traffic WHERE event_date BETWEEN :first_day AND :last_day
+  GROUP BY campaign_id, event_date)
+SELECT t.campaign_id, t.event_date, t.total_impression, t.total_click,
+       CAST(ROUND(t.total_cost, 2) AS DECIMAL(38,2)) AS spend, c.total_order,
+       CAST(ROUND(c.total_sales, 2) AS DECIMAL(38,2)) AS sales
+FROM sp_traff t LEFT JOIN sp_conv c ON t.campaign_id = c.campaign_id AND t.event_date = c.event_date"""
+ADHOC_DAYS = {"first_day": _dt.date(2024, 1, 8), "last_day": _dt.date(2024, 1, 15)}
+
+
+def q_adhoc_sql(spark, sf_dir):
+    readers.register_views(*ad_tables(spark, sf_dir))
+    return readers.run_sql(spark, "WITH " + ADHOC_BODY, **ADHOC_DAYS)
+
+
+def q_parquet_roundtrip(spark, sf_dir):
+    df = daily.daily_performance(*ad_tables(spark, sf_dir))
+    path = scratch_path(spark, "daily_performance")
+    readers.write_table(df, path, "parquet", ["date"])
+    return readers.read_source(spark, path, "parquet", schema=df.schema)
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    traffic, _ = ad_tables(spark, sf_dir)
+    df = daily.daily_traffic(traffic)
+    path = scratch_path(spark, "daily_traffic_csv")
+    readers.write_table(df, path, "csv")
+    return readers.read_source(spark, path, "csv", schema=df.schema)
+
+
+QUERIES.update({
+    "account_summary": q_account_summary,
+    "roas_distribution": q_roas_distribution,
+    "acos_distribution": q_acos_distribution,
+    "account_alerts": q_account_alerts,
+    "row_alerts": q_row_alerts,
+    "alert_counts": q_alert_counts,
+    "alert_digest": q_alert_digest,
+    "anomaly_digest": q_anomaly_digest,
+    "bid_adjustments": q_bid_adjustments,
+    "bid_recommendations": q_bid_recommendations,
+    "rules_from_json": q_rules_from_json,
+    "history_last30": _history(history.HISTORY_KEEP),
+    "history_latest10": _history(10),
+    "text_to_number": q_text_to_number,
+    "adhoc_sql": q_adhoc_sql,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "csv_roundtrip": q_csv_roundtrip,
+})
