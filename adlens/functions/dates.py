@@ -24,7 +24,7 @@ def iso_to_timestamp(text) -> Column:
 def local_date(text) -> Column:
     """Date in the offset of the text itself (DT2)."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.try_to_date(F.substring(text, 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
 
 
 def date_text(date) -> Column:

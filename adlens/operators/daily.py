@@ -91,16 +91,21 @@ def performance_trends(daily: DataFrame, days: int = 7) -> DataFrame:
     the default), and rows are dates with data: gaps are not filled (D3).
     """
     prev = _series()
-    return daily.withColumns({
+    with_prev = daily.withColumns({
         "avg_ctr_7d": trailing_avg("ctr", days),
         "avg_conversion_rate_7d": trailing_avg("conversion_rate", days),
         "avg_acos_7d": trailing_avg("acos", days),
         "avg_roas_7d": trailing_avg("roas", days),
-        "impressions_change": M.change_pct(
-            "total_impressions", F.lag("total_impressions", 1).over(prev), zero_base_as_one=True),
-        "cost_change": M.change_pct("total_cost", F.lag("total_cost", 1).over(prev)),
-        "sales_change": M.change_pct("sales_1d", F.lag("sales_1d", 1).over(prev)),
+        "_prev_impressions": F.lag("total_impressions", 1).over(prev),
+        "_prev_cost": F.lag("total_cost", 1).over(prev),
+        "_prev_sales": F.lag("sales_1d", 1).over(prev),
     })
+    return with_prev.withColumns({
+        "impressions_change": M.change_pct("total_impressions", "_prev_impressions",
+                                           zero_base_as_one=True),
+        "cost_change": M.change_pct("total_cost", "_prev_cost"),
+        "sales_change": M.change_pct("sales_1d", "_prev_sales"),
+    }).drop("_prev_impressions", "_prev_cost", "_prev_sales")
 
 
 def anomalies(trends: DataFrame, thresholds: dict[str, float] | None = None) -> DataFrame:
