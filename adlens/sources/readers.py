@@ -18,11 +18,15 @@ CONVERSION_VIEW = "conversion"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header row, explicit schema."""
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+    """CSV with a header row, typed by a declared schema.
+
+    Columns are matched by header name, not by position (deliveries carry
+    many more columns, in their own order), and nothing is inferred: each
+    declared column is read as text and converted with ``try_cast``, so one
+    malformed value becomes null instead of failing the job.
+    """
+    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
