@@ -47,13 +47,23 @@ def _as_date(d) -> _dt.date:
     return d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d))
 
 
+def _hour_start(ts):
+    """Start of the hour of a TIMESTAMP_NTZ, independent of the session time zone.
+
+    (``date_trunc`` would first convert to the session zone, so a zone with a
+    half-hour offset would move every hourly window.)
+    """
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                                F.lit(0), F.lit(0))
+
+
 def _base(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id",
         (F.col("user_id") % CAMPAIGN_MODULUS).cast("string").alias("campaign_id"),
         F.col("user_id").cast("string").alias("ad_group_id"),
         F.col("ts").cast("date").alias("event_date"),
-        F.date_trunc("hour", F.col("ts")).alias("time_window_start"),
+        _hour_start(F.col("ts")).alias("time_window_start"),
         "event_type",
         "value",
         F.get_json_object("props", "$.k").try_cast("bigint").alias("k"),
