@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adlens.functions.dates import date_text
 from adlens.functions.metrics import num_text, zero_if_null
 from adlens.functions.text import text, value_text
 from adlens.operators.daily import anomalous
@@ -147,7 +148,7 @@ def anomaly_digest(flags: DataFrame, limit: int = 10) -> DataFrame:
     flagged = anomalous(flags)
     block = F.concat(
         F.lit("Campaign "), F.col("campaign_id"), F.lit(" on "),
-        F.date_format("date", "yyyy-MM-dd"), F.lit(":\n"),
+        date_text("date"), F.lit(":\n"),
         *[F.when(F.col(c) == 1, F.lit(t)).otherwise(F.lit("")) for c, t in ANOMALY_LINES.items()],
         F.lit("\n"))
     first = (flagged.orderBy("date", "campaign_id", "ad_group_id").limit(limit)
