@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from adlens.operators import daily
-from adlens.sources.adapter import ad_tables
+from adlens.sources.adapter import ad_tables, read_events
 
 AS_OF = "2024-01-15"
 
@@ -192,7 +192,7 @@ def _history(keep):
 
 
 def q_text_to_number(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = read_events(spark, sf_dir)
     k_text = F.get_json_object("props", "$.k")
     return events.select("event_id", k_text.alias("k_text"), to_number(k_text).alias("k_number"),
                          to_number("props").alias("props_number"))

@@ -23,6 +23,16 @@ MONEY = T.DecimalType(18, 4)
 MONEY_SUM = T.DecimalType(38, 4)
 MONEY_2DP = T.DecimalType(38, 2)
 
+# The driver's ``events`` table, read by the test adapter (FIXTURES.md section 6).
+EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+])
+
 # Raw hourly traffic rows, as delivered (CSV or lake table).
 TRAFFIC_RAW = T.StructType([
     T.StructField("campaign_id", ID),

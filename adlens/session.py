@@ -27,6 +27,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Driver-side cost only: recording the Python call site of every Column
+    # call for error messages makes plan construction ~40% slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

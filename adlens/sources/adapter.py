@@ -17,7 +17,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.schema import MONEY
+from adlens.schema import EVENTS, MONEY
 
 # Fixed values of the adapter (FIXTURES.md section 6).
 CAMPAIGN_MODULUS = 19
@@ -27,7 +27,7 @@ COST_PER_CLICK_VALUE = 0.5
 
 
 def read_events(spark: SparkSession, sf_dir: str, date_range=None) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     if date_range is not None:
         events = events.filter(ts_range(events, *date_range))
     return events
