@@ -121,19 +121,18 @@ def alert_digest(alerts: DataFrame) -> DataFrame:
         F.when(F.col("type") == "CAMPAIGN", 1).otherwise(0).alias("source"),
         type_rank.alias("type_rank"), "campaign_id", "ad_group_id",
         F.concat(F.lit("- "), F.col("message"), F.lit("\n")).alias("fragment"))
-    levels = body.select("level").distinct()
     header = F.create_map(*[x for k, v in DIGEST_HEADER.items() for x in (F.lit(k), F.lit(v))])
     footer = F.create_map(*[x for k, v in DIGEST_FOOTER.items() for x in (F.lit(k), F.lit(v))])
-
-    def edge(part: int, texts: Column) -> DataFrame:
-        return levels.select(
-            "level", F.lit(part).alias("part"), F.lit(0).alias("source"),
-            F.lit(0).cast("bigint").alias("type_rank"),
-            F.lit(None).cast("string").alias("campaign_id"),
-            F.lit(None).cast("string").alias("ad_group_id"),
-            texts[F.col("level")].alias("fragment"))
-
-    return (edge(0, header).unionByName(body).unionByName(edge(2, footer))
+    level = F.col("level")
+    edges = (body.select("level").distinct()
+             .select("level", F.explode(F.array(
+                 F.struct(F.lit(0).alias("part"), header[level].alias("fragment")),
+                 F.struct(F.lit(2).alias("part"), footer[level].alias("fragment")))).alias("e"))
+             .select("level", "e.part", F.lit(0).alias("source"),
+                     F.lit(0).cast("bigint").alias("type_rank"),
+                     F.lit(None).cast("string").alias("campaign_id"),
+                     F.lit(None).cast("string").alias("ad_group_id"), "e.fragment"))
+    return (edges.unionByName(body)
             .orderBy("level", "part", "source", "type_rank",
                      F.asc_nulls_first("campaign_id"), F.asc_nulls_first("ad_group_id")))
 

@@ -20,6 +20,11 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast a join side only once its size is measured: never from the
+    # planner's estimate (compressed file bytes, no bound on the in-memory
+    # size), only when AQE has seen the side's actual shuffle output.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     # Driver-side cost only: recording the Python call site of every Column

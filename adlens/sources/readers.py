@@ -86,6 +86,11 @@ def arrival_lower_bound(first_date) -> Column:
     return arrival >= F.lit(str(first_date))
 
 
+def table(spark: SparkSession, name: str) -> DataFrame:
+    """Named table or view scan from the catalog."""
+    return spark.table(name)
+
+
 def register_views(traffic: DataFrame, conversion: DataFrame) -> None:
     """Expose the two canonical frames as the views ad-hoc SQL reads."""
     traffic.createOrReplaceTempView(TRAFFIC_VIEW)

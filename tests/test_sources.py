@@ -64,3 +64,14 @@ def test_history_keeps_newest_entries(spark):
     assert oldest == base + dt.timedelta(days=5)
     assert kept.filter(F.col("account_id") == "other").count() == 1
     assert history.history_read(spark, path, keep=3).count() == 4
+
+
+def test_named_tables_and_arrival_pruning(spark):
+    traffic, conversion = tables(spark)
+    readers.register_views(traffic, conversion)
+    assert readers.table(spark, readers.TRAFFIC_VIEW).count() == traffic.count()
+    assert readers.table(spark, readers.CONVERSION_VIEW).count() == conversion.count()
+    arrivals = spark.createDataFrame([("2025", "03", "07"), ("2025", "03", "10"), ("2025", "04", "07")],
+                                     "year string, month string, day string")
+    kept = arrivals.filter(readers.arrival_lower_bound(dt.date(2025, 3, 10))).collect()
+    assert [(r.month, r.day) for r in kept] == [("03", "10"), ("04", "07")]   # no upper bound: late rows
