@@ -47,14 +47,23 @@ def as_history(summary: DataFrame, account_id=DEFAULT_ACCOUNT, timestamp=None) -
 
 
 def history_append(summary: DataFrame, path: str, account_id=DEFAULT_ACCOUNT, timestamp=None) -> None:
-    """Append stamped summaries to the history table."""
+    """Append stamped summaries to the history table.
+
+    Pass the run's scheduled time as ``timestamp`` to make a retried run
+    harmless: ``latest`` keeps one entry per account and timestamp.
+    """
     as_history(summary, account_id, timestamp).write.mode("append").parquet(path)
 
 
 def latest(history: DataFrame, keep: int = HISTORY_KEEP) -> DataFrame:
-    """The newest ``keep`` entries of each account."""
+    """The newest ``keep`` entries of each account.
+
+    An entry appended twice with the same timestamp (a retried run that
+    passed its scheduled time as ``timestamp``) counts once.
+    """
     w = Window.partitionBy("account_id").orderBy(F.desc("timestamp"))
-    return (history.withColumn("_rank", F.row_number().over(w))
+    return (history.dropDuplicates(["account_id", "timestamp"])
+            .withColumn("_rank", F.row_number().over(w))
             .filter(F.col("_rank") <= keep).drop("_rank"))
 
 
