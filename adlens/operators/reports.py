@@ -20,9 +20,6 @@ CAMPAIGN_KEYS = ["campaign_id"]
 KEYWORD_KEYS = ["campaign_id", "keyword_id", "keyword_text", "match_type"]
 RAW_JOIN_KEYS = ["campaign_id", "ad_group_id", "time_window_start"]
 
-REPORT_COLUMNS = ["total_impression", "total_click", "spend", "total_order", "sales",
-                  "total_units", "acos", "roas", "conversion", "ctr"]
-
 
 def _scope(df: DataFrame, window: str | None, as_of, campaign_id, bounded: bool) -> DataFrame:
     """Rows of the report window (all rows for ``window=None``) and the campaign, if any."""

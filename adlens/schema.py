@@ -84,11 +84,3 @@ RULE = T.StructType([
     T.StructField("description", T.StringType()),
 ])
 RULES_DOCUMENT = T.StructType([T.StructField("default_rules", T.ArrayType(RULE))])
-
-ALERT = T.StructType([
-    T.StructField("level", T.StringType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("campaign_id", ID),
-    T.StructField("ad_group_id", ID),
-    T.StructField("message", T.StringType()),
-])

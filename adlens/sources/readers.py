@@ -23,10 +23,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     Columns are matched by header name, not by position (deliveries carry
     many more columns, in their own order), and nothing is inferred: each
     declared column is read as text and converted with ``try_cast``, so one
-    malformed value becomes null instead of failing the job.
+    malformed value becomes null instead of failing the job.  A declared
+    column the file does not have is null, as with a parquet scan.
     """
     text = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    present = set(text.columns)
+
+    def column(f: T.StructField) -> Column:
+        src = F.col(f"`{f.name}`") if f.name in present else F.lit(None)
+        return src.try_cast(f.dataType).alias(f.name)
+
+    return text.select(*[column(f) for f in schema.fields])
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -76,3 +76,28 @@ def test_named_tables_and_arrival_pruning(spark):
                                      "year string, month string, day string")
     kept = arrivals.filter(readers.arrival_lower_bound(dt.date(2025, 3, 10))).collect()
     assert [(r.month, r.day) for r in kept] == [("03", "10"), ("04", "07")]   # no upper bound: late rows
+
+
+def test_wide_conversion_csv_is_read_by_header_name(spark):
+    from adlens.schema import CONVERSION_RAW
+    path = scratch_path(spark, "wide-conversion")
+    # Our own rows, laid out like a wide delivery: other columns first, in another order.
+    header = ("advertiser_id,marketplace_id,idempotency_id,time_window_start,ad_group_id,placement,"
+              "attributed_sales_7d,ad_id,campaign_id,keyword_id,attributed_conversions_1d,"
+              "attributed_units_ordered_1d,attributed_sales_1d,attributed_conversions_7d,"
+              "attributed_units_ordered_7d,year,month,day,hour")
+    lines = [header,
+             "A1,M1,i1,2025-03-10T05:00:00-07:00,g1,Top,12.5,ad1,c1,k1,1,2,10.25,2,3,2025,03,10,13",
+             "A1,M1,i2,2025-03-10T23:00:00-07:00,g1,Top,0,ad1,c1,k1,-1,-1,-4.00,-1,-1,2025,04,07,18",
+             "A1,M1,i3,2025-03-11T01:00:00-07:00,g2,Top,oops,ad2,c1,k2,1,1,5.00,1,1,2025,03,11,09"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    raw = readers.read_csv(spark, path, CONVERSION_RAW)
+    assert raw.schema == CONVERSION_RAW
+    conv = {r.idempotency_id: r for r in readers.prepare_conversion(raw).collect()}
+    assert (conv["i1"].campaign_id, conv["i1"].conversions, conv["i1"].sales, conv["i1"].units) == \
+        ("c1", 1, D("10.2500"), 2)
+    assert conv["i2"].event_date == dt.date(2025, 3, 10) and conv["i2"].sales == D("-4.0000")
+    wide = {r.idempotency_id: r for r in readers.prepare_conversion(raw, "7d").collect()}
+    assert wide["i1"].sales == D("12.5000") and wide["i3"].sales is None     # bad text -> null
+    assert wide["i1"].conversions == 2
+    assert raw.filter("attributed_conversions_14d is not null").count() == 0   # absent column -> null
