@@ -7,11 +7,17 @@ the whole table (report windows filter by date, as the reports do).
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adlens.operators import daily
+from adlens.functions.dates import window_bounds
+from adlens.functions.text import to_number
+from adlens.operators import alerts, daily, reports, rules, summary
+from adlens.session import scratch_path
+from adlens.sources import config, history, readers
 from adlens.sources.adapter import ad_tables, read_events
 
 AS_OF = "2024-01-15"
@@ -52,9 +58,6 @@ QUERIES: dict[str, Query] = {
 
 # --- window reports (C7-C10) ---------------------------------------------------
 
-from adlens.functions.dates import window_bounds  # noqa: E402
-from adlens.operators import reports  # noqa: E402
-
 ONE_CAMPAIGN = "7"
 KEYWORD_TERM = "kw 1"
 
@@ -109,16 +112,6 @@ QUERIES.update({
 
 # --- summary, alerts, rules, history (C11-C17) -----------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from adlens.functions.text import to_number  # noqa: E402
-from adlens.operators import alerts, rules, summary  # noqa: E402
-from adlens.session import scratch_path  # noqa: E402
-from adlens.sources import config, history, readers  # noqa: E402
-
-
 def _report_last7(spark, sf_dir):
     t, c = _window_tables(spark, sf_dir, "last7days")
     return reports.ad_group_report(t, c, "last7days", AS_OF)
