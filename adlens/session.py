@@ -75,3 +75,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/adlens/{name}-{uuid.uuid4().hex}"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20,
+                  min_partitions: int = 200, max_partitions: int = 100_000) -> int:
+    """Size shuffles and scan splits for an input of ``input_bytes``.
+
+    Starts AQE from about one shuffle partition per ``partition_bytes`` of
+    input (an upper bound: partial aggregation shrinks what is shuffled, and
+    AQE coalesces partitions down to its advisory size at run time), and
+    keeps scan splits at ``partition_bytes`` so every task fits in memory.
+    """
+    n = max(min_partitions, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
+    return n

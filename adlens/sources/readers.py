@@ -87,10 +87,15 @@ def arrival_lower_bound(first_date) -> Column:
 
     Rows arrive after their event time, so arrivals before the first
     report date can be pruned; there is no safe upper bound (late data of
-    up to 30 days, SURVEY 1.3).
+    up to 30 days, SURVEY 1.3).  Rows without arrival values are kept.
+    Month and day may be typed as numbers by partition discovery, so they
+    are padded back to two digits before comparing.
     """
-    arrival = F.concat_ws("-", "year", "month", "day")
-    return arrival >= F.lit(str(first_date))
+    def two(c: str) -> Column:
+        return F.lpad(F.col(c).cast("string"), 2, "0")
+
+    arrival = F.concat(F.col("year").cast("string"), F.lit("-"), two("month"), F.lit("-"), two("day"))
+    return F.coalesce(arrival >= F.lit(str(first_date)), F.lit(True))
 
 
 def table(spark: SparkSession, name: str) -> DataFrame:

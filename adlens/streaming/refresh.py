@@ -8,6 +8,8 @@ the daily performance (C3) of only the dates that the new files touch,
 from the full tables, and overwrites just those date partitions.  The
 result is exactly the batch result; no state is kept besides the file
 source's checkpoint.  Only the set of touched dates reaches the driver.
+When the raw folders are partitioned by arrival day (``year/month/day``),
+arrivals before the earliest touched date are pruned from the recompute.
 """
 
 from __future__ import annotations
@@ -53,16 +55,23 @@ def start_daily_refresh(spark: SparkSession, traffic_path: str, conversion_path:
     otherwise the query keeps running.  ``checkpoint_path`` must be on the
     shared file system so a restarted driver resumes where it stopped.
     """
-    def full_traffic() -> DataFrame:
+    def since(raw: DataFrame, first_date) -> DataFrame:
+        # Rows reach arrival partitions on or after their event date: prune the older ones.
+        if first_date is not None and {"year", "month", "day"} <= set(raw.columns):
+            return raw.filter(readers.arrival_lower_bound(first_date))
+        return raw
+
+    def full_traffic(first_date=None) -> DataFrame:
         if traffic_table:
             return traffic_table()
-        return readers.prepare_traffic(readers.read_source(spark, traffic_path, "parquet", TRAFFIC_RAW))
+        raw = readers.read_source(spark, traffic_path, "parquet", TRAFFIC_RAW)
+        return readers.prepare_traffic(since(raw, first_date))
 
-    def full_conversion() -> DataFrame:
+    def full_conversion(first_date=None) -> DataFrame:
         if conversion_table:
             return conversion_table()
-        return readers.prepare_conversion(
-            readers.read_source(spark, conversion_path, "parquet", CONVERSION_RAW), attribution)
+        raw = readers.read_source(spark, conversion_path, "parquet", CONVERSION_RAW)
+        return readers.prepare_conversion(since(raw, first_date), attribution)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         touched = batch.filter(F.col("event_date").isNotNull()).select("event_date").distinct()
@@ -73,7 +82,8 @@ def start_daily_refresh(spark: SparkSession, traffic_path: str, conversion_path:
             perf = daily.daily_performance(full_traffic(), full_conversion())
             readers.write_table(perf, output_path, "parquet", ["date"])
             return
-        refresh_dates(full_traffic(), full_conversion(), dates, output_path)
+        first = min(dates)
+        refresh_dates(full_traffic(first), full_conversion(first), dates, output_path)
 
     arrivals = (_arrivals(spark, traffic_path, TRAFFIC_RAW)
                 .unionByName(_arrivals(spark, conversion_path, CONVERSION_RAW)))

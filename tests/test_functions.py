@@ -85,3 +85,17 @@ def test_to_number_and_severity(spark):
     assert rows[0].m == "🚨 CRITICAL ALERT 🚨\n\nm"
     assert rows[1].m == "⚠️ WARNING ⚠️\n\nm"
     assert rows[2].m == "m"
+
+
+def test_size_shuffles_scales_with_input(spark):
+    from adlens.session import size_shuffles
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
+    try:
+        assert size_shuffles(spark, 10 << 20) == 200                    # small input: the floor
+        assert size_shuffles(spark, 100 << 40) == 100_000               # 100 TB: the ceiling
+        assert size_shuffles(spark, 1 << 40) == 8192                    # 1 TB / 128 MB
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "8192"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")

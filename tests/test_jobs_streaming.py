@@ -55,3 +55,20 @@ def test_refresh_stream_recomputes_only_touched_dates(spark):
     first = got.filter(F.col("date") == dt.date(2025, 3, 8)).first()
     assert (first.conversions_1d, first.sales_1d) == (1, D("7.0000"))
     assert got.count() == 6
+
+
+def test_refresh_prunes_old_arrivals(spark):
+    """Raw folders partitioned by arrival day: only arrivals since the touched date are read."""
+    root = scratch_path(spark, "stream-arrivals")
+    t_dir, c_dir, out, chk = f"{root}/traffic", f"{root}/conversion", f"{root}/daily", f"{root}/_chk"
+    t = spark.createDataFrame(TRAFFIC_ROWS, TRAFFIC_RAW).withColumns(
+        {"year": F.lit("2025"), "month": F.lit("03"), "day": F.lit("12")})
+    t.write.partitionBy("year", "month", "day").parquet(t_dir)
+    c = spark.createDataFrame(CONVERSION_ROWS, CONVERSION_COLUMNS).withColumns(
+        {"year": F.lit("2025"), "month": F.lit("03"), "day": F.lit("12")})
+    c.write.partitionBy("year", "month", "day").parquet(c_dir)
+    start_daily_refresh(spark, t_dir, c_dir, out, chk).awaitTermination(120)
+    traffic, conversion = tables(spark)
+    expect = daily.daily_performance(traffic, conversion)
+    got = readers.read_parquet(spark, out, expect.schema)
+    assert sorted(map(tuple, got.select(*expect.columns).collect())) == sorted(map(tuple, expect.collect()))

@@ -72,10 +72,13 @@ def test_named_tables_and_arrival_pruning(spark):
     readers.register_views(traffic, conversion)
     assert readers.table(spark, readers.TRAFFIC_VIEW).count() == traffic.count()
     assert readers.table(spark, readers.CONVERSION_VIEW).count() == conversion.count()
-    arrivals = spark.createDataFrame([("2025", "03", "07"), ("2025", "03", "10"), ("2025", "04", "07")],
-                                     "year string, month string, day string")
+    arrivals = spark.createDataFrame([("2025", "03", "07"), ("2025", "03", "10"), ("2025", "04", "07"),
+                                      (None, None, None)], "year string, month string, day string")
     kept = arrivals.filter(readers.arrival_lower_bound(dt.date(2025, 3, 10))).collect()
-    assert [(r.month, r.day) for r in kept] == [("03", "10"), ("04", "07")]   # no upper bound: late rows
+    # no upper bound (late rows), and rows without arrival values are kept
+    assert [(r.month, r.day) for r in kept] == [("03", "10"), ("04", "07"), (None, None)]
+    numeric = spark.createDataFrame([(2025, 3, 9), (2025, 3, 11)], "year int, month int, day int")
+    assert [r.day for r in numeric.filter(readers.arrival_lower_bound("2025-03-10")).collect()] == [11]
 
 
 def test_wide_conversion_csv_is_read_by_header_name(spark):
