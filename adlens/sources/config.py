@@ -12,32 +12,45 @@ import json
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from adlens.operators.rules import DEFAULT_RULES, MAX_RULES
 from adlens.schema import RULES_DOCUMENT
 
 
-def read_rules(spark: SparkSession, path: str | None, max_rules: int = MAX_RULES) -> list[dict]:
+def read_rules(spark: SparkSession, path: str | None, max_rules: int = MAX_RULES,
+               on_error: str = "raise") -> list[dict]:
     """Rules of the document at ``path``; the default rules when there is none.
 
     A missing document gives the defaults; a document without a
     ``default_rules`` entry gives no rules (no adjustments), as in the
-    reference.  More than ``max_rules`` entries is an error.
+    reference.  A document that is not valid JSON raises (the scheduled
+    report's behaviour) or, with ``on_error="defaults"``, gives the default
+    rules (the recommendation tool's behaviour).  More than ``max_rules``
+    entries is an error.
     """
+    if on_error not in ("raise", "defaults"):
+        raise ValueError("on_error must be 'raise' or 'defaults'")
     if path is None:
         return [dict(r) for r in DEFAULT_RULES]
+    schema = T.StructType(RULES_DOCUMENT.fields + [T.StructField("_corrupt_record", T.StringType())])
     try:
-        doc = spark.read.option("multiLine", True).schema(RULES_DOCUMENT).json(path)
-        rules = doc.select(F.explode("default_rules").alias("r")).select("r.*")
-        head = rules.take(max_rules + 1)
+        doc = (spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
+               .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema).json(path))
+        head = doc.select(F.explode_outer("default_rules").alias("r"), "_corrupt_record").take(max_rules + 1)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return [dict(r) for r in DEFAULT_RULES]
         raise
-    if len(head) > max_rules:
+    if any(row["_corrupt_record"] is not None for row in head):
+        if on_error == "defaults":
+            return [dict(r) for r in DEFAULT_RULES]
+        raise ValueError(f"rules document {path} is not valid JSON")
+    rules = [row["r"].asDict() for row in head if row["r"] is not None]
+    if len(rules) > max_rules:
         raise ValueError(f"rules document {path} holds more than {max_rules} rules")
-    return [row.asDict() for row in head]
+    return rules
 
 
 def write_rules(spark: SparkSession, rules: list[dict], path: str) -> None:

@@ -132,6 +132,11 @@ def test_rules_document_roundtrip(spark):
     other = scratch_path(spark, "rules-empty")
     spark.createDataFrame([('{"other": 1}',)], "value string").write.text(other)
     assert config.read_rules(spark, other) == []                          # no default_rules -> none
+    broken = scratch_path(spark, "rules-broken")
+    spark.createDataFrame([('{"default_rules": [',)], "value string").write.text(broken)
+    with pytest.raises(ValueError):
+        config.read_rules(spark, broken)                                  # the report fails
+    assert config.read_rules(spark, broken, on_error="defaults") == rules.DEFAULT_RULES   # the tool
 
 
 def test_sf001_alert_and_rule_goldens(spark):
