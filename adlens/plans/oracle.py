@@ -108,6 +108,7 @@ DATE_FILTERS = {
     "today": "event_date = date '2024-01-15'",
     "yesterday": "event_date = date '2024-01-14'",
     "last7days": "event_date between date '2024-01-08' and date '2024-01-15'",
+    "last7days_unbounded": "event_date >= date '2024-01-08'",
 }
 
 
@@ -189,6 +190,7 @@ ORACLE.update({
     "report_today": report_sql(["campaign_id", "ad_group_id"], "today"),
     "report_yesterday": report_sql(["campaign_id", "ad_group_id"], "yesterday"),
     "report_last7days": report_sql(["campaign_id", "ad_group_id"], "last7days"),
+    "report_last7days_unbounded": report_sql(["campaign_id", "ad_group_id"], "last7days_unbounded"),
     "campaign_report": report_sql(["campaign_id"], "last7days"),
     "campaign_report_one": report_sql(["campaign_id"], "yesterday", "7"),
     "account_report": report_sql([], "last7days"),

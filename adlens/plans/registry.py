@@ -74,6 +74,13 @@ def _ad_group_report(window):
     return q
 
 
+def q_report_last7days_unbounded(spark, sf_dir):
+    """``last7days`` exactly as the reference writes it: no upper bound."""
+    first, _ = window_bounds("last7days", AS_OF)
+    t, c = ad_tables(spark, sf_dir, date_range=(first, None))
+    return reports.ad_group_report(t, c, "last7days", AS_OF, bounded=False)
+
+
 def q_campaign_report(spark, sf_dir):
     t, c = _window_tables(spark, sf_dir, "last7days")
     return reports.campaign_report(t, c, "last7days", AS_OF)
@@ -101,6 +108,7 @@ QUERIES.update({
     "report_today": _ad_group_report("today"),
     "report_yesterday": _ad_group_report("yesterday"),
     "report_last7days": _ad_group_report("last7days"),
+    "report_last7days_unbounded": q_report_last7days_unbounded,
     "campaign_report": q_campaign_report,
     "campaign_report_one": q_campaign_report_one,
     "account_report": q_account_report,

@@ -33,14 +33,18 @@ def read_events(spark: SparkSession, sf_dir: str, date_range=None) -> DataFrame:
     return events
 
 
-def ts_range(events: DataFrame, first, last):
-    """``first <= date(ts) <= last`` written on ``ts`` itself, so it pushes down."""
+def ts_range(events: DataFrame, first, last=None):
+    """``first <= date(ts) <= last`` written on ``ts`` itself, so it pushes down.
+
+    ``last=None`` leaves the range open above.
+    """
     ts_type = events.schema["ts"].dataType.simpleString()
     lo = _dt.datetime.combine(_as_date(first), _dt.time())
-    hi = _dt.datetime.combine(_as_date(last) + _dt.timedelta(days=1), _dt.time())
-    lo_lit = F.lit(lo.isoformat(sep=" ")).cast(ts_type)
-    hi_lit = F.lit(hi.isoformat(sep=" ")).cast(ts_type)
-    return (F.col("ts") >= lo_lit) & (F.col("ts") < hi_lit)
+    cond = F.col("ts") >= F.lit(lo.isoformat(sep=" ")).cast(ts_type)
+    if last is not None:
+        hi = _dt.datetime.combine(_as_date(last) + _dt.timedelta(days=1), _dt.time())
+        cond = cond & (F.col("ts") < F.lit(hi.isoformat(sep=" ")).cast(ts_type))
+    return cond
 
 
 def _as_date(d) -> _dt.date:
