@@ -72,3 +72,20 @@ def test_refresh_prunes_old_arrivals(spark):
     expect = daily.daily_performance(traffic, conversion)
     got = readers.read_parquet(spark, out, expect.schema)
     assert sorted(map(tuple, got.select(*expect.columns).collect())) == sorted(map(tuple, expect.collect()))
+
+
+def test_command_line_jobs(spark):
+    from adlens.plans import cli
+    root = scratch_path(spark, "cli")
+    spark.createDataFrame(TRAFFIC_ROWS, TRAFFIC_RAW).write.option("header", True).csv(f"{root}/traffic")
+    spark.createDataFrame(CONVERSION_ROWS, CONVERSION_COLUMNS).write.option("header", True).csv(f"{root}/conv")
+    cli.run(spark, ["daily", "--traffic", f"{root}/traffic", "--conversion", f"{root}/conv",
+                    "--output", f"{root}/daily"])
+    assert spark.read.parquet(f"{root}/daily").count() == 6
+    assert spark.read.json(f"{root}/daily_anomaly_digest").first().anomaly_count == 3
+    cli.run(spark, ["report", "--traffic", f"{root}/traffic", "--conversion", f"{root}/conv",
+                    "--results", f"{root}/report", "--window", "today", "--as-of", "2025-03-10",
+                    "--history", f"{root}/history"])
+    assert spark.read.parquet(f"{root}/report/report").count() == 3
+    assert spark.read.parquet(f"{root}/report/summary").first().total_campaigns == 2
+    assert spark.read.parquet(f"{root}/history").count() == 1
