@@ -1,7 +1,7 @@
 """Command line for the two scheduled jobs.
 
-    spark-submit -m adlens.plans.cli daily  --traffic P --conversion P --output P [--format csv]
-    spark-submit -m adlens.plans.cli report --traffic P --conversion P --results P
+    spark-submit --py-files adlens.zip adlens/plans/cli.py daily  --traffic P --conversion P --output P [--format csv]
+    spark-submit --py-files adlens.zip adlens/plans/cli.py report --traffic P --conversion P --results P
                  [--window today|yesterday|last7days] [--as-of YYYY-MM-DD]
                  [--history P] [--rules P] [--format csv]
 
