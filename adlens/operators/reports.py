@@ -107,12 +107,12 @@ def _keyword_as_written(t: DataFrame, c: DataFrame) -> DataFrame:
     per_hour = c.groupBy(*RAW_JOIN_KEYS).agg(
         F.count(F.lit(1)).alias("_matches"),
         F.sum("conversions").alias("_conversions"),
-        F.sum("sales").alias("_sales"))
+        M.money_sum("sales").alias("_sales"))
     per_kw_hour = t.groupBy(*RAW_JOIN_KEYS, *[k for k in KEYWORD_KEYS if k != "campaign_id"]).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.sum("impressions").alias("_impressions"),
         F.sum("clicks").alias("_clicks"),
-        F.sum("cost").alias("_cost"))
+        M.money_sum("cost").alias("_cost"))
     fan = F.coalesce(F.col("_matches"), F.lit(1))
     joined = per_kw_hour.join(per_hour, RAW_JOIN_KEYS, "left")
     return joined.groupBy(*KEYWORD_KEYS).agg(
