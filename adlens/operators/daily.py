@@ -77,11 +77,12 @@ def trailing_avg(metric: str, rows: int) -> Column:
     """Mean of the current and ``rows`` preceding rows.
 
     The metrics are already rounded to cents, so they are summed exactly as
-    DECIMAL and divided once: the mean does not depend on summation order.
+    whole cents in a BIGINT and divided once: the mean does not depend on
+    summation order, and a sliding frame re-adds longs, not decimals.
     """
     frame = _series().rowsBetween(-rows, 0)
-    exact = F.col(metric).cast("decimal(38,2)")
-    return F.sum(exact).over(frame).cast("double") / F.count(metric).over(frame)
+    cents = F.round(F.col(metric) * F.lit(100.0)).cast("bigint")
+    return (F.sum(cents).over(frame).cast("double") / F.lit(100.0)) / F.count(metric).over(frame)
 
 
 def performance_trends(daily: DataFrame, days: int = 7) -> DataFrame:
