@@ -98,3 +98,15 @@ def test_sf001_report_goldens(spark):
     whole = reports._keyword_as_written(everything, conversion).agg(
         F.sum("cost"), F.sum("sales"), F.sum("conversions")).first()
     assert tuple(whole) == (D("50975.5000"), D("6779.2500"), 119)
+
+
+def test_net_negative_sales(spark):
+    from tests.fixtures import CONVERSION_ROWS, TRAFFIC_ROWS
+    refunds = CONVERSION_ROWS + [("e7", "c2", "g3", "k4", "2025-03-10T22:00:00-07:00", -2, D("-45.50"), -2)]
+    traffic, conversion = tables(spark, TRAFFIC_ROWS, refunds)
+    g3 = [r for r in reports.ad_group_report(traffic, conversion, "today", AS_OF).collect()
+          if r.ad_group_id == "g3"][0]
+    assert (g3.total_order, g3.sales, g3.total_units) == (-1, D("-15.50"), -1)
+    assert g3.acos == 0.0                        # sales not positive
+    assert g3.roas == -2.58                      # -15.50 / 6.00, rounded half-up away from zero
+    assert g3.conversion == -25.0
