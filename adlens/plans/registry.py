@@ -200,20 +200,20 @@ def q_text_to_number(spark, sf_dir):
 
 
 # Ad-hoc SQL over the registered views; values bound as parameters.
-ADHOC_BODY = """sp_conv AS (
-  SELECT campaign_id, event_date, CAST(SUM(conversions) AS BIGINT) AS total_order,
-         CAST(SUM(sales) AS DECIMAL(38,4)) AS total_sales
-  FROM conversion WHERE event_date BETWEEN :first_day AND :last_day
-  GROUP BY campaign_id, event_date),
-sp_traff AS (
-  SELECT campaign_id, event_date, CAST(SUM(impressions) AS BIGINT) AS total_impression,
-         CAST(SUM(cost) AS DECIMAL(38,4)) AS total_cost, CAST(SUM(clicks) AS BIGINT) AS total_click
+# A campaign x day rollup of both views (conversion-only days included).
+ADHOC_BODY = """activity AS (
+  SELECT campaign_id, event_date, impressions, clicks, cost,
+         CAST(NULL AS BIGINT) AS conversions, CAST(NULL AS DECIMAL(18,4)) AS sales
   FROM traffic WHERE event_date BETWEEN :first_day AND :last_day
-  GROUP BY campaign_id, event_date)
-SELECT t.campaign_id, t.event_date, t.total_impression, t.total_click,
-       CAST(ROUND(t.total_cost, 2) AS DECIMAL(38,2)) AS spend, c.total_order,
-       CAST(ROUND(c.total_sales, 2) AS DECIMAL(38,2)) AS sales
-FROM sp_traff t LEFT JOIN sp_conv c ON t.campaign_id = c.campaign_id AND t.event_date = c.event_date"""
+  UNION ALL
+  SELECT campaign_id, event_date, NULL, NULL, NULL, conversions, sales
+  FROM conversion WHERE event_date BETWEEN :first_day AND :last_day)
+SELECT campaign_id, event_date,
+       CAST(SUM(impressions) AS BIGINT) AS impressions, CAST(SUM(clicks) AS BIGINT) AS clicks,
+       CAST(SUM(cost) AS DECIMAL(38,4)) AS cost, CAST(SUM(conversions) AS BIGINT) AS conversions,
+       CAST(SUM(sales) AS DECIMAL(38,4)) AS sales
+FROM activity
+GROUP BY campaign_id, event_date"""
 ADHOC_DAYS = {"first_day": _dt.date(2024, 1, 8), "last_day": _dt.date(2024, 1, 15)}
 
 

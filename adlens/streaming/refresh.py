@@ -1,6 +1,6 @@
 """Keep the daily table current as hourly files land (an addition; SURVEY 7.6).
 
-The reference reads its ``*_firehose`` tables as batch tables; rows arrive
+The reference reads its hourly delivery tables as batch tables; rows arrive
 up to ~30 days after their event time (SURVEY 1.3).  A stateful streaming
 aggregation would have to hold 30 days of state, so instead a Structured
 Streaming query watches both raw folders and, per micro-batch, recomputes
