@@ -82,7 +82,9 @@ def trailing_avg(metric: str, rows: int) -> Column:
     """
     frame = _series().rowsBetween(-rows, 0)
     cents = F.round(F.col(metric) * F.lit(100.0)).cast("bigint")
-    return (F.sum(cents).over(frame).cast("double") / F.lit(100.0)) / F.count(metric).over(frame)
+    # An all-null frame has count 0: null, as ``avg`` would give, never a division error.
+    return F.try_divide(F.sum(cents).over(frame).cast("double") / F.lit(100.0),
+                        F.count(metric).over(frame))
 
 
 def performance_trends(daily: DataFrame, days: int = 7) -> DataFrame:

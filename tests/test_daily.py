@@ -60,6 +60,9 @@ def test_trailing_frame_is_eight_rows(spark):
     got = {r.date.day: r.a for r in df.select("date", daily.trailing_avg("ctr", 7).alias("a")).collect()}
     assert got[12] == sum(range(5, 13)) / 8
     assert got[3] == 2.0
+    nulls = spark.createDataFrame([("c", "g", dt.date(2024, 1, 1), None)],
+                                  "campaign_id string, ad_group_id string, date date, ctr double")
+    assert nulls.select(daily.trailing_avg("ctr", 7).alias("a")).first().a is None
 
 
 def test_sf001_goldens(spark):
