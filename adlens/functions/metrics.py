@@ -25,9 +25,10 @@ def round_half_up(x, digits: int = 2) -> Column:
     binary value gives 19.02, rounding the number the data describe gives
     19.03.  Passing through DECIMAL(38,10) first recovers the decimal value
     (to 10 places), so the result is the same in any engine and on any
-    executor.
+    executor.  A value beyond DECIMAL(38,10) (10^28 or more) gives null
+    rather than failing the job.
     """
-    return F.round(_c(x).cast("decimal(38,10)"), digits).cast("double")
+    return F.round(_c(x).try_cast("decimal(38,10)"), digits).cast("double")
 
 
 def safe_ratio(num, den, scale: float | None = None, digits: int = 2,
