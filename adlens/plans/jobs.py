@@ -55,3 +55,10 @@ def report_job(spark: SparkSession, traffic: DataFrame, conversion: DataFrame,
         "bid_adjustments": adjustments,
         "run": summ.select(F.lit(window).alias("time_window"), F.localtimestamp().alias("timestamp")),
     }
+
+
+def recommendations(traffic: DataFrame, conversion: DataFrame, campaign_id=None,
+                    window: str = "last7days", as_of=None, rule_list: list[dict] | None = None) -> DataFrame:
+    """C16 with the tool's signature: campaign report (C8) for the window, then the rules."""
+    campaigns = reports.campaign_report(traffic, conversion, window, as_of, campaign_id, ordered=False)
+    return rules.bid_recommendations(campaigns, rule_list)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from adlens.functions.dates import window_bounds
 from adlens.functions.text import to_number
 from adlens.operators import alerts, daily, reports, rules, summary
+from adlens.plans import jobs
 from adlens.session import scratch_path
 from adlens.sources import config, history, readers
 from adlens.sources.adapter import ad_tables, read_events
@@ -168,8 +169,7 @@ def q_bid_adjustments(spark, sf_dir):
 
 def q_bid_recommendations(spark, sf_dir):
     t, c = _window_tables(spark, sf_dir, "last7days")
-    campaigns = reports.campaign_report(t, c, "last7days", AS_OF, ordered=False)
-    recs = rules.bid_recommendations(campaigns)
+    recs = jobs.recommendations(t, c, window="last7days", as_of=AS_OF)
     return recs.select("campaign_id", "current_metrics.*", "action", "percentage",
                        "description", "reason")
 
