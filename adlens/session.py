@@ -61,17 +61,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     the setting is absent (a bare local test session) do we set one under
     the system temporary folder.
     """
+    context = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    if not root and context is not None:
+        root = context.getCheckpointDir()
     if not root:
         root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "adlens-checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if context is not None and context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/adlens/{name}-{uuid.uuid4().hex}"
