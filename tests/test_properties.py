@@ -82,3 +82,47 @@ def test_fan_out_algebra_equals_pairwise_join(spark, traffic, conversion):
     got = {(r.campaign_id, r.keyword_id): (r.impressions, r.clicks, r.cost, r.conversions, r.sales)
            for r in _keyword_as_written(t, c).collect()}
     assert got == expected_pairs(traffic, conversion)
+
+
+# --- rule conditions: compiled Spark predicate == the reference's substitute-and-evaluate -----
+
+from adlens.operators import rules  # noqa: E402
+
+NAMES = st.sampled_from(["acos", "roas", "conversion", "ctr"])
+OPS = st.sampled_from(["<", "<=", ">", ">=", "==", "!="])
+NUMS = st.sampled_from(["0", "1.0", "2.5", "3", "10.0", "40.0", ".5"])
+
+
+def _atom():
+    return st.builds(lambda n, o, v: f"{n} {o} {v}", NAMES, OPS, NUMS)
+
+
+CONDITIONS = st.recursive(
+    _atom(),
+    lambda inner: st.one_of(
+        st.builds(lambda a, b: f"{a} and {b}", inner, inner),
+        st.builds(lambda a, b: f"{a} or {b}", inner, inner),
+        st.builds(lambda a: f"not {a}", inner),
+        st.builds(lambda a: f"({a})", inner)),
+    max_leaves=4)
+METRIC = st.one_of(st.none(), st.sampled_from([0.0, 0.5, 1.0, 2.5, 3.0, 4.0, 10.0, 12.5, 40.0, 55.5]))
+ROWS = st.lists(st.tuples(METRIC, METRIC, METRIC, METRIC), min_size=1, max_size=8)
+
+
+def python_semantics(condition, row):
+    values = {"acos": row[0], "roas": row[1], "conversion": row[2], "ctr": row[3]}
+    text = condition
+    for name, value in values.items():          # missing values count as 0
+        text = text.replace(name, str(float(value) if value is not None else 0))
+    return bool(eval(text))  # noqa: S307 - test oracle over generated, whitelisted text
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(condition=CONDITIONS, rows=ROWS)
+def test_compiled_rules_match_substitute_and_evaluate(spark, condition, rows):
+    df = spark.createDataFrame([(str(i), *r) for i, r in enumerate(rows)],
+                               "campaign_id string, acos double, roas double, conversion double, ctr double")
+    rule = [{"condition": condition, "action": "x", "percentage": 1}]
+    fired = {r.campaign_id for r in rules.bid_recommendations(df, rule).collect()}
+    expected = {str(i) for i, r in enumerate(rows) if python_semantics(condition, r)}
+    assert fired == expected, condition
