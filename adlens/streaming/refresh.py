@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -37,6 +37,28 @@ def refresh_dates(traffic: DataFrame, conversion: DataFrame, dates: list, output
     readers.write_table(perf, output_path, fmt, ["date"])
 
 
+def refresh_flags(spark: SparkSession, daily_path: str, flags_path: str, first_date,
+                  days: int = 7) -> None:
+    """Recompute trends and anomaly flags (C4, C5) for dates >= ``first_date`` only.
+
+    A row's trailing mean looks back ``days`` rows of its series and its
+    lags one row, so the rows from ``first_date`` on need, besides
+    themselves, only the ``days`` most recent earlier rows of each series: a
+    per-series top-k (``row_number() <= days``, run as a partial top-k before
+    the exchange).  The result equals a full recompute; only the partitions
+    from ``first_date`` on are replaced.
+    """
+    table = readers.read_parquet(spark, daily_path)
+    first = F.lit(first_date).cast("date")
+    latest_first = Window.partitionBy(*daily.SERIES_KEYS).orderBy(F.desc("date"))
+    lookback = (table.filter(F.col("date") < first)
+                .withColumn("_rank", F.row_number().over(latest_first))
+                .filter(F.col("_rank") <= days).drop("_rank"))
+    rows = lookback.unionByName(table.filter(F.col("date") >= first))
+    flags = daily.anomalies(daily.performance_trends(rows, days)).filter(F.col("date") >= first)
+    readers.write_table(flags, flags_path, "parquet", ["date"])
+
+
 def _arrivals(spark: SparkSession, path: str, schema) -> DataFrame:
     # Parquet files are matched to the schema by column name; only the window start is read.
     only = T.StructType([schema["time_window_start"]])
@@ -48,12 +70,15 @@ def start_daily_refresh(spark: SparkSession, traffic_path: str, conversion_path:
                         checkpoint_path: str, attribution: str = "1d",
                         available_now: bool = True,
                         traffic_table: Callable[[], DataFrame] | None = None,
-                        conversion_table: Callable[[], DataFrame] | None = None) -> StreamingQuery:
+                        conversion_table: Callable[[], DataFrame] | None = None,
+                        flags_path: str | None = None) -> StreamingQuery:
     """Start the refresh stream over the raw traffic and conversion parquet folders.
 
     ``available_now`` processes what has landed and stops (scheduled use);
     otherwise the query keeps running.  ``checkpoint_path`` must be on the
-    shared file system so a restarted driver resumes where it stopped.
+    shared file system so a restarted driver resumes where it stopped.  With
+    ``flags_path``, the trends and anomaly flags are refreshed as well, from
+    the earliest touched date on (``refresh_flags``).
     """
     def since(raw: DataFrame, first_date) -> DataFrame:
         # Rows reach arrival partitions on or after their event date: prune the older ones.
@@ -78,12 +103,14 @@ def start_daily_refresh(spark: SparkSession, traffic_path: str, conversion_path:
         dates = [r.event_date for r in touched.take(MAX_TOUCHED_DATES + 1)]
         if not dates:
             return
+        first = min(dates)
         if len(dates) > MAX_TOUCHED_DATES:          # a backfill: recompute everything at once
             perf = daily.daily_performance(full_traffic(), full_conversion())
             readers.write_table(perf, output_path, "parquet", ["date"])
-            return
-        first = min(dates)
-        refresh_dates(full_traffic(first), full_conversion(first), dates, output_path)
+        else:
+            refresh_dates(full_traffic(first), full_conversion(first), dates, output_path)
+        if flags_path:
+            refresh_flags(spark, output_path, flags_path, first)
 
     arrivals = (_arrivals(spark, traffic_path, TRAFFIC_RAW)
                 .unionByName(_arrivals(spark, conversion_path, CONVERSION_RAW)))

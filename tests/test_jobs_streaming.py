@@ -38,9 +38,10 @@ def test_report_job_returns_every_result(spark):
 def test_refresh_stream_recomputes_only_touched_dates(spark):
     root = scratch_path(spark, "stream")
     t_dir, c_dir, out, chk = f"{root}/traffic", f"{root}/conversion", f"{root}/daily", f"{root}/_chk"
+    flags_dir = f"{root}/flags"
     spark.createDataFrame(TRAFFIC_ROWS, TRAFFIC_RAW).write.parquet(f"{t_dir}/batch=1")
     spark.createDataFrame(CONVERSION_ROWS, CONVERSION_COLUMNS).write.parquet(f"{c_dir}/batch=1")
-    q = start_daily_refresh(spark, t_dir, c_dir, out, chk)
+    q = start_daily_refresh(spark, t_dir, c_dir, out, chk, flags_path=flags_dir)
     q.awaitTermination(120)
     traffic, conversion = tables(spark)
     expect = daily.daily_performance(traffic, conversion)
@@ -49,12 +50,17 @@ def test_refresh_stream_recomputes_only_touched_dates(spark):
     # A late conversion for 03-08 lands: only that date is recomputed and replaced.
     late = [("e9", "c1", "g1", "k1", "2025-03-08T05:00:00-07:00", 1, D("7.00"), 1)]
     spark.createDataFrame(late, CONVERSION_COLUMNS).write.parquet(f"{c_dir}/batch=2")
-    q = start_daily_refresh(spark, t_dir, c_dir, out, chk)
+    q = start_daily_refresh(spark, t_dir, c_dir, out, chk, flags_path=flags_dir)
     q.awaitTermination(120)
     got = readers.read_parquet(spark, out, expect.schema)
     first = got.filter(F.col("date") == dt.date(2025, 3, 8)).first()
     assert (first.conversions_1d, first.sales_1d) == (1, D("7.0000"))
     assert got.count() == 6
+    # The flags from 03-08 on were refreshed too, and equal a full recompute.
+    traffic, conversion = tables(spark, TRAFFIC_ROWS, CONVERSION_ROWS + late)
+    full = daily.anomalies(daily.performance_trends(daily.daily_performance(traffic, conversion)))
+    flags = readers.read_parquet(spark, flags_dir, full.schema)
+    assert sorted(map(tuple, flags.select(*full.columns).collect())) == sorted(map(tuple, full.collect()))
 
 
 def test_refresh_prunes_old_arrivals(spark):
@@ -89,3 +95,22 @@ def test_command_line_jobs(spark):
     assert spark.read.parquet(f"{root}/report/report").count() == 3
     assert spark.read.parquet(f"{root}/report/summary").first().total_campaigns == 2
     assert spark.read.parquet(f"{root}/history").count() == 1
+
+
+def test_flags_refresh_equals_full_recompute(spark):
+    """Bounded look-back refresh of C4/C5 from a cut date equals the full computation."""
+    from adlens.sources.adapter import ad_tables
+    from adlens.streaming.refresh import refresh_flags
+    from tests.conftest import SF001
+    traffic, conversion = ad_tables(spark, SF001)
+    perf = daily.daily_performance(traffic, conversion)
+    root = scratch_path(spark, "flags")
+    readers.write_table(perf, f"{root}/daily", "parquet", ["date"])
+    full = daily.anomalies(daily.performance_trends(perf))
+    cut = dt.date(2024, 1, 20)
+    stale = full.filter(F.col("date") < cut)
+    readers.write_table(stale, f"{root}/flags", "parquet", ["date"])        # what was there before
+    refresh_flags(spark, f"{root}/daily", f"{root}/flags", cut)
+    got = readers.read_parquet(spark, f"{root}/flags", full.schema)
+    cols = full.columns
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, full.collect()))
