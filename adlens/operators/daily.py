@@ -130,6 +130,23 @@ def anomalies(trends: DataFrame, thresholds: dict[str, float] | None = None) ->
     return flagged.withColumn("has_anomaly", F.when(any_flag, F.lit(1)).otherwise(F.lit(0)))
 
 
+def flags_for_recent(earlier: DataFrame, recent: DataFrame, days: int = 7) -> DataFrame:
+    """C4 + C5 for the daily rows of ``recent`` only, exactly as over the whole history.
+
+    A row's trailing mean looks back ``days`` rows of its series and its
+    lags one row, so of ``earlier`` (the daily rows before ``recent``) only
+    each series' ``days`` most recent rows matter: a per-series top-k
+    (``row_number() <= days``, run as a partial top-k before the exchange).
+    """
+    newest_first = Window.partitionBy(*SERIES_KEYS).orderBy(F.desc("date"))
+    lookback = (earlier.withColumn("_rank", F.row_number().over(newest_first))
+                .filter(F.col("_rank") <= days).drop("_rank")
+                .withColumn("_recent", F.lit(False)))
+    rows = lookback.unionByName(recent.withColumn("_recent", F.lit(True)))
+    flags = anomalies(performance_trends(rows, days))
+    return flags.filter(F.col("_recent")).drop("_recent")
+
+
 def anomalous(flags: DataFrame) -> DataFrame:
     """F10 + P2: the flagged rows, narrowed for alerting."""
     return (flags.filter(F.col("has_anomaly") == 1)

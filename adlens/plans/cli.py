@@ -1,6 +1,7 @@
 """Command line for the two scheduled jobs.
 
-    spark-submit --py-files adlens.zip adlens/plans/cli.py daily  --traffic P --conversion P --output P [--format csv]
+    spark-submit --py-files adlens.zip adlens/plans/cli.py daily  --traffic P --conversion P --output P
+                 [--since YYYY-MM-DD] [--format csv]
     spark-submit --py-files adlens.zip adlens/plans/cli.py report --traffic P --conversion P --results P
                  [--window today|yesterday|last7days] [--as-of YYYY-MM-DD]
                  [--history P] [--rules P] [--format csv]
@@ -43,6 +44,8 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> dict[str, DataFra
         if name == "daily":
             p.add_argument("--output", required=True)
             p.add_argument("--days", type=int, default=7)
+            p.add_argument("--since", type=dt.date.fromisoformat, default=None,
+                           help="recompute only dates from this one on (late data), exactly")
         else:
             p.add_argument("--results", required=True)
             p.add_argument("--window", default="today")
@@ -55,7 +58,11 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> dict[str, DataFra
     traffic, conversion = _inputs(spark, args)
 
     if args.job == "daily":
-        out = jobs.daily_job(spark, traffic, conversion, args.output, days=args.days)
+        if args.since is not None:
+            first = args.since
+            traffic = traffic.filter(traffic.event_date >= first)
+            conversion = conversion.filter(conversion.event_date >= first)
+        out = jobs.daily_job(spark, traffic, conversion, args.output, days=args.days, since=args.since)
         out["digest"].write.mode("overwrite").json(f"{args.output.rstrip('/')}_anomaly_digest")
         return out
 

@@ -19,14 +19,27 @@ from adlens.sources import config, history, readers
 
 
 def daily_job(spark: SparkSession, traffic: DataFrame, conversion: DataFrame, output_path: str,
-              days: int = 7, digest_limit: int = 10, fmt: str = "parquet") -> dict[str, DataFrame]:
+              days: int = 7, digest_limit: int = 10, fmt: str = "parquet",
+              since=None) -> dict[str, DataFrame]:
     """C1 -> C2 -> C3 -> C4 -> C5, written by date (S7), then the anomaly digest.
 
-    Only the dates present in the input are replaced in ``output_path``
-    (dynamic partition overwrite), so late rows refresh just their dates.
-    Returns the written table (read back) and the digest.
+    Only the dates present in the output are replaced in ``output_path``
+    (dynamic partition overwrite).  With ``since`` (a date), only dates from
+    ``since`` on are recomputed from the raw rows (pass raw frames pruned to
+    the arrivals that can hold them); the trends of those dates look back
+    into the table already written (``daily.flags_for_recent``), so the
+    result equals a full run.  Returns the written table (read back) and
+    the digest.
     """
-    flags = daily.anomalies(daily.performance_trends(daily.daily_performance(traffic, conversion), days))
+    if since is None:
+        flags = daily.anomalies(daily.performance_trends(daily.daily_performance(traffic, conversion), days))
+    else:
+        first = F.lit(since).cast("date")
+        recent = daily.daily_performance(traffic.filter(F.col("event_date") >= first),
+                                         conversion.filter(F.col("event_date") >= first))
+        written = readers.read_source(spark, output_path, fmt)
+        earlier = written.filter(F.col("date") < first).select(*recent.columns)
+        flags = daily.flags_for_recent(earlier, recent, days)
     readers.write_table(flags, output_path, fmt, ["date"])
     written = readers.read_source(spark, output_path, fmt, schema=flags.schema)
     return {"table": written, "digest": alerts.anomaly_digest(written, digest_limit)}

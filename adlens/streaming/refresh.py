@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -41,21 +41,14 @@ def refresh_flags(spark: SparkSession, daily_path: str, flags_path: str, first_d
                   days: int = 7) -> None:
     """Recompute trends and anomaly flags (C4, C5) for dates >= ``first_date`` only.
 
-    A row's trailing mean looks back ``days`` rows of its series and its
-    lags one row, so the rows from ``first_date`` on need, besides
-    themselves, only the ``days`` most recent earlier rows of each series: a
-    per-series top-k (``row_number() <= days``, run as a partial top-k before
-    the exchange).  The result equals a full recompute; only the partitions
-    from ``first_date`` on are replaced.
+    Earlier dates of the daily table feed only each series' look-back rows
+    (``daily.flags_for_recent``); the result equals a full recompute and
+    only the partitions from ``first_date`` on are replaced.
     """
     table = readers.read_parquet(spark, daily_path)
     first = F.lit(first_date).cast("date")
-    latest_first = Window.partitionBy(*daily.SERIES_KEYS).orderBy(F.desc("date"))
-    lookback = (table.filter(F.col("date") < first)
-                .withColumn("_rank", F.row_number().over(latest_first))
-                .filter(F.col("_rank") <= days).drop("_rank"))
-    rows = lookback.unionByName(table.filter(F.col("date") >= first))
-    flags = daily.anomalies(daily.performance_trends(rows, days)).filter(F.col("date") >= first)
+    flags = daily.flags_for_recent(table.filter(F.col("date") < first),
+                                   table.filter(F.col("date") >= first), days)
     readers.write_table(flags, flags_path, "parquet", ["date"])
 
 
