@@ -98,6 +98,8 @@ ORACLE: dict[str, str] = {
     "daily_performance": f"with {A}, {DAILY_TRAFFIC_CTE} select * from dp",
     "performance_trends": f"with {A}, {DAILY_TRAFFIC_CTE}, {TRENDS_CTE} select * from tr",
     "anomalies": f"with {A}, {DAILY_TRAFFIC_CTE}, {TRENDS_CTE} select * from an",
+    "anomalies_since": f"with {A}, {DAILY_TRAFFIC_CTE}, {TRENDS_CTE} "
+                       "select * from an where date >= date '2024-01-20'",
 }
 
 

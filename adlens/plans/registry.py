@@ -48,12 +48,23 @@ def q_anomalies(spark, sf_dir):
     return daily.anomalies(q_performance_trends(spark, sf_dir))
 
 
+REFRESH_FROM = "2024-01-20"
+
+
+def q_anomalies_since(spark, sf_dir):
+    """C4 + C5 for dates from REFRESH_FROM only, earlier dates feeding just the look-back."""
+    perf = q_daily_performance(spark, sf_dir)
+    first = F.lit(REFRESH_FROM).cast("date")
+    return daily.flags_for_recent(perf.filter(F.col("date") < first), perf.filter(F.col("date") >= first))
+
+
 QUERIES: dict[str, Query] = {
     "daily_traffic": q_daily_traffic,
     "daily_conversions": q_daily_conversions,
     "daily_performance": q_daily_performance,
     "performance_trends": q_performance_trends,
     "anomalies": q_anomalies,
+    "anomalies_since": q_anomalies_since,
 }
 
 
