@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from adlens.operators import alerts, daily, reports, rules, summary
 from adlens.session import checkpoint_root
@@ -34,11 +35,19 @@ def daily_job(spark: SparkSession, traffic: DataFrame, conversion: DataFrame, ou
     if since is None:
         flags = daily.anomalies(daily.performance_trends(daily.daily_performance(traffic, conversion), days))
     else:
+        if fmt != "parquet":
+            raise ValueError("an incremental run reads its own output back: use the parquet sink")
         first = F.lit(since).cast("date")
         recent = daily.daily_performance(traffic.filter(F.col("event_date") >= first),
                                          conversion.filter(F.col("event_date") >= first))
-        written = readers.read_source(spark, output_path, fmt)
-        earlier = written.filter(F.col("date") < first).select(*recent.columns)
+        try:
+            # Only partitions before ``since`` are read; only those from ``since`` on are replaced.
+            earlier = (readers.read_parquet(spark, output_path)
+                       .filter(F.col("date") < first).select(*recent.columns))
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+                raise
+            earlier = recent.filter(F.lit(False))          # first run: no history yet
         flags = daily.flags_for_recent(earlier, recent, days)
     readers.write_table(flags, output_path, fmt, ["date"])
     written = readers.read_source(spark, output_path, fmt, schema=flags.schema)

@@ -129,3 +129,6 @@ def test_incremental_daily_job_equals_full_run(spark):
     inc = jobs.daily_job(spark, traffic, conversion, inc_path, since=cut)["table"]
     cols = full.columns
     assert sorted(map(tuple, inc.select(*cols).collect())) == sorted(map(tuple, full.collect()))
+    # a first run with ``since`` and no table yet: only the dates from the cut are written
+    fresh = jobs.daily_job(spark, traffic, conversion, scratch_path(spark, "daily-fresh"), since=cut)["table"]
+    assert fresh.count() == full.filter(F.col("date") >= cut).count()
