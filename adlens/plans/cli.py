@@ -26,9 +26,16 @@ from adlens.sources import readers
 
 
 def _inputs(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
-    traffic = readers.prepare_traffic(readers.read_source(spark, args.traffic, args.format, TRAFFIC_RAW))
-    conversion = readers.prepare_conversion(
-        readers.read_source(spark, args.conversion, args.format, CONVERSION_RAW), args.attribution)
+    since = getattr(args, "since", None)
+
+    def raw(path, schema):
+        df = readers.read_source(spark, path, args.format, schema)
+        if since is not None and {"year", "month", "day"} <= set(df.columns):
+            df = df.filter(readers.arrival_lower_bound(since))     # older arrivals cannot hold them
+        return df
+
+    traffic = readers.prepare_traffic(raw(args.traffic, TRAFFIC_RAW))
+    conversion = readers.prepare_conversion(raw(args.conversion, CONVERSION_RAW), args.attribution)
     return traffic, conversion
 
 
