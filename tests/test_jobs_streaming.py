@@ -132,3 +132,16 @@ def test_incremental_daily_job_equals_full_run(spark):
     # a first run with ``since`` and no table yet: only the dates from the cut are written
     fresh = jobs.daily_job(spark, traffic, conversion, scratch_path(spark, "daily-fresh"), since=cut)["table"]
     assert fresh.count() == full.filter(F.col("date") >= cut).count()
+
+
+def test_command_line_incremental_daily(spark):
+    from adlens.plans import cli
+    root = scratch_path(spark, "cli-since")
+    spark.createDataFrame(TRAFFIC_ROWS, TRAFFIC_RAW).write.parquet(f"{root}/traffic")
+    spark.createDataFrame(CONVERSION_ROWS, CONVERSION_COLUMNS).write.parquet(f"{root}/conv")
+    base = ["daily", "--traffic", f"{root}/traffic", "--conversion", f"{root}/conv",
+            "--output", f"{root}/daily", "--format", "parquet"]
+    full = cli.run(spark, base)["table"]
+    before = sorted(map(tuple, full.collect()))
+    again = cli.run(spark, base + ["--since", "2025-03-10"])["table"]
+    assert sorted(map(tuple, again.select(*full.columns).collect())) == before
