@@ -145,3 +145,19 @@ def test_command_line_incremental_daily(spark):
     before = sorted(map(tuple, full.collect()))
     again = cli.run(spark, base + ["--since", "2025-03-10"])["table"]
     assert sorted(map(tuple, again.select(*full.columns).collect())) == before
+
+
+def test_report_job_with_rules_document_and_retry(spark):
+    from adlens.sources import config
+    traffic, conversion = tables(spark)
+    root = scratch_path(spark, "report-rules")
+    config.write_rules(spark, [{"condition": "ctr >= 5.0", "action": "increase_bid", "percentage": 5,
+                                "description": "high CTR"}], f"{root}/rules")
+    run_at = dt.datetime(2025, 3, 10, 6, 0)
+    for _ in range(2):                       # a retried run with the same scheduled time
+        res = jobs.report_job(spark, traffic, conversion, "today", "2025-03-10",
+                              history_path=f"{root}/history", rules_path=f"{root}/rules",
+                              run_timestamp=run_at)
+    adj = sorted((r.campaign_id, r.ad_group_id, r.reason) for r in res["bid_adjustments"].collect())
+    assert adj == [("c1", "g1", "Rule triggered: ctr >= 5.0"), ("c2", "g3", "Rule triggered: ctr >= 5.0")]
+    assert history.history_read(spark, f"{root}/history").count() == 1
