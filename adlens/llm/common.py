@@ -25,6 +25,11 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def text_key(text: Column) -> Column:
     """With the doc_id, names a row's content: rows equal in both are copies of one another."""
     return F.xxhash64(text)

@@ -33,6 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adlens.llm.common import n_words, stored, text_key
+from adlens.llm.rolling import mix
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -82,19 +83,12 @@ def permute(index: np.ndarray, domain: np.ndarray, key: np.ndarray) -> np.ndarra
         h, m, k = half[todo], mask[todo], key[todo].astype(np.uint64)
         left, right = out[todo] >> h, out[todo] & m
         for r in range(4):
-            left, right = right, left ^ (_mix(right + k * np.uint64(0x9E3779B97F4A7C15) + np.uint64(r + 1)) & m)
+            left, right = right, left ^ (mix(right + k * np.uint64(0x9E3779B97F4A7C15) + np.uint64(r + 1)) & m)
         out[todo] = (left << h) | right
         todo = todo[out[todo] >= domain[todo].astype(np.uint64)]
     return out.astype(np.int64)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: every input bit reaches every output bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class Mix:
     """One mixing plan over ``docs``: placed documents, source targets and drawn slots."""
 
@@ -153,7 +147,7 @@ class Mix:
                 n, sid = b["blocks"].to_numpy(), b["sid"].to_numpy().astype(np.uint64)
                 index = b["index"].to_numpy()
                 epoch = index // n
-                key = _mix(np.uint64(seed) + sid * np.uint64(1 << 20) + epoch.astype(np.uint64))
+                key = mix(np.uint64(seed) + sid * np.uint64(1 << 20) + epoch.astype(np.uint64))
                 yield pd.DataFrame({"shard": b["shard"], "slot": b["slot"], "sid": b["sid"], "epoch": epoch.astype(np.int32),
                                     "block": permute(index % n, n, key)})
 
@@ -188,15 +182,15 @@ _UNIT = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 
 def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: one row per slot (shard, slot, epoch, source, block, text of its words)."""
-    mix = Mix(docs, **options)
-    spans = mix.pieces().groupBy("doc_id", "tk", "copy", "sid").agg(
+    plan = Mix(docs, **options)
+    spans = plan.pieces().groupBy("doc_id", "tk", "copy", "sid").agg(
         F.sort_array(F.collect_list(F.struct("block", "from_word", "to_word", "start"))).alias("spans"))
     cut = F.transform("spans", lambda s: F.struct(
-        s["block"].alias("block"), (s["start"] + s["from_word"]).alias("at"), _words_of("_units", s).alias("text")))
-    fragments = (_with_rows(docs.select("doc_id", "text", "source"), mix, spans)
-                 .withColumn("_units", F.regexp_extract_all("text", F.lit(_UNIT), F.lit(0)))
-                 .select(F.col("_sid").alias("sid"), "source", F.explode(cut).alias("f")).select("sid", "source", "f.*"))
-    return (mix.drawn().join(fragments, ["sid", "block"]).groupBy("shard", "slot", "epoch", "source", "block")
+        s["block"].alias("block"), (s["start"] + s["from_word"]).alias("at"), _words_of("units", s).alias("text")))
+    fragments = (_with_rows(docs.select("doc_id", "text", "source"), plan, spans)
+                 .withColumn("units", F.regexp_extract_all("text", F.lit(_UNIT), F.lit(0)))
+                 .select("sid", F.col("src").alias("source"), F.explode(cut).alias("f")).select("sid", "source", "f.*"))
+    return (plan.drawn().join(fragments, ["sid", "block"]).groupBy("shard", "slot", "epoch", "source", "block")
             .agg(F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("at", "text"))), lambda x: x["text"])).alias("text")))
 
 
@@ -204,16 +198,15 @@ def _words_of(units: str, span):
     return F.concat_ws("", F.slice(units, (span["from_word"] + 1).cast("int"), (span["to_word"] - span["from_word"]).cast("int")))
 
 
-def _with_rows(docs: DataFrame, mix: Mix, spans: DataFrame) -> DataFrame:
-    """``docs`` joined to what was planned for each row; equal rows are told apart by a running number."""
-    sources = mix.spark.createDataFrame([(k, s) for k, s in enumerate(mix.sources)], "_sid int, _source string")
-    text = docs.withColumn("_key", text_key(F.col("text")))
-    text = text.withColumn("_row", F.row_number().over(W.partitionBy("doc_id", "_key", "source").orderBy(F.lit(0))))
-    text = text.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("_source")))  # one row per source
-    named = {"doc_id": "_id", "tk": "_tk", "copy": "_copy", "sid": "_span_sid"}
-    spans = spans.select(*[F.col(c).alias(named.get(c, c)) for c in spans.columns])
-    return text.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_tk"))
-                     & (F.col("_row") == F.col("_copy")) & (F.col("_sid") == F.col("_span_sid")))
+def _with_rows(docs: DataFrame, plan: Mix, spans: DataFrame) -> DataFrame:
+    """Each row of ``docs`` (as ``doc``, with its text) joined to what was planned for it; equal rows are told apart by a running number."""
+    sources = plan.spark.createDataFrame([(k, s) for k, s in enumerate(plan.sources)], "row_sid int, row_source string")
+    text = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), "text", F.col("doc_id").alias("row_id"), F.col("source").alias("src"),
+                       text_key(F.col("text")).alias("row_key"))
+    text = text.withColumn("row_no", F.row_number().over(W.partitionBy("row_id", "row_key", "src").orderBy(F.lit(0))))
+    text = text.join(F.broadcast(sources), F.col("src").eqNullSafe(F.col("row_source")))  # one row per source
+    return text.join(spans, F.col("row_id").eqNullSafe(F.col("doc_id")) & (F.col("row_key") == F.col("tk"))
+                     & (F.col("row_no") == F.col("copy")) & (F.col("row_sid") == F.col("sid")))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -223,16 +216,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     is; otherwise the text is its taken words with the white space between them.
     ``n_chars``, where there is such a column, is the length of the new text.
     """
-    mix = Mix(docs, **options)
-    slots = mix.drawn().select("sid", "block", "epoch")
-    spans = (mix.pieces().join(slots, ["sid", "block"]).groupBy("doc_id", "tk", "copy", "sid", "size", "epoch")
+    plan = Mix(docs, **options)
+    slots = plan.drawn().select("sid", "block", "epoch")
+    spans = (plan.pieces().join(slots, ["sid", "block"]).groupBy("doc_id", "tk", "copy", "sid", "size", "epoch")
              .agg(F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias("spans"),
-                  F.sum(F.col("to_word") - F.col("from_word")).alias("n"))
-             .withColumnRenamed("size", "_size").withColumnRenamed("spans", "_spans").withColumnRenamed("n", "_n"))
-    units = F.when(F.col("_n") < F.col("_size"), F.regexp_extract_all("text", F.lit(_UNIT), F.lit(0)))
-    joined = _with_rows(docs, mix, spans).withColumn("_units", units)
-    part = F.concat_ws("", F.transform("_spans", lambda s: _words_of("_units", s)))
-    new = F.when(F.col("_n") == F.col("_size"), F.col("text")).otherwise(F.regexp_replace(part, r"^[\x20\x09-\x0D]+", ""))
-    joined = joined.withColumn("_text", new)
-    cols = {"text": F.col("_text"), "n_chars": F.length("_text").cast(dict(docs.dtypes).get("n_chars", "long"))}
-    return joined.select(*[cols[c].alias(c) if c in cols else F.col(c) for c in docs.columns])
+                  F.sum(F.col("to_word") - F.col("from_word")).alias("n")))
+    whole = F.col("n") == F.col("size")
+    joined = _with_rows(docs, plan, spans).withColumn("units", F.when(~whole, F.regexp_extract_all("text", F.lit(_UNIT), F.lit(0))))
+    part = F.concat_ws("", F.transform("spans", lambda s: _words_of("units", s)))
+    joined = joined.withColumn("new", F.when(whole, F.col("text")).otherwise(F.regexp_replace(part, r"^[\x20\x09-\x0D]+", "")))
+    cols = {"text": F.col("new"), "n_chars": F.length("new").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return joined.select(*[(cols[c] if c in cols else F.col("doc")[c]).alias(c) for c in docs.columns])

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import WORD, words
+from adlens.llm.common import WORD, let, words
 
 WINDOW = 8
 
@@ -55,7 +55,7 @@ def _repeat_words(w: Column, n: Column) -> Column:
             (F.when(j > 0, s[j - 1]["k"] == s[j]["k"]).otherwise(F.lit(False)))
             | (F.when(j < last, s[j + 1]["k"] == s[j]["k"]).otherwise(F.lit(False))))
         places = F.sort_array(F.transform(F.filter(starts, twice), lambda j: s[j]["i"]))
-        return _let(places, lambda p: F.aggregate(
+        return let(places, lambda p: F.aggregate(
             F.when(F.size(p) > 0, F.sequence(F.lit(0), F.size(p) - 1)).otherwise(F.array().cast("array<int>")),
             F.lit(0).cast("long"),
             lambda acc, j: acc + F.when(j == F.size(p) - 1, F.lit(WINDOW)).otherwise(
@@ -63,12 +63,7 @@ def _repeat_words(w: Column, n: Column) -> Column:
 
     return (F.when(n < WINDOW, F.lit(0).cast("long"))
             .when(F.size(F.array_distinct(hashes)) == last + 1, F.lit(0).cast("long"))
-            .otherwise(_let(placed, covered)))
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` evaluated once, however often the body names it."""
-    return F.transform(F.array(value), body)[0]
+            .otherwise(let(placed, covered)))
 
 
 def measures(docs: DataFrame) -> DataFrame:
