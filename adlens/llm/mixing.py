@@ -43,6 +43,7 @@ BUCKETS = 4096
 N_SHARDS = 64
 SEED = 20_240_501
 CHUNK = 1 << 16
+SLOTS_PER_TASK = 1 << 18
 
 
 def targets(sizes: list[int], weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> list[float]:
@@ -136,7 +137,8 @@ class Mix:
                 place += int(n)
         df = self.spark.createDataFrame(cells, "shard int, place long, sid int, first long, n long, blocks long")
         chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {CHUNK}")))
-        df = df.withColumn("chunk", chunk).repartition("shard", "sid", "chunk")
+        # By number: few small rows become many, which the planner can't see, so it must not merge these partitions.
+        df = df.withColumn("chunk", chunk).repartition(int(sum(self.slots)) // SLOTS_PER_TASK + 1, "shard", "sid", "chunk")
         step = F.explode(F.sequence(F.col("chunk") * CHUNK, F.least(F.col("n"), (F.col("chunk") + 1) * CHUNK) - 1))
         df = df.withColumn("j", step).select("shard", (F.col("place") + F.col("j")).alias("slot"), "sid",
                                              (F.col("first") + F.col("j")).alias("index"), "blocks")
@@ -165,7 +167,7 @@ class Mix:
         """One row per document: the words the mix takes of it, repeats counted."""
         times = self.drawn().groupBy("sid", "block").agg(F.count("*").alias("times"))
         keys = ["doc_id", "sid", "start", "size", "source_size", "target"]
-        some = (self.pieces().join(times, ["sid", "block"], "left").groupBy(*keys)
+        some = (self.pieces().join(times.hint("merge"), ["sid", "block"], "left").groupBy(*keys)
                 .agg(F.sum((F.col("to_word") - F.col("from_word")) * F.coalesce("times", F.lit(0))).alias("taken")))
         none = self.docs.filter("size = 0").select(*keys, F.lit(0).cast("long").alias("taken"))
         return some.unionByName(none).select("doc_id", "size", "source_size", "target", "taken")
@@ -190,7 +192,7 @@ def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
     fragments = (_with_rows(docs.select("doc_id", "text", "source"), plan, spans)
                  .withColumn("units", F.regexp_extract_all("text", F.lit(_UNIT), F.lit(0)))
                  .select("sid", F.col("src").alias("source"), F.explode(cut).alias("f")).select("sid", "source", "f.*"))
-    return (plan.drawn().join(fragments, ["sid", "block"]).groupBy("shard", "slot", "epoch", "source", "block")
+    return (plan.drawn().hint("merge").join(fragments, ["sid", "block"]).groupBy("shard", "slot", "epoch", "source", "block")
             .agg(F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("at", "text"))), lambda x: x["text"])).alias("text")))
 
 
@@ -218,7 +220,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     plan = Mix(docs, **options)
     slots = plan.drawn().select("sid", "block", "epoch")
-    spans = (plan.pieces().join(slots, ["sid", "block"]).groupBy("doc_id", "tk", "copy", "sid", "size", "epoch")
+    spans = (plan.pieces().join(slots.hint("merge"), ["sid", "block"]).groupBy("doc_id", "tk", "copy", "sid", "size", "epoch")
              .agg(F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias("spans"),
                   F.sum(F.col("to_word") - F.col("from_word")).alias("n")))
     whole = F.col("n") == F.col("size")
