@@ -191,9 +191,10 @@ def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
         s["block"].alias("block"), (s["start"] + s["from_word"]).alias("at"), _words_of("units", s).alias("text")))
     fragments = (_with_rows(docs.select("doc_id", "text", "source"), plan, spans)
                  .withColumn("units", F.regexp_extract_all("text", F.lit(_UNIT), F.lit(0)))
-                 .select("sid", F.col("src").alias("source"), F.explode(cut).alias("f")).select("sid", "source", "f.*"))
+                 .select("sid", F.col("src").alias("source"), F.explode(cut).alias("piece")).select("sid", "source", "piece.block", "piece.at", "piece.text"))
     return (plan.drawn().hint("merge").join(fragments, ["sid", "block"]).groupBy("shard", "slot", "epoch", "source", "block")
-            .agg(F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("at", "text"))), lambda x: x["text"])).alias("text")))
+            .agg(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(F.struct("at", "text"))),
+                                              lambda x: F.regexp_replace(x["text"], r"^[\x20\x09-\x0D]+", ""))).alias("text")))
 
 
 def _words_of(units: str, span):
