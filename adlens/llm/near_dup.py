@@ -12,7 +12,10 @@
    away (six standard deviations); the rest is decided on the full sets.
 5. Components by alternating large-star and small-star steps.
 6. What step 3 left open: buckets of four or more that still hold several
-   components.  There, pairs across components are checked, and only those.
+   components.  There, pairs across components are checked, and only those that
+   can be links at all: shingles that only one of these documents has bound what
+   a pair can share, exactly, so a crowd of copies that each went their own way
+   doesn't become all pairs.
 
 A link at the threshold is missed with probability (1 - 0.85**6)**40 = 6e-9.
 
@@ -177,10 +180,9 @@ def _near(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose full shingle sets reach the threshold, stored."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = stored(reps.join(ends, "node").select("node", F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")), "wanted")
+def shingle_table(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, shingles: the sorted hashes as bytes) of the given nodes, from their whole texts, stored."""
+    wanted = stored(reps.join(nodes, "node").select("node", F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")), "wanted")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = d.join(_near(wanted), d["doc_id"].eqNullSafe(F.col("_id")) & (text_key(d["text"]) == F.col("_tk"))).select("node", "text")
 
@@ -190,8 +192,11 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
                 sets = shingle_sets(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
 
-    sets = stored(texts.mapInArrow(to_sets, "node long, shingles binary").dropDuplicates(["node"]), "sets")
+    return stored(texts.mapInArrow(to_sets, "node long, shingles binary").dropDuplicates(["node"]), "sets")
+
 
+def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose full shingle sets reach the threshold, stored."""
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -201,12 +206,29 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
                 keep.append(100 * both >= THRESHOLD * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    # A few hundred KB to a pair, so small Arrow batches come from the many partitions, not from row counts.
     with_sets = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
                  .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"))
     return stored(with_sets.select("a", "b", "x", "y").mapInArrow(linked, "a long, b long"), "links")
 
 
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """(node, own): how many of a node's shingles no other node of ``sets`` has."""
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, data in zip(batch.column("node").to_pylist(), batch.column("shingles").to_pylist()):
+                x = np.frombuffer(data, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(np.full(len(x), node))], names=["shingle", "node"])
+
+    each = sets.mapInArrow(spread, "shingle long, node long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+    return each.filter("n = 1").groupBy("node").agg(F.count("*").alias("own"))
+
+
+def _may_link(a: str, b: str):
+    """What two sets can share at most, and must hold at least, by the shingles only one of all has: exact, no estimate."""
+    rest = [F.col(f"{x}.n_shingles") - F.col(f"{x}.own") for x in (a, b)]
+    return 100 * F.least(*rest) >= THRESHOLD * (F.col(f"{a}.own") + F.col(f"{b}.own") + F.greatest(*rest))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the smallest node it reaches.
 
@@ -214,27 +236,29 @@ def components(edges: DataFrame) -> DataFrame:
     smallest one, by an aggregate and a join, never by a list of neighbours.
     """
     def star(edges: DataFrame, large: bool) -> DataFrame:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else \
-            edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        both = _both_ways(edges) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         hung = both.join(least, "a")
         out = hung.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")) if large else \
             hung.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        return out.filter("a <> b").distinct()
-
-    def state(edges: DataFrame):
-        return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-
-    edges = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = state(edges)
-    while True:
-        edges = stored(star(star(edges, True), False), "edges")
-        after = state(edges)
-        if after == before:
-            break
-        before = after
+        return out.filter("a <> b")
+
+    edges = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges")
+    while not _all_stars(edges):
+        edges = stored(star(star(edges, True), False).distinct(), "edges")
+    leaves = edges.distinct()
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+    return leaves.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+
+
+def _both_ways(edges: DataFrame) -> DataFrame:
+    return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """No node has a smaller and a larger neighbour, nor two smaller ones: every component hangs on its smallest node."""
+    ends = _both_ways(edges).groupBy("a").agg(F.min("b").alias("lo"), F.max("b").alias("hi"), F.max(F.when(F.col("b") < F.col("a"), F.col("b"))).alias("below"))
+    return not ends.filter("lo < a and (hi > a or below > lo)").limit(1).count()
 
 
 def link(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -246,26 +270,34 @@ def link(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = reps.select("node", F.explode("bands").alias("band"))
     ends = rows.groupBy("band").agg(F.min("node").alias("p"), F.max("node").alias("q"), F.count("*").alias("n")).filter("n > 1")
     ends = stored(ends, "buckets")
-    near_ends = _near(ends)
-    pairs = (rows.join(near_ends, "band").select("node", F.explode(F.array("p", "q")).alias("p")).filter("node <> p")
+    small = ends.count() <= BROADCAST_ROWS
+    pairs = (rows.join(F.broadcast(ends) if small else ends, "band").select("node", F.explode(F.array("p", "q")).alias("p")).filter("node <> p")
              .select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct())
     slim = reps.select(*marks)
     tested = stored(pairs.alias("e").join(slim.alias("x"), F.col("e.a") == F.col("x.node")).join(slim.alias("y"), F.col("e.b") == F.col("y.node"))
                     .filter(_alike("x", "y")).select("e.a", "e.b"), "pairs")
-    links = verify(tested, reps, docs)
+    ends_of = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    links = verify(tested, shingle_table(ends_of(tested), reps, docs))
     roots = stored(components(links), "components")
     # Buckets of up to three are done: both ends met each other and the middle.
-    open_rows = rows.join(_near(stored(ends.filter("n > 3").select("band"), "large")), "band")
+    large = ends.filter("n > 3").select("band")
+    open_rows = rows.join(F.broadcast(large) if small else large, "band")
     open_rows = open_rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = open_rows.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("band")
     open_rows = stored(open_rows.join(mixed, "band", "left_semi").join(slim, "node"), "open")
+    if not open_rows.limit(1).count():
+        return reps, roots
+    sets = shingle_table(open_rows.select("node").distinct(), reps, docs)
+    own = stored(own_shingles(sets), "own")
+    open_rows = open_rows.join(own, "node", "left").fillna(0, ["own"])
     x, y = open_rows.alias("x"), open_rows.alias("y")
     more = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.node") > F.col("y.node"))
-                   & (F.col("x.root") != F.col("y.root")) & _alike("x", "y"))
+                   & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y") & _alike("x", "y"))
             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
     more = stored(more.join(tested, ["a", "b"], "left_anti"), "more-pairs")
     if more.limit(1).count():
-        roots = stored(components(links.unionByName(verify(more, reps, docs))), "components")
+        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # what is joined stays joined
+        roots = stored(components(known.unionByName(verify(more, sets))), "components")
     return reps, roots
 
 
