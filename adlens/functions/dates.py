@@ -60,13 +60,31 @@ def window_bounds(window: str, as_of) -> tuple[_dt.date, _dt.date]:
     return day, day
 
 
+def text_window_filter(window: str, as_of=None, text_col: str = "time_window_start", bounded: bool = False) -> Column:
+    """The same window as a range on the ISO text itself.
+
+    ISO text sorts by its first ten characters, so the range holds exactly for
+    well-formed text and, unlike a function of the column, reaches the scan.
+    """
+    base = F.current_date() if as_of is None else F.lit(_as_date(as_of))
+    first, last = base, base
+    if window == "yesterday":
+        first = last = F.date_sub(base, 1)
+    elif window == "last7days":
+        first, last = F.date_sub(base, 7), base if bounded else None
+    text = F.col(text_col)
+    inside = text >= date_text(first)
+    return inside if last is None else inside & (text < date_text(F.date_add(last, 1)))
+
+
 def window_filter(window: str = "today", as_of=None, date_col: str = "event_date",
-                  bounded: bool = True) -> Column:
+                  bounded: bool = False) -> Column:
     """Predicate for a named report window (F1-F4, DT5, DT6).
 
     ``as_of=None`` means the current date (the reference's live behaviour).
-    ``last7days`` has no upper bound in the reference; since ``as_of`` may
-    lie in the past here, it is bounded by ``as_of`` unless ``bounded=False``.
+    ``last7days`` has no upper bound (D16: a marketplace ahead of UTC is already
+    in the next day); ``bounded=True`` ends it at ``as_of``, for an ``as_of``
+    that lies in the past.
     """
     d = F.col(date_col)
     base = F.current_date() if as_of is None else F.lit(_as_date(as_of))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from adlens.functions.dates import date_text
 from adlens.functions.metrics import num_text, zero_if_null
-from adlens.functions.text import text, value_text
+from adlens.functions.text import text, value_text, with_severity
 from adlens.operators.daily import anomalous
 from adlens.operators.summary import THRESHOLDS
 
@@ -137,6 +137,12 @@ def alert_digest(alerts: DataFrame) -> DataFrame:
                      F.asc_nulls_first("campaign_id"), F.asc_nulls_first("ad_group_id")))
 
 
+def notifications(alerts: DataFrame, subject: str = "Advertising alert") -> DataFrame:
+    """T3 applied to every alert: subject and message with the banner of the alert's level."""
+    new_subject, new_message = with_severity(F.lit(subject), "message", "level")
+    return alerts.select("level", "type", "campaign_id", "ad_group_id", new_subject.alias("subject"), new_message.alias("message"))
+
+
 def anomaly_digest(flags: DataFrame, limit: int = 10) -> DataFrame:
     """Count of flagged rows and one text block for each of the first ``limit``.
 

@@ -147,6 +147,22 @@ def flags_for_recent(earlier: DataFrame, recent: DataFrame, days: int = 7) -> Da
     return flags.filter(F.col("_recent")).drop("_recent")
 
 
+def flags_since(perf: DataFrame, first, days: int = 7) -> DataFrame:
+    """C4 + C5 for the dates from ``first`` on, out of one pass over the daily rows.
+
+    As ``flags_for_recent``, for rows that are computed rather than read: the
+    look-back rows are picked by a window over the same series, so the raw
+    tables are read once and the series are exchanged once.
+    """
+    recent = F.col("date") >= F.lit(first).cast("date")
+    series = Window.partitionBy(*SERIES_KEYS)
+    rows = (perf.withColumns({"_recent": recent, "_n": F.count_if(recent).over(series),
+                              "_rank": F.row_number().over(series.orderBy(F.desc("date")))})
+            .filter(F.col("_rank") <= F.col("_n") + days).drop("_n", "_rank"))
+    flags = anomalies(performance_trends(rows, days))
+    return flags.filter(F.col("_recent")).drop("_recent")
+
+
 def anomalous(flags: DataFrame) -> DataFrame:
     """F10 + P2: the flagged rows, narrowed for alerting."""
     return (flags.filter(F.col("has_anomaly") == 1)

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlens.functions import metrics as M
-from adlens.functions.dates import window_filter
+from adlens.functions.dates import text_window_filter, window_filter
 from adlens.operators.combine import totals
 
 AD_GROUP_KEYS = ["campaign_id", "ad_group_id"]
@@ -22,17 +23,23 @@ RAW_JOIN_KEYS = ["campaign_id", "ad_group_id", "time_window_start"]
 
 
 def _scope(df: DataFrame, window: str | None, as_of, campaign_id, bounded: bool) -> DataFrame:
-    """Rows of the report window (all rows for ``window=None``) and the campaign, if any."""
+    """Rows of the report window (all rows for ``window=None``) and the campaign, if any (null or empty: all).
+
+    On raw rows, whose window start is ISO text, the window also goes in as a
+    range on that text, which the scan can use to skip files and row groups.
+    """
     if window is not None:
         df = df.filter(window_filter(window, as_of, bounded=bounded))
-    if campaign_id is not None:
+        if isinstance(df.schema["time_window_start"].dataType, T.StringType):
+            df = df.filter(text_window_filter(window, as_of, bounded=bounded))
+    if campaign_id not in (None, ""):
         df = df.filter(F.col("campaign_id") == F.lit(str(campaign_id)))
     return df
 
 
 def window_report(traffic: DataFrame, conversion: DataFrame, keys: list[str],
                   window: str = "today", as_of=None, campaign_id=None,
-                  bounded: bool = True) -> DataFrame:
+                  bounded: bool = False) -> DataFrame:
     """Traffic sums left-joined with conversion sums over a report window, plus ratios.
 
     Conversion-side values stay null for groups without conversions, and
@@ -55,19 +62,19 @@ def window_report(traffic: DataFrame, conversion: DataFrame, keys: list[str],
     )
 
 
-def ad_group_report(traffic, conversion, window="today", as_of=None, bounded=True) -> DataFrame:
+def ad_group_report(traffic, conversion, window="today", as_of=None, bounded=False) -> DataFrame:
     """One row per campaign and ad group with traffic in the window."""
     return window_report(traffic, conversion, AD_GROUP_KEYS, window, as_of, bounded=bounded)
 
 
 def campaign_report(traffic, conversion, window="today", as_of=None, campaign_id=None,
-                    bounded=True, ordered: bool = True) -> DataFrame:
+                    bounded=False, ordered: bool = True) -> DataFrame:
     """One row per campaign, largest (rounded) spend first (O1)."""
     out = window_report(traffic, conversion, CAMPAIGN_KEYS, window, as_of, campaign_id, bounded)
     return out.orderBy(F.desc_nulls_last("spend"), "campaign_id") if ordered else out
 
 
-def account_report(traffic, conversion, window="today", as_of=None, bounded=True) -> DataFrame:
+def account_report(traffic, conversion, window="today", as_of=None, bounded=False) -> DataFrame:
     """Exactly one row; conversions count even without traffic."""
     return window_report(traffic, conversion, [], window, as_of, bounded=bounded)
 
@@ -75,14 +82,22 @@ def account_report(traffic, conversion, window="today", as_of=None, bounded=True
 def _keyword_traffic(traffic, window, as_of, campaign_id, keyword, bounded) -> DataFrame:
     t = _scope(traffic, window, as_of, campaign_id, bounded).filter(F.col("keyword_text").isNotNull())
     if keyword:
-        # Case-sensitive substring; % and _ in the keyword stay wildcards.
-        t = t.filter(F.col("keyword_text").like(f"%{keyword}%"))
+        # Case-sensitive substring; % and _ in the keyword stay wildcards (F7).  No
+        # escape character there, so ours is one the keyword doesn't have.
+        escape = next(c for c in map(chr, range(1, 0x110000)) if c not in keyword)
+        t = t.filter(F.like(F.col("keyword_text"), F.lit(f"%{keyword}%"), F.lit(escape)))
     return t
 
 
 def _keyword_attributed(t: DataFrame, c: DataFrame) -> DataFrame:
-    """Each side summed at its own grain, then conversions attributed by keyword id."""
-    tk = t.groupBy(*KEYWORD_KEYS).agg(
+    """Each side summed by campaign and keyword id, then conversions attributed by that id, once.
+
+    A keyword id seen with several texts or match types is one row, with the
+    newest pair, so a sale never counts twice.
+    """
+    newest = F.max(F.struct("time_window_start", "keyword_text", "match_type"))
+    tk = t.groupBy("campaign_id", "keyword_id").agg(
+        newest["keyword_text"].alias("keyword_text"), newest["match_type"].alias("match_type"),
         M.count_sum("impressions").alias("impressions"),
         M.count_sum("clicks").alias("clicks"),
         M.money_sum("cost").alias("cost"))
@@ -125,11 +140,11 @@ def _keyword_as_written(t: DataFrame, c: DataFrame) -> DataFrame:
 
 def keyword_report(traffic: DataFrame, conversion: DataFrame, window: str = "today", as_of=None,
                    campaign_id=None, keyword: str | None = None, limit: int | None = 10,
-                   mode: str = "attributed", bounded: bool = True) -> DataFrame:
+                   mode: str = "attributed", bounded: bool = False) -> DataFrame:
     """Keyword performance, top ``limit`` by cost (O2).
 
-    ``mode="attributed"`` (default) sums each side by keyword and joins on
-    campaign and keyword id.  ``mode="as_written"`` reproduces the
+    ``mode="attributed"`` (default) sums each side by campaign and keyword id
+    and joins on them.  ``mode="as_written"`` reproduces the
     reference's join of raw rows on campaign, ad group and hour, fan-out
     included (D9).
     """
@@ -148,5 +163,5 @@ def keyword_report(traffic: DataFrame, conversion: DataFrame, window: str = "tod
         M.conversion_rate("conversions", "clicks").alias("conversion_rate"),
         M.ctr("clicks", "impressions").alias("ctr"))
     ordered = out.orderBy(F.desc_nulls_last("cost"), *[F.asc_nulls_last(k) for k in KEYWORD_KEYS])
-    return ordered.limit(limit) if limit else ordered
+    return ordered if limit is None else ordered.limit(limit)
 

@@ -5,7 +5,7 @@ of text substitution and ``eval`` per row, each condition is checked
 against a whitelist, rewritten to Spark SQL and compiled once with
 ``F.expr``; all rules are then evaluated in one narrow pass as an array of
 ``when(condition, struct)`` that is filtered and exploded.  Rules are
-configuration (a handful of entries, size-checked), not data.
+configuration, not data.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import logging
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,12 +36,14 @@ DEFAULT_RULES = [
 
 # The metric names a condition may use, and the report column each one reads.
 METRICS = ("acos", "roas", "conversion", "ctr")
-MAX_RULES = 1000
+# Rules to one expression array; more rules make more arrays, in the same pass.
+RULES_PER_ARRAY = 200
 
 _TOKEN = re.compile(r"""\s*(?:
-    (?P<num>\d+(?:\.\d*)?|\.\d+)
+    (?P<num>(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?)
   | (?P<name>[A-Za-z_]\w*)
   | (?P<op><=|>=|==|!=|<|>)
+  | (?P<sign>[-+*/])
   | (?P<paren>[()])
   )""", re.VERBOSE)
 _WORDS = {"and": "AND", "or": "OR", "not": "NOT"}
@@ -57,13 +59,13 @@ class CompiledRule:
     index: int
     condition: str
     action: str
-    percentage: int
+    percentage: float
     description: str | None
     predicate: Column
 
 
-def to_sql(condition: str) -> str:
-    """Rewrite a whitelisted condition to Spark SQL over ``_m_<metric>`` columns."""
+def _tokens(condition: str) -> list[tuple[str, str]]:
+    """(kind, text) of a whitelisted condition, in order."""
     out, pos = [], 0
     text = condition.rstrip()
     while pos < len(text):
@@ -71,25 +73,107 @@ def to_sql(condition: str) -> str:
         if not m or m.end() == pos:
             raise InvalidRule(f"unexpected text at {pos}: {text[pos:pos + 10]!r}")
         pos = m.end()
-        if m.group("num"):
-            out.append(f"CAST({m.group('num')} AS DOUBLE)")
-        elif m.group("name"):
-            word = m.group("name")
-            if word in METRICS:
-                out.append(f"_m_{word}")
-            elif word in _WORDS:
-                out.append(_WORDS[word])
-            else:
+        kind = m.lastgroup
+        word = m.group(kind)
+        if kind == "name":
+            if word not in METRICS and word not in _WORDS:
                 raise InvalidRule(f"unknown name {word!r}")
-        elif m.group("op"):
-            out.append(_OPS.get(m.group("op"), m.group("op")))
-        else:
-            out.append(m.group("paren"))
+            kind = "word" if word in _WORDS else kind
+        out.append((kind, word))
     if not out:
         raise InvalidRule("empty condition")
+    return out
+
+
+def _safe_division(term: str) -> str:
+    """Divisors that are 0 become null, so such a rule doesn't fire and the job doesn't fail."""
+    out, k = [], 0
+    words = term.split(" ")
+    while k < len(words):
+        out.append(words[k])
+        k += 1
+        if out[-1] != "/":
+            continue
+        # The divisor: signs, then a number, a name or a parenthesis.
+        start, depth = k, 0
+        while k < len(words) and words[k] in "+-":
+            k += 1
+        while k < len(words):
+            depth += {"(": 1, ")": -1}.get(words[k], 0)
+            k += 3 if words[k].startswith("CAST(") else 1
+            if depth == 0:
+                break
+        out.append(f"nullif({_safe_division(' '.join(words[start:k]))}, CAST('0' AS DOUBLE))")
     return " ".join(out)
 
 
+def to_sql(condition: str) -> str:
+    """Rewrite a whitelisted condition to Spark SQL over ``_m_<metric>`` columns.
+
+    Between ``and``, ``or``, ``not`` and the parentheses around them stand
+    comparisons of arithmetic terms; ``a < b < c`` means ``a < b AND b < c``.
+    """
+    tokens = _tokens(condition)
+    closing, open_at = {}, []
+    for k, (_, t) in enumerate(tokens):
+        if t == "(":
+            open_at.append(k)
+        elif t == ")":
+            if not open_at:
+                raise InvalidRule("unbalanced parentheses")
+            closing[open_at.pop()] = k
+    if open_at:
+        raise InvalidRule("unbalanced parentheses")
+
+    def logical(a: int, b: int) -> bool:
+        return any(kind in ("word", "op") for kind, _ in tokens[a:b])
+
+    def term(a: int, b: int) -> str:
+        if a == b:
+            raise InvalidRule("a side of a comparison is missing")
+        parts = []
+        for kind, t in tokens[a:b]:
+            parts.append(f"CAST('{t}' AS DOUBLE)" if kind == "num" else f"_m_{t}" if kind == "name" else t)
+        return _safe_division(" ".join(parts))
+
+    def comparison(a: int, b: int) -> str:
+        cuts, k = [], a
+        while k < b:
+            if tokens[k][0] == "op":
+                cuts.append(k)
+            k = closing[k] + 1 if k in closing else k + 1
+        if not cuts:
+            return f"({term(a, b)})"
+        edges = [a, *[c + 1 for c in cuts]]
+        sides = [term(x, y) for x, y in zip(edges, [*cuts, b])]
+        tests = [f"(({x}) {_OPS.get(tokens[c][1], tokens[c][1])} ({y}))" for x, c, y in zip(sides, cuts, sides[1:])]
+        return "(" + " AND ".join(tests) + ")"
+
+    def boolean(a: int, b: int) -> str:
+        out, k = [], a
+        while k < b:
+            kind, t = tokens[k]
+            if kind == "word":
+                out.append(_WORDS[t])
+                k += 1
+            elif k in closing and logical(k + 1, closing[k]):
+                out.append(f"({boolean(k + 1, closing[k])})")
+                k = closing[k] + 1
+                if k < b and tokens[k][0] != "word":
+                    raise InvalidRule("a comparison can't be compared")
+            else:
+                end = k
+                while end < b and tokens[end][0] != "word":
+                    if end in closing and logical(end + 1, closing[end]):
+                        raise InvalidRule("a comparison can't be compared")
+                    end = closing[end] + 1 if end in closing else end + 1
+                out.append(comparison(k, end))
+                k = end
+        return " ".join(out)
+
+    return boolean(0, len(tokens))
+
+
 def _metric_frame(df: DataFrame) -> DataFrame:
     """The metrics as rules see them: missing values are 0."""
     return df.withColumns({f"_m_{m}": zero_if_null(m) for m in METRICS})
@@ -101,8 +185,6 @@ def compile_rules(rules: list[dict], probe: DataFrame) -> tuple[list[CompiledRul
     ``probe`` is any frame carrying the four metric columns; the compiled
     predicates are resolved against it (analysis only, no job runs).
     """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules exceed the limit of {MAX_RULES}")
     frame = _metric_frame(probe)
     ok, rejected = [], []
     for i, rule in enumerate(rules):
@@ -112,7 +194,7 @@ def compile_rules(rules: list[dict], probe: DataFrame) -> tuple[list[CompiledRul
             dtype = frame.select(pred.alias("p")).schema["p"].dataType
             if not isinstance(dtype, T.BooleanType):
                 raise InvalidRule(f"condition is {dtype.simpleString()}, not boolean")
-            ok.append(CompiledRule(i, cond, str(rule["action"]), int(rule["percentage"]),
+            ok.append(CompiledRule(i, cond, str(rule["action"]), float(rule["percentage"]),
                                    rule.get("description"), pred))
         except Exception as e:  # noqa: BLE001 - any faulty rule is reported and skipped
             log.error("Error evaluating rule condition %r: %s", rule.get("condition"), e)
@@ -124,7 +206,9 @@ def _fired(df: DataFrame, compiled: list[CompiledRule], payload) -> DataFrame:
     """Rows x matching rules, in rule order; 0..n output rows per input row."""
     frame = _metric_frame(df)
     candidates = [F.when(r.predicate, payload(r)) for r in compiled]
-    return frame.select("*", F.explode(F.filter(F.array(*candidates), lambda x: x.isNotNull())).alias("r"))
+    parts = [F.filter(F.array(*candidates[a:a + RULES_PER_ARRAY]), lambda x: x.isNotNull())
+             for a in range(0, len(candidates), RULES_PER_ARRAY)]
+    return frame.select("*", F.explode(F.concat(*parts)).alias("r"))
 
 
 def _no_rows(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -132,6 +216,14 @@ def _no_rows(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.filter(F.lit(False)).select(*[F.lit(None).cast(t).alias(c) for c, t in columns.items()])
 
 
+def rejected_rules(spark: SparkSession, rules: list[dict]) -> DataFrame:
+    """The rules that can't be used, with the reason: one row each."""
+    probe = spark.createDataFrame([], ", ".join(f"{m} double" for m in METRICS))
+    _, rejected = compile_rules(rules, _metric_frame(probe))
+    rows = [(str(r.get("condition")), str(r.get("action")), why) for r, why in rejected]
+    return spark.createDataFrame(rows, "condition string, action string, reason string")
+
+
 def bid_adjustments(report: DataFrame, rules: list[dict] | None = None) -> DataFrame:
     """Every matching rule of every ad group emits one adjustment."""
     compiled, _ = compile_rules(DEFAULT_RULES if rules is None else rules, _metric_frame(report))
@@ -143,7 +235,7 @@ def bid_adjustments(report: DataFrame, rules: list[dict] | None = None) -> DataF
 
     if not compiled:
         return _no_rows(report, {"campaign_id": "string", "ad_group_id": "string", "action": "string",
-                                 "percentage": "int", "reason": "string"})
+                                 "percentage": "double", "reason": "string"})
     out = _fired(report, compiled, payload)
     return out.select("campaign_id", "ad_group_id", "r.action", "r.percentage", "r.reason")
 
@@ -161,7 +253,7 @@ def bid_recommendations(campaigns: DataFrame, rules: list[dict] | None = None) -
         return _no_rows(campaigns, {
             "campaign_id": "string",
             "current_metrics": "struct<acos:double,roas:double,conversion:double,ctr:double>",
-            "action": "string", "percentage": "int", "description": "string", "reason": "string"})
+            "action": "string", "percentage": "double", "description": "string", "reason": "string"})
     out = _fired(campaigns, compiled, payload)
     metrics = F.struct(*[F.col(f"_m_{m}").alias(m) for m in METRICS])
     return out.select("campaign_id", metrics.alias("current_metrics"),

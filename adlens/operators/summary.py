@@ -13,13 +13,10 @@ from pyspark.sql import functions as F
 
 from adlens.functions.metrics import MONEY_2DP, round_half_up
 
-# Alert and distribution thresholds.  Only the
-# ROAS, ACOS and daily-spend groups are consulted anywhere.
+# The alert and distribution thresholds that are read.
 THRESHOLDS = {
-    "ROAS": {"critical_low": 1.0, "warning_low": 2.0, "target": 3.0, "good": 4.0},
-    "ACOS": {"critical_high": 50.0, "warning_high": 35.0, "target": 25.0, "good": 20.0},
-    "CTR": {"critical_low": 0.1, "warning_low": 0.25, "target": 0.5, "good": 0.75},
-    "Conversion": {"critical_low": 1.0, "warning_low": 2.0, "target": 3.0, "good": 5.0},
+    "ROAS": {"critical_low": 1.0, "warning_low": 2.0, "good": 4.0},
+    "ACOS": {"critical_high": 50.0, "warning_high": 35.0, "good": 20.0},
     "Daily_Spend": {"warning_high": 500.0, "critical_high": 1000.0},
 }
 

@@ -1,15 +1,20 @@
-"""Command line for the two scheduled jobs.
+"""Command line for the scheduled jobs and the reports.
 
-    spark-submit --py-files adlens.zip adlens/plans/cli.py daily  --traffic P --conversion P --output P
-                 [--since YYYY-MM-DD] [--format csv]
+    spark-submit --py-files adlens.zip adlens/plans/cli.py daily  --traffic P --conversion P --output P [--since YYYY-MM-DD]
     spark-submit --py-files adlens.zip adlens/plans/cli.py report --traffic P --conversion P --results P
-                 [--window today|yesterday|last7days] [--as-of YYYY-MM-DD]
-                 [--history P] [--rules P] [--format csv]
-
-``daily`` writes the daily table partitioned by date and the anomaly digest;
-``report`` writes the report rows, summary, alerts, alert digest and bid
-adjustments, each as a parquet folder under ``--results``, and appends the
-summary to the history table.  The session comes from ``spark-submit``.
+                 [--window today|yesterday|last7days] [--as-of YYYY-MM-DD] [--until-as-of]
+                 [--history P] [--account NAME] [--run-timestamp T] [--rules P]
+    ... campaigns | account | keywords | recommendations  --traffic P --conversion P --results P [--window W] ...
+    ... history --history P [--keep N] --results P
+
+``--format csv|parquet`` says how to read the inputs; ``--format table`` takes
+them as catalog names (``db.table``).  ``daily`` writes the daily table
+partitioned by date and the anomaly digest; ``report`` writes the report rows,
+summary, alerts, alert digest, bid adjustments and rejected rules, each as a
+parquet folder under ``--results``, and appends the summary to the history
+table; the others write one parquet folder.  The session comes from
+``spark-submit``; the library's session defaults are applied and shuffles are
+sized to the input.
 """
 
 from __future__ import annotations
@@ -19,66 +24,109 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adlens.functions.dates import window_bounds
+from adlens.operators import reports
 from adlens.plans import jobs
 from adlens.schema import CONVERSION_RAW, TRAFFIC_RAW
-from adlens.session import SESSION_DEFAULTS
-from adlens.sources import readers
+from adlens.session import apply_defaults, input_bytes, size_shuffles
+from adlens.sources import history, readers
 
 
-def _inputs(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
-    since = getattr(args, "since", None)
+def _first_date(args) -> dt.date | None:
+    """The earliest event date the command reads, to prune arrivals by."""
+    if args.job == "daily":
+        return args.since
+    # Without --as-of the day is the session's; a day to spare covers a change of date while we run.
+    today = args.as_of or dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
+    return window_bounds(args.window, today)[0]
 
-    def raw(path, schema):
-        df = readers.read_source(spark, path, args.format, schema)
-        if since is not None and {"year", "month", "day"} <= set(df.columns):
-            df = df.filter(readers.arrival_lower_bound(since))     # older arrivals cannot hold them
-        return df
 
-    traffic = readers.prepare_traffic(raw(args.traffic, TRAFFIC_RAW))
-    conversion = readers.prepare_conversion(raw(args.conversion, CONVERSION_RAW), args.attribution)
-    return traffic, conversion
+def _inputs(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
+    def raw(name, schema):
+        df = readers.table(spark, name) if args.format == "table" else readers.read_source(spark, name, args.format, schema)
+        return readers.arrivals_since(df, _first_date(args))
 
+    traffic, conversion = raw(args.traffic, TRAFFIC_RAW), raw(args.conversion, CONVERSION_RAW)
+    size_shuffles(spark, input_bytes(traffic, conversion))
+    return readers.prepare_traffic(traffic), readers.prepare_conversion(conversion, args.attribution)
 
-def run(spark: SparkSession, argv: list[str] | None = None) -> dict[str, DataFrame]:
+
+def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="adlens")
     sub = parser.add_subparsers(dest="job", required=True)
-    for name in ("daily", "report"):
+    for name in ("daily", "report", "campaigns", "account", "keywords", "recommendations"):
         p = sub.add_parser(name)
         p.add_argument("--traffic", required=True)
         p.add_argument("--conversion", required=True)
-        p.add_argument("--format", default="csv", choices=["csv", "parquet"])
+        p.add_argument("--format", default="csv", choices=["csv", "parquet", "table"])
         p.add_argument("--attribution", default="1d", choices=["1d", "7d", "14d", "30d"])
         if name == "daily":
             p.add_argument("--output", required=True)
             p.add_argument("--days", type=int, default=7)
             p.add_argument("--since", type=dt.date.fromisoformat, default=None,
                            help="recompute only dates from this one on (late data), exactly")
-        else:
-            p.add_argument("--results", required=True)
-            p.add_argument("--window", default="today")
-            p.add_argument("--as-of", dest="as_of", type=dt.date.fromisoformat, default=None)
+            continue
+        p.add_argument("--results", required=True)
+        p.add_argument("--window", default="last7days" if name == "recommendations" else "today")
+        p.add_argument("--as-of", dest="as_of", type=dt.date.fromisoformat, default=None)
+        p.add_argument("--until-as-of", dest="bounded", action="store_true", help="end last7days at the --as-of date")
+        if name == "report":
             p.add_argument("--history")
+            p.add_argument("--account", default=history.DEFAULT_ACCOUNT)
+            p.add_argument("--run-timestamp", dest="run_timestamp", default=None,
+                           help="the scheduled time, so that a retried run counts once in the history")
+        if name in ("report", "recommendations"):
             p.add_argument("--rules")
-    args = parser.parse_args(argv)
-    for key in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
-        spark.conf.set(key, SESSION_DEFAULTS[key])
-    traffic, conversion = _inputs(spark, args)
+        if name in ("campaigns", "keywords", "recommendations"):
+            p.add_argument("--campaign", default=None)
+        if name == "keywords":
+            p.add_argument("--keyword", default=None)
+            p.add_argument("--limit", type=int, default=10)
+            p.add_argument("--mode", default="attributed", choices=["attributed", "as_written"])
+    p = sub.add_parser("history")
+    p.add_argument("--history", required=True)
+    p.add_argument("--keep", type=int, default=history.HISTORY_KEEP)
+    p.add_argument("--results", required=True)
+    return parser
+
 
+def run(spark: SparkSession, argv: list[str] | None = None) -> dict[str, DataFrame]:
+    args = _parser().parse_args(argv)
+    apply_defaults(spark)
+    if args.job == "history":
+        out = {"history": history.history_read(spark, args.history, args.keep)}
+    else:
+        out = _run(spark, args, *_inputs(spark, args))
+    if args.job != "daily":
+        root = args.results.rstrip("/")
+        for name, df in out.items():
+            if name != "run":
+                df.write.mode("overwrite").parquet(f"{root}/{name}")
+    return out
+
+
+def _run(spark: SparkSession, args, traffic: DataFrame, conversion: DataFrame) -> dict[str, DataFrame]:
     if args.job == "daily":
         if args.since is not None:
-            first = args.since
-            traffic = traffic.filter(traffic.event_date >= first)
-            conversion = conversion.filter(conversion.event_date >= first)
+            traffic = traffic.filter(traffic.event_date >= args.since)
+            conversion = conversion.filter(conversion.event_date >= args.since)
         out = jobs.daily_job(spark, traffic, conversion, args.output, days=args.days, since=args.since)
         out["digest"].write.mode("overwrite").json(f"{args.output.rstrip('/')}_anomaly_digest")
         return out
-
-    out = jobs.report_job(spark, traffic, conversion, args.window, args.as_of,
-                          history_path=args.history, rules_path=args.rules)
-    root = args.results.rstrip("/")
-    for name in ("report", "summary", "alerts", "alert_digest", "bid_adjustments"):
-        out[name].write.mode("overwrite").parquet(f"{root}/{name}")
-    return out
+    if args.job == "report":
+        return jobs.report_job(spark, traffic, conversion, args.window, args.as_of, history_path=args.history,
+                               rules_path=args.rules, account_id=args.account, run_timestamp=args.run_timestamp,
+                               bounded=args.bounded)
+    both = (traffic, conversion, args.window, args.as_of)
+    if args.job == "campaigns":
+        return {"campaigns": reports.campaign_report(*both, campaign_id=args.campaign, bounded=args.bounded)}
+    if args.job == "account":
+        return {"account": reports.account_report(*both, bounded=args.bounded)}
+    if args.job == "keywords":
+        return {"keywords": reports.keyword_report(*both, campaign_id=args.campaign, keyword=args.keyword, limit=args.limit,
+                                                   mode=args.mode, bounded=args.bounded)}
+    return {"recommendations": jobs.recommendations(traffic, conversion, args.campaign, args.window, args.as_of,
+                                                    rules_path=args.rules)}
 
 
 def main() -> None:

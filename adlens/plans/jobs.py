@@ -4,7 +4,8 @@ Both jobs survive executor loss without caches: the daily job reads back the
 table it has just written before the digest runs, and the report job cuts
 the lineage of the report rows with a reliable ``checkpoint()`` in the
 shared ``spark.checkpoint.dir`` before summary, alerts and rules reuse them.
-Each piece of work therefore runs once (the reference ran its ETL lineage
+Each piece of work therefore runs once, the sink's rows included
+(``write_table`` makes no sampling pass; the reference ran its ETL lineage
 three times, D17).
 """
 
@@ -24,9 +25,8 @@ def daily_job(spark: SparkSession, traffic: DataFrame, conversion: DataFrame, ou
               since=None) -> dict[str, DataFrame]:
     """C1 -> C2 -> C3 -> C4 -> C5, written by date (S7), then the anomaly digest.
 
-    Only the dates present in the output are replaced in ``output_path``
-    (dynamic partition overwrite).  With ``since`` (a date), only dates from
-    ``since`` on are recomputed from the raw rows (pass raw frames pruned to
+    A full run replaces the whole table, as the reference does.  With ``since``
+    (a date), only dates from ``since`` on are recomputed and replaced from the raw rows (pass raw frames pruned to
     the arrivals that can hold them); the trends of those dates look back
     into the table already written (``daily.flags_for_recent``), so the
     result equals a full run.  Returns the written table (read back) and
@@ -49,7 +49,7 @@ def daily_job(spark: SparkSession, traffic: DataFrame, conversion: DataFrame, ou
                 raise
             earlier = recent.filter(F.lit(False))          # first run: no history yet
         flags = daily.flags_for_recent(earlier, recent, days)
-    readers.write_table(flags, output_path, fmt, ["date"])
+    readers.write_table(flags, output_path, fmt, ["date"], replace_all=since is None)
     written = readers.read_source(spark, output_path, fmt, schema=flags.schema)
     return {"table": written, "digest": alerts.anomaly_digest(written, digest_limit)}
 
@@ -57,30 +57,42 @@ def daily_job(spark: SparkSession, traffic: DataFrame, conversion: DataFrame, ou
 def report_job(spark: SparkSession, traffic: DataFrame, conversion: DataFrame,
                window: str = "today", as_of=None, history_path: str | None = None,
                rules_path: str | None = None, account_id: str = history.DEFAULT_ACCOUNT,
-               run_timestamp=None) -> dict[str, DataFrame]:
+               run_timestamp=None, on_rules_error: str = "none", bounded: bool = False) -> dict[str, DataFrame]:
     """Report (C7) -> summary (C11) -> history (C17) -> alerts (C12-C14) -> bid adjustments.
 
-    Returns the named results; the caller decides which to write or send.
+    The rules are read before anything is written, so a run that fails on them
+    leaves no history entry; ``on_rules_error`` says what a bad document means
+    (``config.read_rules``).  Returns the named results; the caller decides
+    which to write or send.
     """
+    rule_list = config.read_rules(spark, rules_path, on_rules_error)
     checkpoint_root(spark)
-    report = reports.ad_group_report(traffic, conversion, window, as_of).checkpoint(eager=True)
+    report = reports.ad_group_report(traffic, conversion, window, as_of, bounded).checkpoint(eager=True)
     summ = summary.account_summary(report).checkpoint(eager=True)
     if history_path:
         history.history_append(summ, history_path, account_id, run_timestamp)
     all_alerts = alerts.all_alerts(summ, report)
-    adjustments = rules.bid_adjustments(report, config.read_rules(spark, rules_path))
+    adjustments = rules.bid_adjustments(report, rule_list)
     return {
         "report": report,
         "summary": summ,
         "alerts": all_alerts,
         "alert_digest": alerts.alert_digest(all_alerts),
         "bid_adjustments": adjustments,
+        "rejected_rules": rules.rejected_rules(spark, rule_list),
         "run": summ.select(F.lit(window).alias("time_window"), F.localtimestamp().alias("timestamp")),
     }
 
 
 def recommendations(traffic: DataFrame, conversion: DataFrame, campaign_id=None,
-                    window: str = "last7days", as_of=None, rule_list: list[dict] | None = None) -> DataFrame:
-    """C16 with the tool's signature: campaign report (C8) for the window, then the rules."""
+                    window: str = "last7days", as_of=None, rule_list: list[dict] | None = None,
+                    rules_path: str | None = None) -> DataFrame:
+    """C16 with the tool's signature: campaign report (C8) for the window, then the rules.
+
+    Rules come from ``rule_list``, else from the document at ``rules_path``, of
+    which any failure gives the default rules.
+    """
+    if rule_list is None and rules_path is not None:
+        rule_list = config.read_rules(traffic.sparkSession, rules_path, on_error="defaults")
     campaigns = reports.campaign_report(traffic, conversion, window, as_of, campaign_id, ordered=False)
     return rules.bid_recommendations(campaigns, rule_list)

@@ -334,10 +334,11 @@ select anomaly_count, {sql_text('🚨 Alert: ')} || cast(anomaly_count as varcha
 from cnt, blocks where anomaly_count > 0"""
 
 
-def rules_sql(source: str, keys: str, extra: str = "") -> str:
-    """One union branch per default rule; metrics missing -> 0."""
+def rules_sql(source: str, keys: str, extra: str = "", branches=None) -> str:
+    """One union branch per rule (the default ones); metrics missing -> 0."""
     m = {x: f"coalesce({x}, 0.0)" for x in ("acos", "roas", "conversion", "ctr")}
-    branches = [
+    # The default rules.
+    branches = branches(m) if branches else [
         ("decrease_bid", 20, "roas < 1.0", f"{m['roas']} < 1.0",
          "ROAS below 1 is losing money, decrease bids by 20%"),
         ("increase_bid", 10, "roas >= 4.0", f"{m['roas']} >= 4.0",
@@ -352,8 +353,9 @@ def rules_sql(source: str, keys: str, extra: str = "") -> str:
                    f"{m['ctr']} as ctr, ") if extra else ""
     parts = []
     for action, pct, cond_text, cond, desc in branches:
-        d = f", {sql_text(desc)} as description" if extra else ""
-        parts.append(f"select {keys}, {metric_cols}'{action}' as action, {pct} as percentage{d}, "
+        said = sql_text(desc) if desc is not None else "cast(null as varchar)"
+        d = f", {said} as description" if extra else ""
+        parts.append(f"select {keys}, {metric_cols}'{action}' as action, cast({pct} as double) as percentage{d}, "
                      f"{sql_text('Rule triggered: ' + cond_text)} as reason from {source} where {cond}")
     return "\nunion all\n".join(parts)
 
@@ -386,8 +388,7 @@ ORACLE.update({
     "history_last30": history_sql(30),
     "history_latest10": history_sql(10),
     "text_to_number": """select event_id, json_extract_string(props, '$.k') as k_text,
-       try_cast(json_extract_string(props, '$.k') as double) as k_number,
-       try_cast(props as double) as props_number
+       try_cast(json_extract_string(props, '$.k') as double) as k_number
 from events""",
     "parquet_roundtrip": ORACLE["daily_performance"],
     "csv_roundtrip": ORACLE["daily_traffic"],
@@ -403,3 +404,51 @@ def _adhoc_oracle() -> str:
 
 
 ORACLE["adhoc_sql"] = _adhoc_oracle()
+
+
+# --- ingestion, documents, jobs, history table ------------------------------------------------
+
+def document_branches(m: dict[str, str]) -> list[tuple]:
+    return [
+        ("decrease_bid", 12.5, "roas > -1 and acos > 2 * 10.5", f"{m['roas']} > -1 and {m['acos']} > 21.0", "arithmetic"),
+        ("increase_bid", 7, "0.5 < roas < 2", f"{m['roas']} > 0.5 and {m['roas']} < 2", "chained"),
+        ("increase_bid", 0.25, "not (acos < 1e1 or conversion / 2 >= ctr - 1)",
+         f"{m['acos']} >= 10 and {m['conversion']} / 2.0 < {m['ctr']} - 1", None),
+    ]
+
+
+DOCUMENT_ADJUSTMENTS = f"with {A}, {REP7} {rules_sql('rep', 'campaign_id, ad_group_id', branches=document_branches)}"
+HISTORY_TWO = f"""with one as ({history_sql(10)})
+select * from one union all select * replace ('other' as account_id) from one"""
+DAY_WINDOWS = KEYWORD_AS_WRITTEN_SQL.replace("date_trunc('hour', ts) as", "date_trunc('day', ts) as")
+
+ORACLE.update({
+    "ingested_performance": f"with {A}, {DAILY_TRAFFIC_CTE} select * from dp where date >= date '2024-01-10'",
+    "ingested_timestamps": f"""with {A}
+select campaign_id, event_date, count(*) as n,
+       cast(sum(cast(epoch(time_window_start) as bigint)
+            - case cast(campaign_id as int) % 4 when 0 then -25200 when 1 then 0 when 2 then 32400 else 19800 end) as bigint) as sum_epoch
+from traffic group by campaign_id, event_date""",
+    "touched_performance": f"with {A}, {DAILY_TRAFFIC_CTE} select * from dp where date in "
+                           "(select event_date from conversion where conversions < 0 and campaign_id = '3')",
+    "rules_document": DOCUMENT_ADJUSTMENTS,
+    "recommendations_document": f"with {A}, {report_cte(['campaign_id'], 'last7days')} "
+                                f"{rules_sql('rep', 'campaign_id', extra='metrics', branches=document_branches)}",
+    "daily_job": ORACLE["anomalies"],
+    "daily_job_replaced": f"with {A.replace('from events)', 'from events where cast(ts as date) >= date ' + repr('2024-01-20') + ')')}, "
+                          f"{DAILY_TRAFFIC_CTE}, {TRENDS_CTE} "
+                          "select date, count(*) as n, cast(sum(has_anomaly) as bigint) as anomalies from an group by date",
+    "report_job_report": ORACLE["report_last7days"],
+    "report_job_alert_digest": ORACLE["alert_digest"],
+    "report_job_adjustments": DOCUMENT_ADJUSTMENTS,
+    "history_table": HISTORY_TWO,
+    "notifications": f"""with {A}, {REP7}, {ALERTS_CTE}
+select level, type, campaign_id, ad_group_id, level || ': Advertising alert' as subject,
+       case level when 'CRITICAL' then {sql_text('🚨 CRITICAL ALERT 🚨')} else {sql_text('⚠️ WARNING ⚠️')} end
+         || {NL} || {NL} || message as message
+from all_alerts""",
+    "report_unknown_window": ORACLE["report_today"],
+    "keyword_fan_out": DAY_WINDOWS,
+    "keyword_positions": f"select campaign_id, keyword_id, cost, cast(row_number() over ({KW_ORDER.replace(' limit 10', '')}) as int) "
+                         f"as position from ({DAY_WINDOWS})",
+})

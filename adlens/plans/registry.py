@@ -10,16 +10,19 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from adlens.functions import dates
 from adlens.functions.dates import window_bounds
 from adlens.functions.text import to_number
 from adlens.operators import alerts, daily, reports, rules, summary
 from adlens.plans import jobs
+from adlens.schema import CONVERSION_RAW, TRAFFIC_RAW
 from adlens.session import scratch_path
 from adlens.sources import config, history, readers
 from adlens.sources.adapter import ad_tables, read_events
+from adlens.streaming import refresh
 
 AS_OF = "2024-01-15"
 
@@ -53,9 +56,7 @@ REFRESH_FROM = "2024-01-20"
 
 def q_anomalies_since(spark, sf_dir):
     """C4 + C5 for dates from REFRESH_FROM only, earlier dates feeding just the look-back."""
-    perf = q_daily_performance(spark, sf_dir)
-    first = F.lit(REFRESH_FROM).cast("date")
-    return daily.flags_for_recent(perf.filter(F.col("date") < first), perf.filter(F.col("date") >= first))
+    return daily.flags_since(q_daily_performance(spark, sf_dir), REFRESH_FROM)
 
 
 QUERIES: dict[str, Query] = {
@@ -206,8 +207,7 @@ def _history(keep):
 def q_text_to_number(spark, sf_dir):
     events = read_events(spark, sf_dir)
     k_text = F.get_json_object("props", "$.k")
-    return events.select("event_id", k_text.alias("k_text"), to_number(k_text).alias("k_number"),
-                         to_number("props").alias("props_number"))
+    return events.select("event_id", k_text.alias("k_text"), to_number(k_text).alias("k_number"))
 
 
 # Ad-hoc SQL over the registered views; values bound as parameters.
@@ -267,3 +267,173 @@ QUERIES.update({
     "parquet_roundtrip": q_parquet_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
 })
+
+
+# --- the ingestion path: ISO text, CSV and parquet folders by arrival day (S1, S2, DT1, DT2) ------
+
+INGEST_FROM = "2024-01-10"
+# Offsets of the rendered window starts, west and east of UTC, by campaign.
+OFFSETS = ("-07:00", "+00:00", "+09:00", "+05:30")
+
+
+def _iso_text(df):
+    """The window start as ISO text whose local date is the row's ``event_date``."""
+    offset = F.array(*[F.lit(o) for o in OFFSETS])[(F.col("campaign_id").cast("int") % len(OFFSETS))]
+    return F.concat(F.date_format("time_window_start", "yyyy-MM-dd'T'HH:mm:ss"), offset)
+
+
+def _arrival_parts(df):
+    """Arrival partitions: the UTC day of the window start, so east of UTC a day before the local date."""
+    utc = F.to_utc_timestamp(dates.iso_to_timestamp("time_window_start"), F.current_timezone()).cast("timestamp_ntz")
+    return df.withColumns({"year": F.date_format(utc, "yyyy"), "month": F.date_format(utc, "MM"), "day": F.date_format(utc, "dd")})
+
+
+def _raw_folders(spark, sf_dir):
+    """The adapter's rows as deliveries: traffic CSV with counts written as 1.0, conversions as parquet."""
+    traffic, conversion = ad_tables(spark, sf_dir)
+    t = traffic.withColumn("time_window_start", _iso_text(traffic)).drop("event_date")
+    t = t.withColumns({"impressions": F.concat(F.col("impressions").cast("string"), F.lit(".0")),
+                       "clicks": F.concat(F.col("clicks").cast("string"), F.lit(".0"))})
+    c = conversion.withColumn("time_window_start", _iso_text(conversion)).drop("event_date").withColumnsRenamed({
+        "conversions": "attributed_conversions_1d", "sales": "attributed_sales_1d", "units": "attributed_units_ordered_1d"})
+    paths = scratch_path(spark, "raw-traffic"), scratch_path(spark, "raw-conversion")
+    parts = ["year", "month", "day"]
+    _arrival_parts(t).write.partitionBy(*parts).option("header", True).csv(paths[0])
+    _arrival_parts(c).write.partitionBy(*parts).parquet(paths[1])
+    return paths
+
+
+def q_ingested_performance(spark, sf_dir):
+    """C3 from INGEST_FROM on, read from raw folders with arrivals pruned."""
+    t_path, c_path = _raw_folders(spark, sf_dir)
+    traffic = readers.arrivals_since(readers.read_source(spark, t_path, "csv", TRAFFIC_RAW), INGEST_FROM)
+    conversion = readers.arrivals_since(readers.read_source(spark, c_path, "parquet", CONVERSION_RAW), INGEST_FROM)
+    since = F.col("event_date") >= F.lit(INGEST_FROM).cast("date")
+    return daily.daily_performance(readers.prepare_traffic(traffic).filter(since), readers.prepare_conversion(conversion).filter(since))
+
+
+def q_ingested_timestamps(spark, sf_dir):
+    """DT1, DT2: instant and local date of every window start."""
+    traffic, _ = ad_tables(spark, sf_dir)
+    text = traffic.select("campaign_id", _iso_text(traffic).alias("time_window_start"))
+    return (dates.with_event_date(text).groupBy("campaign_id", "event_date")
+            .agg(F.count("*").alias("n"), F.sum(F.unix_seconds("event_ts")).alias("sum_epoch")))
+
+
+def q_touched_performance(spark, sf_dir):
+    """The refresh's selection: C3 of the dates that refunds touch."""
+    traffic, conversion = ad_tables(spark, sf_dir)
+    touched = conversion.filter("conversions < 0 and campaign_id = '3'").select("event_date")
+    return refresh.touched_performance(traffic, conversion, touched)
+
+
+# --- rules documents (S10, B2, C15, C16) -------------------------------------------
+
+RULES_DOCUMENT = [
+    {"condition": "roas > -1 and acos > 2 * 10.5", "action": "decrease_bid", "percentage": 12.5, "description": "arithmetic"},
+    {"condition": "0.5 < roas < 2", "action": "increase_bid", "percentage": 7, "description": "chained"},
+    {"condition": "not (acos < 1e1 or conversion / 2 >= ctr - 1)", "action": "increase_bid", "percentage": 0.25},
+    {"condition": "spend > 3", "action": "decrease_bid", "percentage": 5, "description": "unknown name: rejected"},
+]
+
+
+def _rules_document(spark):
+    path = scratch_path(spark, "rules")
+    config.write_rules(spark, RULES_DOCUMENT, path)
+    return path
+
+
+def q_rules_document(spark, sf_dir):
+    return rules.bid_adjustments(_report_last7(spark, sf_dir), config.read_rules(spark, _rules_document(spark)))
+
+
+def q_recommendations_document(spark, sf_dir):
+    t, c = _window_tables(spark, sf_dir, "last7days")
+    recs = jobs.recommendations(t, c, window="last7days", as_of=AS_OF, rules_path=_rules_document(spark))
+    return recs.select("campaign_id", "current_metrics.*", "action", "percentage", "description", "reason")
+
+
+# --- jobs and history (C17-C19), severity (T3), unknown window (F4), order (O2) ------------------
+
+def q_daily_job(spark, sf_dir):
+    """A full run up to a day, then an incremental one from there; the table as it then stands."""
+    traffic, conversion = ad_tables(spark, sf_dir)
+    path, first = scratch_path(spark, "daily"), F.lit(REFRESH_FROM).cast("date")
+    jobs.daily_job(spark, traffic.filter(F.col("event_date") < first), conversion.filter(F.col("event_date") < first), path)
+    return jobs.daily_job(spark, traffic, conversion, path, since=REFRESH_FROM)["table"]
+
+
+def q_daily_job_replaced(spark, sf_dir):
+    """A full run over a table that holds more dates leaves none of them; the digest of it."""
+    traffic, conversion = ad_tables(spark, sf_dir)
+    path, first = scratch_path(spark, "daily"), F.lit(REFRESH_FROM).cast("date")
+    jobs.daily_job(spark, traffic, conversion, path)
+    since = F.col("event_date") >= first
+    return jobs.daily_job(spark, traffic.filter(since), conversion.filter(since), path)["table"].groupBy("date").agg(
+        F.count("*").alias("n"), F.sum("has_anomaly").alias("anomalies"))
+
+
+def _report_job(name):
+    def q(spark, sf_dir):
+        t, c = _window_tables(spark, sf_dir, "last7days")
+        return jobs.report_job(spark, t, c, "last7days", AS_OF, history_path=scratch_path(spark, "history"),
+                               rules_path=_rules_document(spark), run_timestamp=AS_OF)[name]
+    return q
+
+
+def q_history_table(spark, sf_dir):
+    """C17: two accounts' summaries appended, one of them twice (a retry after a wrong run), the newest 10 read back."""
+    t, c = ad_tables(spark, sf_dir)
+    per_day = reports.window_report(t, c, ["campaign_id", "ad_group_id", "event_date"], window=None)
+    summaries = summary.account_summary(per_day, by=["event_date"])
+    path = scratch_path(spark, "history")
+    history.history_append(summaries.withColumn("total_clicks", F.lit(-1).cast("long")), path, "all", "event_date")
+    history.history_append(summaries, path, "all", "event_date")
+    history.history_append(summaries, path, "other", "event_date")
+    return history.history_read(spark, path, 10).select(
+        "account_id", "timestamp", *summary.SUMMARY_COLUMNS, "roas_distribution.*", "acos_distribution.*")
+
+
+def q_notifications(spark, sf_dir):
+    return alerts.notifications(_all_alerts(spark, sf_dir))
+
+
+def q_report_unknown_window(spark, sf_dir):
+    t, c = _window_tables(spark, sf_dir, "today")
+    return reports.ad_group_report(t, c, "fortnight", AS_OF)
+
+
+def _with_day_windows(df):
+    return df.withColumn("time_window_start", F.col("event_date").cast("timestamp_ntz"))
+
+
+def q_keyword_fan_out(spark, sf_dir):
+    """J5 with windows of a day: many rows on both sides of the raw join."""
+    t, c = _window_tables(spark, sf_dir, "last7days")
+    return reports.keyword_report(_with_day_windows(t), _with_day_windows(c), "last7days", AS_OF, mode="as_written", bounded=True)
+
+
+def q_keyword_positions(spark, sf_dir):
+    """O2 with each row's position in the returned order (at most ``limit`` rows)."""
+    top = q_keyword_fan_out(spark, sf_dir)
+    order = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return top.select("campaign_id", "keyword_id", "cost", order.alias("position"))
+
+
+QUERIES.update({
+    "ingested_performance": q_ingested_performance,
+    "ingested_timestamps": q_ingested_timestamps,
+    "touched_performance": q_touched_performance,
+    "rules_document": q_rules_document,
+    "recommendations_document": q_recommendations_document,
+    "daily_job": q_daily_job,
+    "daily_job_replaced": q_daily_job_replaced,
+    "report_job_report": _report_job("report"),
+    "report_job_alert_digest": _report_job("alert_digest"),
+    "report_job_adjustments": _report_job("bid_adjustments"),
+    "history_table": q_history_table,
+    "notifications": q_notifications,
+    "report_unknown_window": q_report_unknown_window,
+    "keyword_fan_out": q_keyword_fan_out,
+    "keyword_positions": q_keyword_positions,
+})

@@ -80,7 +80,7 @@ ATTRIBUTION_WINDOWS = ("1d", "7d", "14d", "30d")
 RULE = T.StructType([
     T.StructField("condition", T.StringType()),
     T.StructField("action", T.StringType()),
-    T.StructField("percentage", T.IntegerType()),
+    T.StructField("percentage", T.DoubleType()),
     T.StructField("description", T.StringType()),
 ])
 RULES_DOCUMENT = T.StructType([T.StructField("default_rules", T.ArrayType(RULE))])

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library should carry.  The session time
 # zone is pinned to UTC so that a TIMESTAMP -> DATE cast never depends on
@@ -58,14 +58,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster this is a shared file system (HDFS, object store), so
     anything written under it survives the loss of an executor.  Only when
-    the setting is absent (a bare local test session) do we set one under
-    the system temporary folder.
+    the setting is absent in a local session (a test) do we set one under
+    the system temporary folder; on a cluster its absence is an error.
     """
     context = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and context is not None:
         root = context.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if context is None or not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "adlens-checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)
     if context is not None and context.getCheckpointDir() is None:
@@ -86,6 +89,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/adlens/{name}-{uuid.uuid4().hex}"
 
 
+def apply_defaults(spark: SparkSession) -> None:
+    """Set every default that a running session lets us set."""
+    for key, value in SESSION_DEFAULTS.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+
+
+def input_bytes(*frames: DataFrame) -> int:
+    """Size of the files behind ``frames``, as the planner knows it from their listing."""
+    return sum(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) for df in frames)
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20,
                   min_partitions: int = 200, max_partitions: int = 100_000) -> int:
     """Size shuffles and scan splits for an input of ``input_bytes``.

@@ -46,33 +46,39 @@ def as_history(summary: DataFrame, account_id=DEFAULT_ACCOUNT, timestamp=None) -
         .cast(f.dataType).alias(f.name) for f in HISTORY_SCHEMA.fields])
 
 
+# Which of two entries with one timestamp was written last; kept in the table, not returned.
+WRITTEN_AT = T.StructField("written_at", T.TimestampNTZType())
+
+
 def history_append(summary: DataFrame, path: str, account_id=DEFAULT_ACCOUNT, timestamp=None) -> None:
     """Append stamped summaries to the history table.
 
     Pass the run's scheduled time as ``timestamp`` to make a retried run
-    harmless: ``latest`` keeps one entry per account and timestamp.
+    harmless: reading keeps one entry per account and timestamp, the one written last.
     """
-    as_history(summary, account_id, timestamp).write.mode("append").parquet(path)
+    entries = as_history(summary, account_id, timestamp)
+    entries.withColumn(WRITTEN_AT.name, F.localtimestamp()).write.mode("append").parquet(path)
 
 
 def latest(history: DataFrame, keep: int = HISTORY_KEEP) -> DataFrame:
-    """The newest ``keep`` entries of each account.
-
-    An entry appended twice with the same timestamp (a retried run that
-    passed its scheduled time as ``timestamp``) counts once.
-    """
+    """The newest ``keep`` entries of each account, given one entry per account and timestamp."""
     w = Window.partitionBy("account_id").orderBy(F.desc("timestamp"))
-    return (history.dropDuplicates(["account_id", "timestamp"])
-            .withColumn("_rank", F.row_number().over(w))
-            .filter(F.col("_rank") <= keep).drop("_rank"))
+    return history.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= keep).drop("_rank")
+
+
+def last_written(history: DataFrame) -> DataFrame:
+    """One entry per account and timestamp: of a run and its retries, the last."""
+    w = Window.partitionBy("account_id", "timestamp").orderBy(F.desc_nulls_last(WRITTEN_AT.name))
+    return (history.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1)
+            .drop("_rank", WRITTEN_AT.name))
 
 
 def history_read(spark: SparkSession, path: str, keep: int = HISTORY_KEEP) -> DataFrame:
     """The retained history; an empty history when none was written yet."""
     try:
-        history = spark.read.schema(HISTORY_SCHEMA).parquet(path)
+        history = spark.read.schema(T.StructType([*HISTORY_SCHEMA.fields, WRITTEN_AT])).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
             raise
-        history = spark.createDataFrame([], HISTORY_SCHEMA)
-    return latest(history, keep)
+        return spark.createDataFrame([], HISTORY_SCHEMA)
+    return latest(last_written(history), keep)

@@ -6,6 +6,8 @@ frames by ``prepare_traffic`` / ``prepare_conversion``.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,23 +19,54 @@ TRAFFIC_VIEW = "traffic"
 CONVERSION_VIEW = "conversion"
 
 
+ARRIVAL_COLUMNS = ("year", "month", "day")
+
+
+def _csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """Every column of the files as text; a file whose header differs in names or order is an error."""
+    names = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+
+
+def _typed(text: DataFrame, f: T.StructField) -> Column:
+    """One declared column of the text frame; what can't be converted is null.
+
+    Whole numbers may be written with a fraction of zeros (``1.0``); a fraction
+    that is not zero is no count.
+    """
+    if f.name not in text.columns:
+        return F.lit(None).cast(f.dataType)
+    src = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, (T.LongType, T.IntegerType)):
+        number = src.try_cast("decimal(38,10)")
+        return F.when(number == F.floor(number), number.try_cast(f.dataType))
+    return src.try_cast(f.dataType)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header row, typed by a declared schema.
 
-    Columns are matched by header name, not by position (deliveries carry
-    many more columns, in their own order), and nothing is inferred: each
-    declared column is read as text and converted with ``try_cast``, so one
-    malformed value becomes null instead of failing the job.  A declared
-    column the file does not have is null, as with a parquet scan.
+    Columns are found by header name (deliveries carry many more columns, in
+    their own order; all files of one path must agree on it), and nothing is
+    inferred: each declared column is read as text and converted with
+    ``try_cast``, so one malformed value becomes null instead of failing the job
+    (``rejected_values`` counts them).  A declared column the file does not have
+    is null, as with a parquet scan.  Arrival partition columns are kept, so a
+    caller can prune by them.
     """
-    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    present = set(text.columns)
+    text = _csv_text(spark, path)
+    arrival = [c for c in ARRIVAL_COLUMNS if c in text.columns and c not in schema.fieldNames()]
+    return text.select(*[_typed(text, f).alias(f.name) for f in schema.fields], *arrival)
 
-    def column(f: T.StructField) -> Column:
-        src = F.col(f"`{f.name}`") if f.name in present else F.lit(None)
-        return src.try_cast(f.dataType).alias(f.name)
 
-    return text.select(*[column(f) for f in schema.fields])
+def rejected_values(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """One row per declared column: how many values of the CSV files are no value of its type."""
+    text = _csv_text(spark, path)
+    present = [f for f in schema.fields if f.name in text.columns]
+    counts = text.agg(*[F.count_if(F.col(f"`{f.name}`").isNotNull() & _typed(text, f).isNull()).alias(f.name) for f in present])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("rejected")) for f in present])).alias("r")).select("r.*")
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -85,8 +118,9 @@ def prepare_conversion(raw: DataFrame, attribution: str = "1d") -> DataFrame:
 def arrival_lower_bound(first_date) -> Column:
     """Partition predicate on the arrival columns ``year/month/day``.
 
-    Rows arrive after their event time, so arrivals before the first
-    report date can be pruned; there is no safe upper bound (late data of
+    Rows arrive after their event time, so earlier arrivals can be pruned.
+    Arrival days are UTC and event dates local, up to 14 hours ahead, so the
+    bound is one day before the first report date; there is no safe upper bound (late data of
     up to 30 days, SURVEY 1.3).  Rows without arrival values are kept.
     Month and day may be typed as numbers by partition discovery, so they
     are padded back to two digits before comparing.
@@ -95,7 +129,15 @@ def arrival_lower_bound(first_date) -> Column:
         return F.lpad(F.col(c).cast("string"), 2, "0")
 
     arrival = F.concat(F.col("year").cast("string"), F.lit("-"), two("month"), F.lit("-"), two("day"))
-    return F.coalesce(arrival >= F.lit(str(first_date)), F.lit(True))
+    first = first_date if isinstance(first_date, dt.date) else dt.date.fromisoformat(str(first_date))
+    return F.coalesce(arrival >= F.lit(str(first - dt.timedelta(days=1))), F.lit(True))
+
+
+def arrivals_since(raw: DataFrame, first_date) -> DataFrame:
+    """``raw`` without arrival partitions that can't hold rows of ``first_date`` or later, where it has such partitions."""
+    if first_date is None or not set(ARRIVAL_COLUMNS) <= set(raw.columns):
+        return raw
+    return raw.filter(arrival_lower_bound(first_date))
 
 
 def table(spark: SparkSession, name: str) -> DataFrame:
@@ -120,21 +162,16 @@ def run_sql(spark: SparkSession, query: str, **params) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_cols: list[str] | None = None,
-                max_records_per_file: int = 5_000_000) -> None:
-    """Overwrite a table, replacing only the partitions present in ``df``.
-
-    Rows are range-partitioned on the partition columns plus a hash of the
-    row: the sampled range bounds split a hot date over as many tasks as
-    its size needs, every task writes a contiguous slice (one or two
-    dates), and the file count stays about tasks + dates instead of
-    tasks x dates.
+                max_records_per_file: int = 5_000_000, replace_all: bool = False) -> None:
+    """Overwrite a table (S7): with ``replace_all`` all of it, else only the partitions present in ``df``.
+
+    Rows are rebalanced by the partition columns: each partition's rows come
+    together, and AQE splits a hot one by its measured size and merges small
+    ones, without a sampling pass over the rows before.
     """
-    writer_df = df
-    if partition_cols:
-        row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-        writer_df = df.repartitionByRange(*[F.col(c) for c in partition_cols], row_hash)
+    writer_df = df.hint("rebalance", *[F.col(c) for c in partition_cols]) if partition_cols else df
     writer = (writer_df.write.mode("overwrite").format(fmt)
-              .option("partitionOverwriteMode", "dynamic")
+              .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
               .option("maxRecordsPerFile", max_records_per_file))
     if fmt == "csv":
         writer = writer.option("header", True)

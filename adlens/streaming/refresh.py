@@ -7,7 +7,7 @@ Streaming query watches both raw folders and, per micro-batch, recomputes
 the daily performance (C3) of only the dates that the new files touch,
 from the full tables, and overwrites just those date partitions.  The
 result is exactly the batch result; no state is kept besides the file
-source's checkpoint.  Only the set of touched dates reaches the driver.
+source's checkpoint.  Of the touched dates only the earliest reaches the driver.
 When the raw folders are partitioned by arrival day (``year/month/day``),
 arrivals before the earliest touched date are pruned from the recompute.
 """
@@ -24,17 +24,21 @@ from pyspark.sql.streaming import StreamingQuery
 from adlens.functions.dates import local_date
 from adlens.operators import daily
 from adlens.schema import CONVERSION_RAW, TRAFFIC_RAW
+from adlens.session import checkpoint_root
 from adlens.sources import readers
 
-MAX_TOUCHED_DATES = 400
 
+def touched_performance(traffic: DataFrame, conversion: DataFrame, dates: DataFrame) -> DataFrame:
+    """C3 for the dates in ``dates`` (a frame with ``event_date``), however many they are."""
+    some = dates.select("event_date").distinct()
+    return daily.daily_performance(traffic.join(some, "event_date", "left_semi"),
+                                   conversion.join(some, "event_date", "left_semi"))
 
-def refresh_dates(traffic: DataFrame, conversion: DataFrame, dates: list, output_path: str,
+
+def refresh_dates(traffic: DataFrame, conversion: DataFrame, dates: DataFrame, output_path: str,
                   fmt: str = "parquet") -> None:
     """Recompute C3 for ``dates`` and replace those partitions of ``output_path``."""
-    in_dates = F.col("event_date").isin(dates)
-    perf = daily.daily_performance(traffic.filter(in_dates), conversion.filter(in_dates))
-    readers.write_table(perf, output_path, fmt, ["date"])
+    readers.write_table(touched_performance(traffic, conversion, dates), output_path, fmt, ["date"])
 
 
 def refresh_flags(spark: SparkSession, daily_path: str, flags_path: str, first_date,
@@ -73,38 +77,31 @@ def start_daily_refresh(spark: SparkSession, traffic_path: str, conversion_path:
     ``flags_path``, the trends and anomaly flags are refreshed as well, from
     the earliest touched date on (``refresh_flags``).
     """
-    def since(raw: DataFrame, first_date) -> DataFrame:
-        # Rows reach arrival partitions on or after their event date: prune the older ones.
-        if first_date is not None and {"year", "month", "day"} <= set(raw.columns):
-            return raw.filter(readers.arrival_lower_bound(first_date))
-        return raw
-
     def full_traffic(first_date=None) -> DataFrame:
         if traffic_table:
             return traffic_table()
         raw = readers.read_source(spark, traffic_path, "parquet", TRAFFIC_RAW)
-        return readers.prepare_traffic(since(raw, first_date))
+        return readers.prepare_traffic(readers.arrivals_since(raw, first_date))
 
     def full_conversion(first_date=None) -> DataFrame:
         if conversion_table:
             return conversion_table()
         raw = readers.read_source(spark, conversion_path, "parquet", CONVERSION_RAW)
-        return readers.prepare_conversion(since(raw, first_date), attribution)
+        return readers.prepare_conversion(readers.arrivals_since(raw, first_date), attribution)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         touched = batch.filter(F.col("event_date").isNotNull()).select("event_date").distinct()
-        dates = [r.event_date for r in touched.take(MAX_TOUCHED_DATES + 1)]
-        if not dates:
+        touched = touched.checkpoint(eager=True)      # a row per date; the batch is read once
+        first = touched.agg(F.min("event_date").alias("first")).first()["first"]
+        if first is None:
             return
-        first = min(dates)
-        if len(dates) > MAX_TOUCHED_DATES:          # a backfill: recompute everything at once
-            perf = daily.daily_performance(full_traffic(), full_conversion())
-            readers.write_table(perf, output_path, "parquet", ["date"])
-        else:
-            refresh_dates(full_traffic(first), full_conversion(first), dates, output_path)
+        from_first = F.col("event_date") >= F.lit(first)
+        refresh_dates(full_traffic(first).filter(from_first), full_conversion(first).filter(from_first),
+                      touched, output_path)
         if flags_path:
             refresh_flags(spark, output_path, flags_path, first)
 
+    checkpoint_root(spark)
     arrivals = (_arrivals(spark, traffic_path, TRAFFIC_RAW)
                 .unionByName(_arrivals(spark, conversion_path, CONVERSION_RAW)))
     writer = (arrivals.writeStream.foreachBatch(process)

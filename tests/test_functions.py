@@ -63,14 +63,14 @@ def test_window_filter_semantics(spark):
     days = [dt.date(2024, 1, d) for d in range(1, 31)]
     df = spark.createDataFrame([(d,) for d in days], "event_date date")
 
-    def dates(window, bounded=True):
+    def dates(window, bounded=False):
         return sorted(r.event_date.day for r in
                       df.filter(window_filter(window, "2024-01-15", bounded=bounded)).collect())
 
     assert dates("today") == [15]
     assert dates("yesterday") == [14]
-    assert dates("last7days") == list(range(8, 16))           # 8 dates, D16
-    assert dates("last7days", bounded=False) == list(range(8, 31))  # no upper bound, as written
+    assert dates("last7days") == list(range(8, 31))           # no upper bound (D16)
+    assert dates("last7days", bounded=True) == list(range(8, 16))  # 8 dates, up to as_of
     assert dates("last_month") == [15]                        # unknown -> today (F4)
     assert window_bounds("last7days", "2024-01-15") == (dt.date(2024, 1, 8), dt.date(2024, 1, 15))
 

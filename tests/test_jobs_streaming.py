@@ -161,3 +161,33 @@ def test_report_job_with_rules_document_and_retry(spark):
     adj = sorted((r.campaign_id, r.ad_group_id, r.reason) for r in res["bid_adjustments"].collect())
     assert adj == [("c1", "g1", "Rule triggered: ctr >= 5.0"), ("c2", "g3", "Rule triggered: ctr >= 5.0")]
     assert history.history_read(spark, f"{root}/history").count() == 1
+
+
+def test_refresh_of_many_dates_keeps_all_of_them(spark):
+    """More touched dates than any list should hold: flags equal a full recompute."""
+    days = [dt.date(2015, 1, 1) + dt.timedelta(days=k) for k in range(900)]
+    rows = [("c1", f"g{k % 3}", "k1", "shoes", "EXACT", f"{d}T05:00:00-07:00", 100 + k % 7, 5 + k % 3, D("1.00")) for k, d in enumerate(days)]
+    root = scratch_path(spark, "many-dates")
+    spark.createDataFrame(rows, TRAFFIC_RAW).coalesce(2).write.parquet(f"{root}/traffic/batch=1")
+    spark.createDataFrame([("e1", "c1", "g0", "k1", "2015-01-01T05:00:00-07:00", 1, D("5.00"), 1)], CONVERSION_COLUMNS).write.parquet(f"{root}/conversion/batch=1")
+    start_daily_refresh(spark, f"{root}/traffic", f"{root}/conversion", f"{root}/daily", f"{root}/_chk",
+                        flags_path=f"{root}/flags").awaitTermination(300)
+    flags = spark.read.parquet(f"{root}/flags")
+    assert flags.select("date").distinct().count() == 900 and flags.agg(F.min("date")).first()[0] == days[0]
+
+
+def test_command_line_reports(spark):
+    from adlens.plans import cli
+    root = scratch_path(spark, "cli-reports")
+    spark.createDataFrame(TRAFFIC_ROWS, TRAFFIC_RAW).createOrReplaceTempView("cli_traffic")
+    spark.createDataFrame(CONVERSION_ROWS, CONVERSION_COLUMNS).createOrReplaceTempView("cli_conversion")
+    base = ["--traffic", "cli_traffic", "--conversion", "cli_conversion", "--format", "table", "--as-of", "2025-03-10", "--results", root]
+    assert cli.run(spark, ["campaigns", *base])["campaigns"].count() == 2
+    assert cli.run(spark, ["account", *base])["account"].count() == 1
+    assert cli.run(spark, ["keywords", *base, "--limit", "1"])["keywords"].count() == 1
+    assert cli.run(spark, ["recommendations", *base, "--campaign", "c1"])["recommendations"].count() >= 1
+    for _ in range(2):
+        cli.run(spark, ["report", *base, "--history", f"{root}/hist", "--account", "shop", "--run-timestamp", "2025-03-10 06:00:00"])
+    out = cli.run(spark, ["history", "--history", f"{root}/hist", "--results", f"{root}/read"])["history"].collect()
+    assert [(r.account_id, r.timestamp) for r in out] == [("shop", dt.datetime(2025, 3, 10, 6, 0))]
+    assert spark.read.parquet(f"{root}/campaigns").count() == 2

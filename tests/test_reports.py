@@ -89,7 +89,7 @@ def test_keyword_filters_and_attribution(spark):
 
 def test_sf001_report_goldens(spark):
     traffic, conversion = ad_tables(spark, SF01)
-    rep = reports.ad_group_report(traffic, conversion, "last7days", "2024-01-15")
+    rep = reports.ad_group_report(traffic, conversion, "last7days", "2024-01-15", bounded=True)
     t = rep.agg(F.count(F.lit(1)), F.sum("total_impression"), F.sum("total_click"), F.sum("total_order"),
                 F.sum("total_units"), F.count_if(F.col("roas").isNull())).first()
     assert tuple(t) == (150, 1050, 484, 421, 654, 4)
@@ -110,3 +110,17 @@ def test_net_negative_sales(spark):
     assert g3.acos == 0.0                        # sales not positive
     assert g3.roas == -2.58                      # -15.50 / 6.00, rounded half-up away from zero
     assert g3.conversion == -25.0
+
+
+def test_keyword_report_corner_arguments(spark):
+    rows = [("c1", "g1", "k1", "sho\\es", "EXACT", "2025-03-10T05:00:00-07:00", 10, 1, D("2.00")),
+            ("c1", "g1", "k1", "shoes new", "BROAD", "2025-03-10T06:00:00-07:00", 10, 1, D("3.00")),
+            ("c1", "g1", "k2", "100%", "BROAD", "2025-03-10T06:00:00-07:00", 10, 1, D("1.00"))]
+    traffic, conversion = tables(spark, rows, [("e1", "c1", "g1", "k1", "2025-03-10T05:00:00-07:00", 1, D("50.00"), 1)])
+    get = lambda **k: reports.keyword_report(traffic, conversion, "today", "2025-03-10", **k).collect()
+    # Two variants of one keyword id: one row with the newest text, and the sale once.
+    assert [(r.keyword_id, r.keyword_text, r.cost, r.sales) for r in get()] == [
+        ("k1", "shoes new", D("5.0000"), D("50.0000")), ("k2", "100%", D("1.0000"), None)]
+    assert [r.keyword_text for r in get(keyword="sho\\es")] == ["sho\\es"]
+    assert len(get(keyword="%")) == 2 and get(limit=0) == [] and len(get(limit=None)) == 2
+    assert len(get(campaign_id="")) == 2 and len(get(keyword="")) == 2

@@ -72,12 +72,12 @@ def test_named_tables_and_arrival_pruning(spark):
     readers.register_views(traffic, conversion)
     assert readers.table(spark, readers.TRAFFIC_VIEW).count() == traffic.count()
     assert readers.table(spark, readers.CONVERSION_VIEW).count() == conversion.count()
-    arrivals = spark.createDataFrame([("2025", "03", "07"), ("2025", "03", "10"), ("2025", "04", "07"),
+    arrivals = spark.createDataFrame([("2025", "03", "08"), ("2025", "03", "09"), ("2025", "04", "07"),
                                       (None, None, None)], "year string, month string, day string")
     kept = arrivals.filter(readers.arrival_lower_bound(dt.date(2025, 3, 10))).collect()
-    # no upper bound (late rows), and rows without arrival values are kept
-    assert [(r.month, r.day) for r in kept] == [("03", "10"), ("04", "07"), (None, None)]
-    numeric = spark.createDataFrame([(2025, 3, 9), (2025, 3, 11)], "year int, month int, day int")
+    # a day to spare (arrival days are UTC), no upper bound (late rows), and rows without arrival values are kept
+    assert [(r.month, r.day) for r in kept] == [("03", "09"), ("04", "07"), (None, None)]
+    numeric = spark.createDataFrame([(2025, 3, 8), (2025, 3, 11)], "year int, month int, day int")
     assert [r.day for r in numeric.filter(readers.arrival_lower_bound("2025-03-10")).collect()] == [11]
 
 
@@ -104,3 +104,69 @@ def test_wide_conversion_csv_is_read_by_header_name(spark):
     assert wide["i1"].sales == D("12.5000") and wide["i3"].sales is None     # bad text -> null
     assert wide["i1"].conversions == 2
     assert raw.filter("attributed_conversions_14d is not null").count() == 0   # absent column -> null
+
+
+def _csv(spark, path, lines):
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+
+
+def test_counts_with_a_fraction_of_zeros_and_rejected_values(spark):
+    path = scratch_path(spark, "counts")
+    _csv(spark, path, ["campaign_id,ad_group_id,time_window_start,impressions,clicks,cost",
+                       "c1,g1,2025-03-10T05:00:00-07:00,1.0,2,0.5", "c1,g1,2025-03-10T06:00:00-07:00,1.5,x,oops"])
+    rows = readers.read_csv(spark, path, TRAFFIC_RAW).orderBy("time_window_start").collect()
+    assert [(r.impressions, r.clicks) for r in rows] == [(1, 2), (None, None)]
+    assert daily.daily_traffic(readers.prepare_traffic(readers.read_csv(spark, path, TRAFFIC_RAW))).count() == 1
+    bad = {r.column: r.rejected for r in readers.rejected_values(spark, path, TRAFFIC_RAW).collect()}
+    assert (bad["impressions"], bad["clicks"], bad["cost"], bad["campaign_id"]) == (1, 1, 1, 0)
+
+
+def test_files_with_differing_headers_fail(spark):
+    path = scratch_path(spark, "headers")
+    _csv(spark, f"{path}/a", ["campaign_id,impressions,clicks", "c1,10,1"])
+    _csv(spark, f"{path}/b", ["campaign_id,clicks,impressions", "c1,1,10"])
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, f"{path}/*", TRAFFIC_RAW).collect()
+
+
+def test_rows_east_of_utc_survive_the_arrival_bound(spark):
+    raw = spark.createDataFrame([("c", "2025-03-10T01:00:00+09:00", "2025", "03", "09")],
+                                "campaign_id string, time_window_start string, year string, month string, day string")
+    assert readers.arrivals_since(raw, dt.date(2025, 3, 10)).count() == 1
+
+
+def test_last_written_entry_wins(spark):
+    traffic, conversion = tables(spark)
+    from adlens.operators import reports
+    summ = summary.account_summary(reports.ad_group_report(traffic, conversion, "today", "2025-03-10"))
+    path = scratch_path(spark, "history-retry")
+    for clicks in (5, 6, 7):
+        history.history_append(summ.withColumn("total_clicks", F.lit(clicks).cast("long")), path, "a", dt.datetime(2025, 1, 1))
+    assert [r.total_clicks for r in history.history_read(spark, path).collect()] == [7]
+
+
+def test_full_overwrite_leaves_no_stale_dates(spark):
+    traffic, conversion = tables(spark)
+    perf = daily.daily_performance(traffic, conversion)
+    path = scratch_path(spark, "full")
+    readers.write_table(perf, path, "parquet", ["date"])
+    readers.write_table(perf.filter(F.col("date") == dt.date(2025, 3, 10)), path, "parquet", ["date"], replace_all=True)
+    assert {r.date.day for r in readers.read_parquet(spark, path, perf.schema).select("date").collect()} == {10}
+
+
+def test_scratch_needs_a_shared_folder_off_local_mode():
+    from adlens.session import checkpoint_root
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
