@@ -24,8 +24,9 @@ one aggregation, with the same result, so no pool grows with the corpus.
 
 Equal whole texts are counted beforehand; only one of them gives strings.
 Positions are bytes, matches never cross documents, long documents are worked
-on in overlapping parts.  Tables are broadcast only when their counted rows are
-at most ``BROADCAST_ROWS``, else the same joins shuffle.
+on in overlapping parts.  Texts meet their strings and spans by shuffles, at
+every size alike; of anchors, only the hashes of those that occur twice are
+broadcast, up to ``BROADCAST_BYTES``, else that join shuffles too.
 
 Defined results: null text is empty; a null doc_id is carried through; repeated
 rows repeat each other and lose all bytes from ``LENGTH`` on; texts shorter than
@@ -51,7 +52,6 @@ GRAM = 128
 POOL_BYTES = 1 << 20
 POOL_STRINGS = 4_000
 PART_BYTES = 1 << 19
-BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 << 20
 
 
@@ -242,9 +242,9 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, po
     wanted = anchors.join(_near(often, 8), "h", "left_semi").groupBy("key").agg(F.collect_set(F.struct("w1", "w2", "h")).alias("strings"))
     copies = keyed.groupBy("key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"))
     wanted = stored(wanted.withColumnRenamed("key", "_key"), "wanted")
-    copies = stored(copies.join(_wide(wanted).select("_key"), F.col("key") == F.col("_key"), "left_semi"), "copies")
+    copies = stored(copies.join(wanted.select("_key"), F.col("key") == F.col("_key"), "left_semi"), "copies")
     jobs = stored(wanted.join(copies, F.col("_key") == F.col("key")).select("_key", "rep", "copies", "strings"), "jobs")
-    chosen = keyed.join(_wide(jobs), (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("key", "text", "strings")
+    chosen = keyed.join(jobs, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("key", "text", "strings")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,13 +280,6 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, po
                   .withColumnRenamed("key", "_key"), "spans")
 
 
-def _wide(df: DataFrame) -> DataFrame:
-    """``df`` (stored, arrays per row), to be broadcast if its entries are counted to be few."""
-    entries = [c for c, t in df.dtypes if t.startswith("array")]
-    n = df.agg(F.sum(F.size(entries[0])) if entries else F.count("*")).first()[0] or 0
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
-
-
 def removed_runs(spans, size: int, length: int) -> list[tuple[int, int]]:
     """Maximal byte runs covered by windows starting in the given (first, last) spans."""
     out: list[list[int]] = []
@@ -302,7 +295,7 @@ def strip_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, pool_
     """One row per document: bytes, bytes removed, maximal removed runs, and the checksum of what is left."""
     spans = repeated_windows(docs, length, gram, pool_strings)
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.unhex(F.md5("text")))
-    d = d.join(_wide(spans), F.col("key") == F.col("_key"), "left")
+    d = d.join(spans, F.col("key") == F.col("_key"), "left")
     hit = F.col("spans").isNotNull()
 
     @F.pandas_udf("removed long, runs long, sha string")
