@@ -58,6 +58,7 @@ def account_alerts(summary: DataFrame) -> DataFrame:
     roas, acos = F.col("overall_roas"), F.col("overall_acos")
     spend = F.col("total_spend").cast("double")
     # A ratio whose denominator was not positive is the integer 0 in the reference text.
+    # Fixed values, here and in ``row_alerts``: the alert sentences, which must read as the reports' users know them.
     roas_t = F.when(F.col("total_spend") > 0, num_text(roas)).otherwise(F.lit("0"))
     acos_t = F.when(F.col("total_sales") > 0, num_text(acos)).otherwise(F.lit("0"))
     spend_t = num_text(spend)

@@ -265,6 +265,7 @@ ROAS_T = f"(case when total_spend > 0 then {num_text('overall_roas')} else '0' e
 ACOS_T = f"(case when total_sales > 0 then {num_text('overall_acos')} else '0' end)"
 SPEND_T = num_text("total_spend")
 
+# The alert sentences and their banners.
 ALERTS_CTE = f"""{summary_cte('rep')},
 acc as (select * from summ where report_rows > 0),
 acc_alerts as (

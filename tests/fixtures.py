@@ -4,19 +4,12 @@ from decimal import Decimal as D
 
 from pyspark.sql import types as T
 
-from adlens.schema import TRAFFIC_RAW
+from adlens.schema import CONVERSION_RAW, TRAFFIC_RAW
 from adlens.sources.readers import prepare_conversion, prepare_traffic
 
-CONVERSION_COLUMNS = T.StructType([
-    T.StructField("idempotency_id", T.StringType()),
-    T.StructField("campaign_id", T.StringType()),
-    T.StructField("ad_group_id", T.StringType()),
-    T.StructField("keyword_id", T.StringType()),
-    T.StructField("time_window_start", T.StringType()),
-    T.StructField("attributed_conversions_1d", T.LongType()),
-    T.StructField("attributed_sales_1d", T.DecimalType(18, 4)),
-    T.StructField("attributed_units_ordered_1d", T.LongType()),
-])
+CONVERSION_COLUMNS = T.StructType([CONVERSION_RAW[c] for c in (
+    "idempotency_id", "campaign_id", "ad_group_id", "keyword_id", "time_window_start",
+    "attributed_conversions_1d", "attributed_sales_1d", "attributed_units_ordered_1d")])
 
 # campaign, ad group, keyword id, keyword text, match, window start, impressions, clicks, cost
 TRAFFIC_ROWS = [

@@ -18,7 +18,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from adlens.plans.registry import QUERIES  # noqa: E402
 from adlens.session import build_session  # noqa: E402
 
 FULL = ("report_last7days", "anomalies", "keyword_report_as_written", "history_latest10")
@@ -52,7 +52,7 @@ def main() -> None:
     spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     rows, full = [], []
-    for name, query in entry.queries().items():
+    for name, query in QUERIES.items():
         text = plan_text(query(spark, sf_dir))
         s = summarise(text)
         kinds = {k: s["exchanges"].count(k) for k in ("hashpartitioning", "rangepartitioning", "SinglePartition")}
