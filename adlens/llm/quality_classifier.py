@@ -1,9 +1,11 @@
 """Quality classifier: document evidence combined with host and path posteriors (hierarchical empirical Bayes).
 
-1. Evidence.  A Bernoulli naive Bayes over hashed words and word shapes.  Its
-   counts come from all labelled documents by grouped aggregation; each
-   feature's log-odds is shrunk towards 0 by ``n / (n + FEATURE_PRIOR)``, so rare
-   words say little.  The summed log-odds are calibrated to a probability.
+1. Evidence.  Two models over hashed features of whole texts.  Quality: a
+   logistic regression on words, word shapes and shares (of odd words, capitals,
+   repeated lines), fitted on about ``SAMPLE`` labelled documents.  Toxicity: a
+   naive Bayes over words and word beginnings, counted over all labelled
+   documents by grouped aggregation, each log-odds shrunk by what chance explains
+   and the sum calibrated.  Evidence = P(good quality) * P(not toxic).
 2. Sites.  Over all documents, labelled or not, each host and each path of a host
    gathers its count and summed probability.  A host's share of good documents
    is pulled to the corpus share, a path's to its host's, each with as many
@@ -12,17 +14,18 @@
 3. Verdict.  Posterior odds = document odds x path odds / corpus odds; a document
    stays at ``KEEP_AT`` or more.
 
-On the driver: at most 2 ** ``FEATURE_BITS`` feature weights and a few numbers.
-Sites stay a table: partial sums run before the shuffle, so a hot host is no hot
-task, and the table is broadcast only up to ``BROADCAST_SITES`` counted rows.
-Sums are whole numbers (log-odds in ten-thousandths, probabilities in
-millionths), so reruns agree to the digit.
-
-Labels: 1 is good quality and not toxic.  Defined results: null and empty texts
-have the one feature "empty"; null hosts or paths form a site of their own; a null
-doc_id is scored but teaches nothing; a doc_id labelled more than once counts as
-good only if all its labels are; with no labels of one kind the evidence is 0 and
-every document stays; equal rows get equal scores.
+On the driver: the sample's features (``SAMPLE`` bounds them), at most
+2 ** ``FEATURE_BITS`` feature counts and a few numbers.  Sites stay a table:
+partial sums run before the shuffle, so a hot host is no hot task, and it is
+broadcast only up to ``BROADCAST_SITES`` counted rows, labels up to
+``BROADCAST_LABELS``; beyond, the same joins shuffle.  Weights and summed
+probabilities are whole millionths, so reruns agree to the digit.
+
+Defined results: null and empty texts have the one feature "empty"; null hosts or
+paths form a site of their own; a null doc_id is scored but teaches nothing; of
+several labels of a doc_id the worse counts; with quality labels of one kind only,
+or none, all documents are what the labels say, or good; with no toxic label no
+document is toxic; equal rows get equal scores.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -39,11 +43,15 @@ from pyspark.sql import functions as F
 from adlens.llm.common import stored
 
 FEATURE_BITS = 18
-FEATURE_PRIOR = 8.0
+PREFIXES = (4, 5, 6)
+SAMPLE = 20_000  # labelled documents that the quality model is fitted on, about
+EPOCHS, RATE, RIDGE = 6, 0.1, 1e-4
+FORMS = 4.0
+SHRINK = 9.0
 KEEP_AT = 0.5
 BROADCAST_SITES = 200_000
-SCALE = 10_000
-_CACHE_WORDS = 1 << 19
+BROADCAST_LABELS = 2_000_000
+_CACHE_WORDS = 1 << 17
 _PUNCTUATION = ".,;:!?\"'()[]{}"
 
 
@@ -65,12 +73,12 @@ def _share(part: int, whole: int) -> int:
     return 0 if not part else 1 + min(9, 10 * part // max(whole, 1))
 
 
-def features(text: str | None, cache: dict[str, tuple[int, int, bool, bool]]) -> np.ndarray:
-    """The distinct feature buckets of one whole text."""
+def features(text: str | None, cache: dict[str, tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct feature buckets of one whole text: words; forms (word shapes and shares); word beginnings."""
     words = (text or "").split()
     if not words:
-        return np.array([_bucket("empty")])
-    out = set()
+        return np.zeros(0, np.int64), np.array([_bucket("empty")]), np.zeros(0, np.int64)
+    out, forms, parts = set(), set(), set()
     odd = upper = 0
     for w in words:
         known = cache.get(w)
@@ -78,60 +86,135 @@ def features(text: str | None, cache: dict[str, tuple[int, int, bool, bool]]) ->
             if len(cache) >= _CACHE_WORDS:
                 cache.clear()
             shape = _shape(w)
-            known = (_bucket("w:" + w.strip(_PUNCTUATION).lower()), _bucket("s:" + shape),
+            plain = w.strip(_PUNCTUATION).lower()
+            known = (_bucket("w:" + plain), _bucket("s:" + shape), tuple(_bucket(f"p{k}:{plain[:k]}") for k in PREFIXES if len(plain) >= k),
                      any(c not in "aA9.,;:!?'\"-()" for c in shape), len(w) > 1 and w.isupper())
             cache[w] = known
         out.add(known[0])
-        out.add(known[1])
-        odd += known[2]
-        upper += known[3]
+        forms.add(known[1])
+        parts.update(known[2])
+        odd += known[3]
+        upper += known[4]
     lines = [x for x in text.split("\n") if x.strip()]
     n = len(words)
-    out.update(_bucket(f"{k}:{v}") for k, v in (
+    forms.update(_bucket(f"{k}:{v}") for k, v in (
         ("length", n.bit_length()), ("odd", _share(odd, n)), ("upper", _share(upper, n)),
         ("lines", _share(len(lines) - len(set(lines)), len(lines))), ("repeats", _share(n - len(set(words)), n))))
-    return np.fromiter(out, dtype=np.int64, count=len(out))
+    return tuple(np.fromiter(x, np.int64, len(x)) for x in (out, forms, parts))
 
 
 def truth(labels: DataFrame) -> DataFrame:
-    """doc_id and good (0 or 1)."""
-    good = (F.coalesce("quality", F.lit(0)) == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
+    """doc_id, quality and toxic; of several labels the worse one."""
     return (labels.filter("doc_id is not null and (quality is not null or toxic is not null)")
-            .groupBy("doc_id").agg(F.min(good.cast("int")).alias("good")))
+            .groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("quality"), F.max(F.col("toxic").cast("int")).alias("toxic")))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float, float]:
-    """(weight of each bucket in ten-thousandths, slope, intercept), from all labelled documents."""
-    marked = docs.select("doc_id", "text").join(truth(labels), "doc_id")
+class Model(NamedTuple):
+    """Weights per bucket (whole millionths), and the curves that turn their sums into probabilities."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    quality: np.ndarray
+    quality_at: float
+    toxic: np.ndarray
+    toxic_slope: float
+    toxic_at: float
+
+    def probability(self, text: str | None, cache: dict) -> float:
+        """P(good quality) * P(not toxic) of one text."""
+        all_of = features(text, cache)
+        q = self.quality_at + sum(int(self.quality[f].sum()) / 1e6 * scale for f, scale in zip(all_of, _scales(*all_of)))
+        return _logistic(q) * _logistic(-(self.toxic_slope * self.toxic_sum(*all_of) + self.toxic_at))
+
+    def toxic_sum(self, *all_of: np.ndarray) -> float:
+        return sum(int(self.toxic[f].sum()) for f in all_of) / 1e6
+
+
+def _scales(words, forms, parts=None) -> tuple[float, float]:
+    """Values of a word and of a form feature: words share one unit of length, forms, which say more, FORMS units."""
+    return 1 / math.sqrt(max(1, len(words))), FORMS / math.sqrt(max(1, len(forms)))
+
+
+def _logistic(x: float) -> float:
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Both evidence models: the quality one from a bounded sample of labelled documents, the toxicity one from all of them."""
+    known = stored(truth(labels), "truth")
+    known = F.broadcast(known) if known.count() <= BROADCAST_LABELS else known
+
+    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict = {}
-        seen = np.zeros((2, 1 << FEATURE_BITS), dtype=np.int64)
-        total = np.zeros(2, dtype=np.int64)
         for b in batches:
-            for text, good in zip(b["text"], b["good"]):
-                seen[good, features(text, cache)] += 1
-                total[good] += 1
+            found = [features(t, cache) for t in b["text"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "quality": b["quality"], "toxic": b["toxic"]}
+                               | {name: [x[k] for x in found] for k, name in enumerate(("words", "forms", "parts"))})
+
+    marked = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "text", "quality", "toxic")
+    marked = stored(marked.mapInPandas(extract, "doc_id long, quality int, toxic int, words array<int>, forms array<int>, parts array<int>"), "features")
+    return Model(*_fit_quality(marked), *_fit_toxic(marked))
+
+
+def _fit_quality(marked: DataFrame) -> tuple[np.ndarray, float]:
+    """Logistic regression (steps of falling size, documents in a fixed shuffled order) on about SAMPLE documents."""
+    some = marked.filter("quality is not null")
+    share = min(1.0, SAMPLE / max(1, some.count()))
+    rows = some.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).select("doc_id", "quality", "words", "forms").toPandas()
+    rows = rows.sort_values("doc_id", kind="stable")
+    size = 1 << FEATURE_BITS
+    weights, square, at, at_square = np.zeros(size), np.full(size, 1e-2), 0.0, 1e-2
+    y = (rows["quality"] > 0).to_numpy().astype(int)
+    x = [tuple(np.sort(np.asarray(f, dtype=np.int64)) for f in both) for both in zip(rows["words"], rows["forms"])]
+    if not len(y) or y.min() == y.max():
+        return np.zeros(size, np.int64), 30.0 if not len(y) or y.min() else -30.0
+    rng = np.random.default_rng(1)
+    for _ in range(max(EPOCHS, min(5 * EPOCHS, EPOCHS * SAMPLE // len(y)))):
+        for k in rng.permutation(len(y)):
+            scales = _scales(*x[k])
+            miss = _logistic(sum(float(weights[f].sum()) * scale for f, scale in zip(x[k], scales)) + at) - y[k]
+            for f, scale in zip(x[k], scales):
+                step = miss * scale + RIDGE * weights[f]
+                square[f] += step * step
+                weights[f] -= RATE * step / np.sqrt(square[f])
+            at_square += miss * miss
+            at -= RATE * miss / math.sqrt(at_square)
+    return np.rint(weights * 1e6).astype(np.int64), round(at, 6)
+
+
+def _fit_toxic(marked: DataFrame) -> tuple[np.ndarray, float, float]:
+    """Naive Bayes log-odds; each is shrunk by 1 - SHRINK / z**2, so what chance explains is 0."""
+    size = 1 << FEATURE_BITS
+    some = marked.filter("toxic is not null")
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen, total = np.zeros((2, size), dtype=np.int64), np.zeros(2, dtype=np.int64)
+        for b in batches:
+            for words, forms, parts, toxic in zip(b["words"], b["forms"], b["parts"], b["toxic"]):
+                seen[int(toxic > 0), np.unique(np.concatenate((words, forms, parts))).astype(np.int64)] += 1
+                total[int(toxic > 0)] += 1
         used = np.flatnonzero(seen.sum(axis=0))
-        yield pd.DataFrame({"bucket": np.append(used, -1), "bad": np.append(seen[0, used], total[0]),
-                            "good": np.append(seen[1, used], total[1])})
-
-    counts = (marked.mapInPandas(count, "bucket long, bad long, good long").groupBy("bucket")
-              .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).toPandas())  # at most 2 ** FEATURE_BITS + 1 rows
-    total = counts[counts.bucket == -1]
-    weights = np.zeros(1 << FEATURE_BITS, dtype=np.int64)
-    bad, good = (int(total[c].sum()) for c in ("bad", "good"))
-    if not bad or not good:
-        return weights, 1.0, 30.0
+        yield pd.DataFrame({"bucket": np.append(used, -1), "no": np.append(seen[0, used], total[0]), "yes": np.append(seen[1, used], total[1])})
+
+    counts = (some.select("words", "forms", "parts", "toxic").mapInPandas(count, "bucket long, no long, yes long").groupBy("bucket")
+              .agg(F.sum("no").alias("no"), F.sum("yes").alias("yes")).toPandas())  # at most 2 ** FEATURE_BITS + 1 rows
+    weights = np.zeros(size, dtype=np.int64)
+    no, yes = (int(counts.loc[counts.bucket == -1, c].sum()) for c in ("no", "yes"))
+    if not no or not yes:
+        return weights, 1.0, -30.0 if not yes else 30.0
     c = counts[counts.bucket >= 0]
-    n = (c.bad + c.good).to_numpy()
-    odds = np.log((c.good + 0.5) / (good + 1)) - np.log((c.bad + 0.5) / (bad + 1))
-    weights[c.bucket.to_numpy()] = np.rint(odds.to_numpy() * n / (n + FEATURE_PRIOR) * SCALE).astype(np.int64)
+    a, b = c.yes.to_numpy() + 0.5, c.no.to_numpy() + 0.5
+    odds = np.log(a / (yes + 1)) - np.log(b / (no + 1))
+    odds *= np.maximum(0, 1 - SHRINK / np.maximum(odds ** 2 / (1 / a + 1 / b), 1e-9))
+    weights[c.bucket.to_numpy()] = np.rint(odds * 1e6).astype(np.int64)
+    model = Model(weights, 0.0, weights, 1.0, 0.0)
+
+    @F.pandas_udf("long")
+    def bin_of(words: pd.Series, forms: pd.Series, parts: pd.Series) -> pd.Series:
+        return pd.Series([max(-200, min(200, round(2 * model.toxic_sum(*(f.astype(np.int64) for f in x))))) for x in zip(words, forms, parts)])
+
     # Calibration on the sums, in bins of half a unit: a bounded table whatever the corpus.
-    bins = (marked.select("good", evidence(weights)("text").alias("e"))
-            .groupBy(F.greatest(F.lit(-2000), F.least(F.lit(2000), F.round(F.col("e") / (SCALE / 2)))).alias("x"))
-            .agg(F.count("*").alias("n"), F.sum("good").alias("good")).orderBy("x").toPandas())
-    return weights, *calibrate(bins.x.to_numpy() / 2, bins.n.to_numpy(float), bins.good.to_numpy(float))
+    bins = (some.select((F.col("toxic") > 0).cast("int").alias("yes"), bin_of("words", "forms", "parts").alias("x"))
+            .groupBy("x").agg(F.count("*").alias("n"), F.sum("yes").alias("yes")).orderBy("x").toPandas())
+    return weights, *calibrate(bins.x.to_numpy() / 2, bins.n.to_numpy(float), bins.yes.to_numpy(float))
 
 
 def calibrate(x: np.ndarray, n: np.ndarray, good: np.ndarray) -> tuple[float, float]:
@@ -151,21 +234,16 @@ def calibrate(x: np.ndarray, n: np.ndarray, good: np.ndarray) -> tuple[float, fl
     return float(a), float(b)
 
 
-def evidence(weights: np.ndarray):
-    """A Column function: text -> summed weights, whole numbers."""
+def evidence(model: Model):
+    """A Column function: text -> probability of a good document by its text alone, in whole millionths."""
     @F.pandas_udf("long")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cache: dict = {}
         for batch in texts:
-            yield pd.Series([int(weights[features(t, cache)].sum()) for t in batch], dtype="int64")
+            yield pd.Series([round(1e6 * model.probability(t, cache)) for t in batch], dtype="int64")
     return score
 
 
-def _document_probability(weights, slope: float, intercept: float) -> Column:
-    z = F.lit(slope / SCALE) * evidence(weights)("text") + F.lit(intercept)
-    return F.round(1e6 / (1 + F.exp(-F.greatest(F.lit(-13.0), F.least(F.lit(13.0), z))))).cast("long")
-
-
 def _strength(groups: DataFrame, own: str, n: str, prior: Column) -> float:
     """Pseudo-documents of a prior: how far the groups' shares stray from it beyond what their sizes explain."""
     m = prior
@@ -195,9 +273,9 @@ def sites(scored: DataFrame, host: str, path: str) -> tuple[DataFrame, float]:
 
 
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang",
-             model: tuple | None = None, keep: list[str] | None = None) -> DataFrame:
+             model: Model | None = None, keep: list[str] | None = None) -> DataFrame:
     """Each document (as ``doc``: the columns named in ``keep``, doc_id by default) with its evidence, site posteriors, probability and verdict."""
-    p = _document_probability(*(model or fit(docs, labels)))
+    p = evidence(model or fit(docs, labels))("text")
     cols = keep or ["doc_id"]
     d = docs.select(F.struct(*[F.col(c) for c in cols]).alias("doc"), F.col(host).alias("h"), F.col(path).alias("pth"), p.alias("p"))
     table, share = sites(d.select("h", "pth", "p"), "h", "pth")
