@@ -95,7 +95,7 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = hits.join(near(hashes), "h", "left_semi")
     per_doc = hits.distinct().groupBy("doc_id", "tk").agg(F.collect_list(F.struct("pos", "h")).alias("hits"))
     per_doc = per_doc.select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk"), "hits")
-    full = d.dropDuplicates(["doc_id", "tk"]).join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tk") == F.col("_tk")))
+    full = d.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tk") == F.col("_tk")))
     full = full.select("doc_id", "tk", "hits", template(F.col("text")).alias("t"), spoken(F.col("text")).alias("raw"))
     cut = F.transform("hits", lambda x: F.struct(
         x["pos"].alias("pos"), x["h"].alias("h"), F.slice("t", x["pos"] + 1, WINDOW).alias("t"),
