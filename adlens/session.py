@@ -98,7 +98,7 @@ def apply_defaults(spark: SparkSession) -> None:
 
 def input_bytes(*frames: DataFrame) -> int:
     """Size of the files behind ``frames``, as the planner knows it from their listing."""
-    return sum(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) for df in frames)
+    return sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in frames)
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20,
