@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from adlens.llm.common import stored
 
 FEATURE_BITS = 18
-PREFIXES = (4, 5, 6)
+PREFIX = 5
 SAMPLE = 20_000  # labelled documents that the quality model is fitted on, about
 EPOCHS, RATE, RIDGE = 6, 0.1, 1e-4
 FORMS = 4.0
@@ -53,6 +53,7 @@ BROADCAST_SITES = 200_000
 BROADCAST_LABELS = 2_000_000
 _CACHE_WORDS = 1 << 17
 _PUNCTUATION = ".,;:!?\"'()[]{}"
+_ORDINARY = frozenset("aA9.,;:!?'\"-()")
 
 
 def _bucket(name: str) -> int:
@@ -78,28 +79,30 @@ def features(text: str | None, cache: dict[str, tuple]) -> tuple[np.ndarray, np.
     words = (text or "").split()
     if not words:
         return np.zeros(0, np.int64), np.array([_bucket("empty")]), np.zeros(0, np.int64)
+    different = set(words)
     out, forms, parts = set(), set(), set()
     odd = upper = 0
-    for w in words:
+    for w in different:
         known = cache.get(w)
         if known is None:
             if len(cache) >= _CACHE_WORDS:
                 cache.clear()
             shape = _shape(w)
             plain = w.strip(_PUNCTUATION).lower()
-            known = (_bucket("w:" + plain), _bucket("s:" + shape), tuple(_bucket(f"p{k}:{plain[:k]}") for k in PREFIXES if len(plain) >= k),
-                     any(c not in "aA9.,;:!?'\"-()" for c in shape), len(w) > 1 and w.isupper())
+            known = (_bucket("w:" + plain), _bucket("s:" + shape), _bucket("p:" + plain[:PREFIX]),
+                     not _ORDINARY.issuperset(shape), len(w) > 1 and w.isupper())
             cache[w] = known
-        out.add(known[0])
-        forms.add(known[1])
-        parts.update(known[2])
-        odd += known[3]
-        upper += known[4]
+        word, form, part, is_odd, is_upper = known
+        out.add(word)
+        forms.add(form)
+        parts.add(part)
+        odd += is_odd
+        upper += is_upper
     lines = [x for x in text.split("\n") if x.strip()]
-    n = len(words)
+    n, m = len(words), len(different)
     forms.update(_bucket(f"{k}:{v}") for k, v in (
-        ("length", n.bit_length()), ("odd", _share(odd, n)), ("upper", _share(upper, n)),
-        ("lines", _share(len(lines) - len(set(lines)), len(lines))), ("repeats", _share(n - len(set(words)), n))))
+        ("length", n.bit_length()), ("odd", _share(odd, m)), ("upper", _share(upper, m)),
+        ("lines", _share(len(lines) - len(set(lines)), len(lines))), ("repeats", _share(n - m, n))))
     return tuple(np.fromiter(x, np.int64, len(x)) for x in (out, forms, parts))
 
 
@@ -278,6 +281,8 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     p = evidence(model or fit(docs, labels))("text")
     cols = keep or ["doc_id"]
     d = docs.select(F.struct(*[F.col(c) for c in cols]).alias("doc"), F.col(host).alias("h"), F.col(path).alias("pth"), p.alias("p"))
+    if keep is None:
+        d = stored(d, "scores")  # a few numbers per document: texts are scored once
     table, share = sites(d.select("h", "pth", "p"), "h", "pth")
     table = stored(table, "sites")
     if table.count() <= BROADCAST_SITES:
