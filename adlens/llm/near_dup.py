@@ -289,10 +289,13 @@ def link(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
         return reps, roots
     sets = shingle_table(open_rows.select("node").distinct(), reps, docs)
     own = stored(own_shingles(sets), "own")
-    open_rows = open_rows.join(own, "node", "left").fillna(0, ["own"])
+    # A pair that meets in several buckets is told in the one with the least key only.
+    meets = open_rows.groupBy("node").agg(F.collect_list("band").alias("open_bands"))  # at most BANDS each
+    open_rows = open_rows.join(own, "node", "left").fillna(0, ["own"]).join(meets, "node")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     more = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.node") > F.col("y.node"))
-                   & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y") & _alike("x", "y"))
+                   & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y") & _alike("x", "y")
+                   & (F.array_min(F.array_intersect("x.open_bands", "y.open_bands")) == F.col("x.band")))
             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
     more = stored(more.join(tested, ["a", "b"], "left_anti"), "more-pairs")
     if more.limit(1).count():
