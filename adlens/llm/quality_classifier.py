@@ -44,7 +44,7 @@ from adlens.llm.common import stored
 
 FEATURE_BITS = 18
 PREFIX = 5
-SAMPLE = 20_000  # labelled documents that the quality model is fitted on, about
+SAMPLE = 8_000  # labelled documents that the quality model is fitted on, about
 EPOCHS, RATE, RIDGE = 6, 0.1, 1e-4
 FORMS = 4.0
 SHRINK = 9.0
