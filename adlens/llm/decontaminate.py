@@ -11,16 +11,20 @@
    the document and the other way round.  A group that agrees and covers
    ``MIN_RUN`` windows (or all of a shorter item) marks the document.
 
+Windows with fewer than ``MIN_LITERALS`` words that are no placeholder, and items
+of fewer than ``WINDOW`` template words as a whole, say too little by their
+template; they are found by their exact words, values included.
+
 Built-in functions only.  The benchmark's windows are broadcast only when their
 counted number is at most ``BROADCAST_WINDOWS``; above that both sides are
 shuffled by hash, where Spark splits hot hashes.  Texts are shuffled once, for
 documents with hits, by (doc_id, text hash).
 
-Defined results: null and empty texts have no windows and stay; items of fewer
-than ``WINDOW`` template words, or null ones, match nothing; a window needs
-``MIN_LITERALS`` words that are no placeholder; a null doc_id is a value like any
-other; repeated rows share their verdict; an empty benchmark marks nothing;
-further columns are ignored or, in ``clean``, kept.
+Defined results: null and empty texts have no windows and stay; items without
+words, or null ones, match nothing; an item of a few words marks every document
+that holds them in a row; a null doc_id is a value like any other; repeated rows
+share their verdict; an empty benchmark marks nothing; further columns are
+ignored or, in ``clean``, kept.
 """
 
 from __future__ import annotations
@@ -62,26 +66,55 @@ def spoken(text: Column) -> Column:
     return F.filter(words(F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0003]", "")), lambda w: w.rlike(r"[\p{L}\p{M}0-9]"))
 
 
-def _hashes(template_words: Column) -> Column:
-    """One hash per window of the words."""
-    return let(template_words, lambda t: F.when(F.size(t) >= WINDOW, F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(t) - WINDOW, F.lit(0))),
-        lambda i: F.xxhash64(*[t[i + k] for k in range(WINDOW)]))).otherwise(F.array().cast("array<long>")))
+def _hash(words_: Column, start: Column, width: int) -> Column:
+    return F.xxhash64(*[words_[start + k] for k in range(width)])
+
+
+def _hashes(words_: Column, width: int = WINDOW) -> Column:
+    """(place, width, hash) of every window of the words."""
+    none = F.array().cast("array<struct<pos:int,width:int,h:bigint>>")
+    return let(words_, lambda t: F.when(F.size(t) >= width, F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(t) - width, F.lit(0))),
+        lambda i: F.struct(i.alias("pos"), F.lit(width).alias("width"), _hash(t, i, width).alias("h")))).otherwise(none))
+
+
+def _value(word: Column) -> Column:
+    """A word as it counts for a value: without case and outer punctuation."""
+    return F.lower(F.regexp_replace(word, r"^[^\p{L}\p{M}0-9]+|[^\p{L}\p{M}0-9]+$", ""))
+
+
+def _placeholder(word: Column) -> Column:
+    return word.rlike("[\u0001-\u0003]")
+
+
+def exact(t: Column, raw: Column) -> Column:
+    """The template words with their values back in the places of the placeholders."""
+    return F.zip_with(t, raw, lambda t, w: F.when(_placeholder(t), _value(w)).otherwise(t))
 
 
 def _slots(t: Column, raw: Column) -> Column:
     """(placeholder's place, value) of one window; values lose case and outer punctuation."""
-    return F.transform(raw, lambda w, i: F.when(
-        t[i].rlike("[\u0001-\u0003]"), F.lower(F.regexp_replace(w, r"^[^\p{L}\p{M}0-9]+|[^\p{L}\p{M}0-9]+$", ""))))
+    return F.transform(raw, lambda w, i: F.when(_placeholder(t[i]), _value(w)))
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """One row per benchmark window: its hash, item, place, template, slot values and the item's window count."""
+    """One row per benchmark window: its hash, item, place, width, words, slot values and the item's counts of windows.
+
+    ``n`` counts the windows that go by their template.  The others, and shorter items as a whole, go by
+    their exact words, which have no slots; ``n_all`` counts these too.
+    """
     b = benchmark.select("item_id", template(F.col("text")).alias("t"), spoken(F.col("text")).alias("raw"))
-    b = b.select("item_id", "t", "raw", F.size(_hashes(F.col("t"))).alias("n"), F.posexplode(_hashes(F.col("t"))).alias("bpos", "h"))
-    b = b.withColumns({"bt": F.slice("t", F.col("bpos") + 1, WINDOW), "braw": F.slice("raw", F.col("bpos") + 1, WINDOW)})
-    literal = F.size(F.filter("bt", lambda w: ~w.rlike("[\u0001-\u0003]")))
-    return b.filter(literal >= MIN_LITERALS).select("h", "item_id", "bpos", "n", "bt", _slots(F.col("bt"), F.col("braw")).alias("bslots"))
+    b = b.withColumns({"e": exact(F.col("t"), F.col("raw")), "width": F.least(F.size("t"), F.lit(WINDOW))}).filter("width > 0")
+    cut = lambda c, p: F.slice(c, p + 1, F.col("width"))
+    templated = lambda p: (F.col("width") == WINDOW) & (F.size(F.filter(cut("t", p), lambda w: ~_placeholder(w))) >= MIN_LITERALS)
+    b = b.withColumn("places", F.sequence(F.lit(0), F.size("t") - F.col("width")))
+    b = b.select("item_id", "t", "raw", "e", "width", F.size(F.filter("places", templated)).alias("n"), F.size("places").alias("n_all"),
+                 F.explode("places").alias("bpos"))
+    b = b.withColumn("bt", F.when(templated(F.col("bpos")), cut("t", F.col("bpos"))).otherwise(cut("e", F.col("bpos"))))
+    # Words as they are hashed in documents, a hash for each width there is.
+    h = F.coalesce(*[F.when(F.col("width") == k, F.xxhash64(*[F.col("bt")[i] for i in range(k)])) for k in range(1, WINDOW + 1)])
+    return b.select(h.alias("h"), "item_id", "bpos", "width", "n", "n_all", (~templated(F.col("bpos"))).alias("exact"), "bt",
+                    _slots(F.col("bt"), cut("raw", F.col("bpos"))).alias("bslots"))
 
 
 def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -90,34 +123,45 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hashes = bench.select("h").distinct()
     small = hashes.count() <= BROADCAST_WINDOWS
     near = F.broadcast if small else (lambda df: df)
+    widths = sorted(r.width for r in bench.filter("exact").select("width").distinct().collect())  # WINDOW numbers at most
     d = docs.select("doc_id", text_key(F.col("text")).alias("tk"), "text")
-    hits = d.select("doc_id", "tk", F.posexplode(_hashes(template(F.col("text")))).alias("pos", "h"))
+    t = template(F.col("text"))
+    windows = [_hashes(t)]
+    if widths:
+        windows.append(let(exact(t, spoken(F.col("text"))), lambda e: F.concat(*[_hashes(e, k) for k in widths])))
+    hits = d.select("doc_id", "tk", F.explode(F.concat(*windows)).alias("x")).select("doc_id", "tk", "x.*")
     hits = hits.join(near(hashes), "h", "left_semi")
-    per_doc = hits.distinct().groupBy("doc_id", "tk").agg(F.collect_list(F.struct("pos", "h")).alias("hits"))
+    per_doc = hits.distinct().groupBy("doc_id", "tk").agg(F.collect_list(F.struct("pos", "width", "h")).alias("hits"))
     per_doc = per_doc.select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk"), "hits")
     full = d.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tk") == F.col("_tk")))
     full = full.select("doc_id", "tk", "hits", template(F.col("text")).alias("t"), spoken(F.col("text")).alias("raw"))
-    cut = F.transform("hits", lambda x: F.struct(
-        x["pos"].alias("pos"), x["h"].alias("h"), F.slice("t", x["pos"] + 1, WINDOW).alias("t"),
-        _slots(F.slice("t", x["pos"] + 1, WINDOW), F.slice("raw", x["pos"] + 1, WINDOW)).alias("slots")))
-    found = full.select("doc_id", "tk", F.explode(cut).alias("x")).select("doc_id", "tk", "x.*")
+    full = full.withColumn("e", exact(F.col("t"), F.col("raw")))
+    cut = lambda c, x: F.slice(c, x["pos"] + 1, x["width"])
+    read = lambda x: F.transform(F.array_distinct(F.array(cut("t", x), cut("e", x))), lambda t: F.struct(
+        x["pos"].alias("pos"), x["h"].alias("h"), t.alias("t"), _slots(t, cut("raw", x)).alias("slots")))
+    found = full.select("doc_id", "tk", F.explode(F.flatten(F.transform("hits", read))).alias("x")).select("doc_id", "tk", "x.*")
     b_side = near(bench) if small else bench
     pairs = (found.join(b_side, "h").filter(F.col("t") == F.col("bt"))
-             .select("doc_id", "tk", "item_id", "n", (F.col("pos") - F.col("bpos")).alias("offset"), "bpos",
+             .select("doc_id", "tk", "item_id", "n", "n_all", "exact", (F.col("pos") - F.col("bpos")).alias("offset"), "bpos",
                      F.filter(F.arrays_zip("bslots", "slots"), lambda s: s["bslots"].isNotNull()).alias("slots")))
+    same = F.forall("slots", lambda s: s["bslots"] == s["slots"])
     slots = F.array_distinct(F.flatten(F.collect_set("slots")))
     one = F.col("values")
     agree = ((F.size(F.array_distinct(F.transform(one, lambda s: s["bslots"]))) == F.size(one))
              & (F.size(F.array_distinct(F.transform(one, lambda s: s["slots"]))) == F.size(one)))
-    return (pairs.groupBy("doc_id", "tk", "item_id", "n", "offset")
-            .agg(F.count_distinct("bpos").alias("matched"), slots.alias("values"))
+    return (pairs.groupBy("doc_id", "tk", "item_id", "n", "n_all", "offset")
+            .agg(F.count_distinct(F.when(~F.col("exact"), F.col("bpos"))).alias("by_template"),
+                 F.count_distinct(F.when(same, F.col("bpos"))).alias("verbatim"),
+                 F.count_distinct("bpos").alias("matched"), slots.alias("values"))
             .withColumn("agree", agree)
             .withColumn("same_values", ~F.exists("values", lambda s: s["bslots"] != s["slots"])))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per marked (doc_id, text hash): the items found, and how many only with other values."""
-    hit = alignments(docs, benchmark).filter(F.col("agree") & (F.col("matched") >= F.least(F.lit(MIN_RUN), F.col("n"))))
+    enough = lambda found, n: (F.col(found) > 0) & (F.col(found) >= F.least(F.lit(MIN_RUN), F.col(n)))
+    hit = alignments(docs, benchmark).filter(F.col("agree") & (
+        enough("by_template", "n") | enough("verbatim", "n_all") | (F.col("matched") >= MIN_RUN)))
     return hit.groupBy("doc_id", "tk").agg(
         F.count_distinct("item_id").alias("n_items"), F.min("item_id").alias("item_id"), F.max("matched").alias("n_windows"),
         F.count_distinct(F.when(~F.col("same_values"), F.col("item_id"))).alias("n_reparameterised"))
