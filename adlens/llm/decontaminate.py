@@ -9,7 +9,9 @@
    grouped by (document, item, offset): one group is one alignment of the item.
 4. Slots of an alignment must agree: each benchmark value stands for one value in
    the document and the other way round.  A group that agrees and covers
-   ``MIN_RUN`` windows (or all of a shorter item) marks the document.
+   ``MIN_RUN`` windows (or all of a shorter item) marks the document.  So does one
+   with clashing slots if ``CLASH_WINDOWS`` of its windows have the item's own
+   values or agree with one another, whatever the rest does.
 
 Windows with fewer than ``MIN_LITERALS`` words that are no placeholder, and items
 of fewer than ``WINDOW`` template words as a whole, say too little by their
@@ -37,6 +39,7 @@ from adlens.llm.common import let, text_key, words
 WINDOW = 8
 MIN_RUN = 6
 MIN_LITERALS = 4
+CLASH_WINDOWS = WINDOW  # as many windows as one clashing word is in
 BROADCAST_WINDOWS = 1_000_000  # of 8-byte hashes
 
 NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
@@ -144,24 +147,44 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     pairs = (found.join(b_side, "h").filter(F.col("t") == F.col("bt"))
              .select("doc_id", "tk", "item_id", "n", "n_all", "exact", (F.col("pos") - F.col("bpos")).alias("offset"), "bpos",
                      F.filter(F.arrays_zip("bslots", "slots"), lambda s: s["bslots"].isNotNull()).alias("slots")))
-    same = F.forall("slots", lambda s: s["bslots"] == s["slots"])
-    slots = F.array_distinct(F.flatten(F.collect_set("slots")))
-    one = F.col("values")
-    agree = ((F.size(F.array_distinct(F.transform(one, lambda s: s["bslots"]))) == F.size(one))
-             & (F.size(F.array_distinct(F.transform(one, lambda s: s["slots"]))) == F.size(one)))
-    return (pairs.groupBy("doc_id", "tk", "item_id", "n", "n_all", "offset")
-            .agg(F.count_distinct(F.when(~F.col("exact"), F.col("bpos"))).alias("by_template"),
-                 F.count_distinct(F.when(same, F.col("bpos"))).alias("verbatim"),
-                 F.count_distinct("bpos").alias("matched"), slots.alias("values"))
-            .withColumn("agree", agree)
-            .withColumn("same_values", ~F.exists("values", lambda s: s["bslots"] != s["slots"])))
+    rows = F.struct("bpos", "exact", "slots")
+    found = pairs.groupBy("doc_id", "tk", "item_id", "n", "n_all", "offset").agg(F.collect_set(rows).alias("rows"))
+    found = found.withColumn("values", F.array_distinct(F.flatten(F.col("rows")["slots"])))
+    found = found.withColumns({"agree": _one_to_one(F.col("values")),
+                               "by_template": _places("rows", lambda r: ~r["exact"]),
+                               "verbatim": _places("rows", lambda r: F.forall(r["slots"], lambda s: s["bslots"] == s["slots"])),
+                               "matched": _places("rows", lambda r: F.lit(True)),
+                               "same_values": ~F.exists("values", lambda s: s["bslots"] != s["slots"])})
+    main = F.when(~F.col("agree"), _main_values(F.col("rows"), F.col("values")))
+    return found.withColumn("main", main).withColumn("consistent", F.when(F.col("agree"), F.col("matched")).otherwise(
+        _places("rows", lambda r: F.forall(r["slots"], lambda s: F.array_contains("main", s)))))
+
+
+def _places(rows: str, test) -> Column:
+    """How many windows of the item have a row that passes the test."""
+    return F.size(F.array_distinct(F.transform(F.filter(rows, test), lambda r: r["bpos"])))
+
+
+def _one_to_one(values: Column) -> Column:
+    return ((F.size(F.array_distinct(F.transform(values, lambda s: s["bslots"]))) == F.size(values))
+            & (F.size(F.array_distinct(F.transform(values, lambda s: s["slots"]))) == F.size(values)))
+
+
+def _main_values(rows: Column, values: Column) -> Column:
+    """The pairs of values that are in more windows than any pair they clash with; a one-to-one map."""
+    told = F.transform(values, lambda s: F.struct(
+        F.size(F.filter(rows, lambda r: F.array_contains(r["slots"], s))).alias("n"), (s["bslots"] == s["slots"]).alias("same"), s.alias("s")))
+    clash = lambda u, v: (u["s"]["bslots"] == v["s"]["bslots"]) | (u["s"]["slots"] == v["s"]["slots"])
+    return let(told, lambda all_: F.transform(
+        F.filter(all_, lambda v: ~F.exists(all_, lambda u: clash(u, v) & (u > v))), lambda v: v["s"]))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per marked (doc_id, text hash): the items found, and how many only with other values."""
     enough = lambda found, n: (F.col(found) > 0) & (F.col(found) >= F.least(F.lit(MIN_RUN), F.col(n)))
-    hit = alignments(docs, benchmark).filter(F.col("agree") & (
-        enough("by_template", "n") | enough("verbatim", "n_all") | (F.col("matched") >= MIN_RUN)))
+    hit = alignments(docs, benchmark).filter(
+        (F.col("agree") & (enough("by_template", "n") | enough("verbatim", "n_all") | (F.col("matched") >= MIN_RUN)))
+        | (F.greatest("verbatim", "consistent") >= CLASH_WINDOWS))
     return hit.groupBy("doc_id", "tk").agg(
         F.count_distinct("item_id").alias("n_items"), F.min("item_id").alias("item_id"), F.max("matched").alias("n_windows"),
         F.count_distinct(F.when(~F.col("same_values"), F.col("item_id"))).alias("n_reparameterised"))

@@ -15,3 +15,12 @@ def test_copies_of_number_heavy_and_short_items_are_found(spark):
     texts = [f"so it goes. {sums} and an end", f"they ask: what is 17 times 23 here", "they ask: what is 18 times 23 here",
              "12 7 34 9 81 6 55 2 19 4", sums.replace("Compute", "Count").replace("then add", "and take")]
     assert _kept(spark, texts, [sums, short]) == [False, False, True, True, True]
+
+
+def test_a_clash_does_not_clear_the_rest_of_a_copy(spark):
+    item = ("the baker sold 5 loaves in the morning and kept the old oven warm until noon while the boys carried the flour sacks up the stairs "
+            "and the cat slept near 5 jars of plum jam which nobody had opened since the last long winter came to an end in 3 days")
+    texts = [item.replace("near 5 jars", "near 9 jars"), item.replace(" 5 ", " 4 ").replace(" 3 ", " 4 "),
+             item.replace("sold 5", "sold 8").replace("near 5", "near 9").replace(" 3 ", " 8 "),
+             "the baker sold 5 loaves in the morning and kept the " + "word " * 40 + "the cat slept near 9 jars of plum jam which"]
+    assert _kept(spark, texts, [item]) == [False, False, False, True]
