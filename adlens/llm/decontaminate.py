@@ -2,7 +2,8 @@
 
 1. Canonical text: numbers, names and units become typed placeholders, the rest
    is lower-cased without punctuation.  A question with other numbers or names
-   has the same template.
+   has the same template.  A capital that begins a sentence or a line is read both
+   ways, as a name and as a plain word.
 2. Every window of ``WINDOW`` template words is hashed, in documents and
    benchmark alike, and the two sides are hash-joined.  Only hits go on.
 3. Hits fetch their words; hash hits with another template fall away.  Hits are
@@ -43,47 +44,75 @@ CLASH_WINDOWS = WINDOW  # as many windows as one clashing word is in
 BROADCAST_WINDOWS = 1_000_000  # of 8-byte hashes
 
 NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
+CAPITAL = "\u0004"  # before a word that may be a name
 
 # Units of measure and money, and number words, as they stand in questions.
 UNITS = ["kilometers?", "kilometres?", "km", "meters?", "metres?", "m", "centimeters?", "cm", "millimeters?", "mm", "miles?", "feet",
          "foot", "ft", "inches", "inch", "yards?", "kilograms?", "kg", "grams?", "g", "mg", "pounds?", "lbs?", "ounces?", "oz", "tons?",
          "liters?", "litres?", "l", "ml", "gallons?", "hours?", "hrs?", "h", "minutes?", "mins?", "seconds?", "secs?", "s", "days?",
          "weeks?", "months?", "years?", "dollars?", "cents?", "euros?", "eur", "usd", "percent", "degrees?", "mph", "kmh", "hz", "watts?", "w"]
-NUMBER_WORDS = ["two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "twenty", "thirty",
-                "forty", "fifty", "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million"]
+NUMBER_WORDS = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen", "fourteen",
+                "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million", "billion"]
 
 
-def template(text: Column) -> Column:
-    """The template words of a text.  They align one to one with ``spoken`` of it."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0003]", "")
+def marked(text: Column) -> Column:
+    """The template words of a text, with ``CAPITAL`` where a capital may only be due to its place.  They align one to one with ``spoken`` of it."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0004]", "")
+    number = "(?:" + "|".join(NUMBER_WORDS) + ")"
+    t = F.regexp_replace(t, rf"(?i)\b{number}(?:-{number})*\b", NUMBER)
     # A capitalised word inside a sentence: what stands before it ends no sentence and no line.
     t = F.regexp_replace(t, r"(?<=[^.!?:\s][ \t])[\p{Lu}][\p{Ll}][\p{L}'’-]*", NAME)
+    t = F.regexp_replace(t, r"(?<![\p{L}\p{M}]|[\p{L}\p{M}]['’-])(?=[\p{Lu}][\p{Ll}])", CAPITAL)
     t = F.regexp_replace(F.lower(t), r"[0-9]+(?:[.,:/][0-9]+)*", NUMBER)
-    t = F.regexp_replace(t, r"\b(?:" + "|".join(NUMBER_WORDS) + r")\b", NUMBER)
-    t = F.regexp_replace(t, "(?<=\u0001[ -]?)(?:" + "|".join(UNITS) + r")\b", UNIT)
-    return words(F.regexp_replace(t, "[^\\p{L}\\p{M}\u0001-\u0003\\x20\\x09-\\x0D]+", ""))
+    t = F.regexp_replace(t, "(?<=\u0001[ -]?)\u0004?(?:" + "|".join(UNITS) + r")\b", UNIT)
+    return words(F.regexp_replace(t, "[^\\p{L}\\p{M}\u0001-\u0004\\x20\\x09-\\x0D]+", ""))
+
+
+def template(marked_words: Column) -> Column:
+    """The reading in which words that begin a sentence or a line are no names."""
+    return F.transform(marked_words, lambda w: F.replace(w, F.lit(CAPITAL), F.lit("")))
+
+
+def named(marked_words: Column) -> Column:
+    """The reading in which every capitalised word is a name, whatever stands before it."""
+    return F.transform(marked_words, lambda w: F.when(w.contains(CAPITAL), F.regexp_replace(w, "\u0004[\\p{L}\\p{M}]+", NAME)).otherwise(w))
 
 
 def spoken(text: Column) -> Column:
-    """The words that ``template`` has a place for, as they stand in the text."""
-    return F.filter(words(F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0003]", "")), lambda w: w.rlike(r"[\p{L}\p{M}0-9]"))
+    """The words that ``marked`` has a place for, as they stand in the text."""
+    return F.filter(words(F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0004]", "")), lambda w: w.rlike(r"[\p{L}\p{M}0-9]"))
 
 
 def _hash(words_: Column, start: Column, width: int) -> Column:
     return F.xxhash64(*[words_[start + k] for k in range(width)])
 
 
+_WINDOWS = "array<struct<pos:int,width:int,h:bigint>>"
+
+
 def _hashes(words_: Column, width: int = WINDOW) -> Column:
     """(place, width, hash) of every window of the words."""
-    none = F.array().cast("array<struct<pos:int,width:int,h:bigint>>")
+    none = F.array().cast(_WINDOWS)
     return let(words_, lambda t: F.when(F.size(t) >= width, F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(t) - width, F.lit(0))),
         lambda i: F.struct(i.alias("pos"), F.lit(width).alias("width"), _hash(t, i, width).alias("h")))).otherwise(none))
 
 
+def _named_hashes(marked_words: Column) -> Column:
+    """(place, width, hash) of the windows that ``named`` reads otherwise than ``template``."""
+    def of(m: Column) -> Column:
+        last = F.size(m) - WINDOW
+        marks = F.filter(F.sequence(F.lit(0), F.greatest(F.size(m) - 1, F.lit(0))), lambda p: m[p].contains(CAPITAL))
+        starts = F.array_distinct(F.flatten(F.transform(marks, lambda p: F.sequence(F.greatest(p - WINDOW + 1, F.lit(0)), F.least(p, last)))))
+        hashed = let(named(m), lambda t: F.transform(
+            starts, lambda i: F.struct(i.alias("pos"), F.lit(WINDOW).alias("width"), _hash(t, i, WINDOW).alias("h"))))
+        return F.when(last >= 0, hashed).otherwise(F.array().cast(_WINDOWS))
+    return let(marked_words, of)
+
+
 def _value(word: Column) -> Column:
-    """A word as it counts for a value: without case and outer punctuation."""
-    return F.lower(F.regexp_replace(word, r"^[^\p{L}\p{M}0-9]+|[^\p{L}\p{M}0-9]+$", ""))
+    """A word as it counts for a value: without case and without punctuation but between figures."""
+    return F.regexp_replace(F.lower(word), r"(?<![0-9])[^\p{L}\p{M}0-9]+|[^\p{L}\p{M}0-9]+(?![0-9])", "")
 
 
 def _placeholder(word: Column) -> Column:
@@ -101,23 +130,28 @@ def _slots(t: Column, raw: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """One row per benchmark window: its hash, item, place, width, words, slot values and the item's counts of windows.
+    """One row per reading of a benchmark window: its hash, item, place, width, words, slot values and the item's counts of windows.
 
-    ``n`` counts the windows that go by their template.  The others, and shorter items as a whole, go by
-    their exact words, which have no slots; ``n_all`` counts these too.
+    ``n`` and ``n_named`` count the windows that go by their template in either reading.  Where one doesn't, and
+    for shorter items as a whole, there is a row of exact words, which have no slots; ``n_all`` counts all windows.
     """
-    b = benchmark.select("item_id", template(F.col("text")).alias("t"), spoken(F.col("text")).alias("raw"))
-    b = b.withColumns({"e": exact(F.col("t"), F.col("raw")), "width": F.least(F.size("t"), F.lit(WINDOW))}).filter("width > 0")
+    b = benchmark.select("item_id", marked(F.col("text")).alias("m"), spoken(F.col("text")).alias("raw"))
+    b = b.withColumns({"t": template(F.col("m")), "c": named(F.col("m")), "width": F.least(F.size("m"), F.lit(WINDOW))}).filter("width > 0")
+    b = b.withColumns({"e": exact(F.col("c"), F.col("raw")), "places": F.sequence(F.lit(0), F.size("m") - F.col("width"))})
     cut = lambda c, p: F.slice(c, p + 1, F.col("width"))
-    templated = lambda p: (F.col("width") == WINDOW) & (F.size(F.filter(cut("t", p), lambda w: ~_placeholder(w))) >= MIN_LITERALS)
-    b = b.withColumn("places", F.sequence(F.lit(0), F.size("t") - F.col("width")))
-    b = b.select("item_id", "t", "raw", "e", "width", F.size(F.filter("places", templated)).alias("n"), F.size("places").alias("n_all"),
+    templated = lambda c, p: (F.col("width") == WINDOW) & (F.size(F.filter(cut(c, p), lambda w: ~_placeholder(w))) >= MIN_LITERALS)
+    count = lambda c: F.size(F.filter("places", lambda p: templated(c, p)))
+    b = b.select("item_id", "t", "c", "raw", "e", "width", count("t").alias("n"), count("c").alias("n_named"), F.size("places").alias("n_all"),
                  F.explode("places").alias("bpos"))
-    b = b.withColumn("bt", F.when(templated(F.col("bpos")), cut("t", F.col("bpos"))).otherwise(cut("e", F.col("bpos"))))
+    p = F.col("bpos")
+    b = b.withColumns({"in_t": F.when(templated("t", p), cut("t", p)), "in_c": F.when(templated("c", p), cut("c", p))})
+    b = b.withColumn("in_e", F.when(F.col("in_t").isNull() | F.col("in_c").isNull(), cut("e", p)))
+    b = b.withColumn("bt", F.explode(F.array_distinct(F.array_compact(F.array("in_t", "in_c", "in_e")))))
     # Words as they are hashed in documents, a hash for each width there is.
     h = F.coalesce(*[F.when(F.col("width") == k, F.xxhash64(*[F.col("bt")[i] for i in range(k)])) for k in range(1, WINDOW + 1)])
-    return b.select(h.alias("h"), "item_id", "bpos", "width", "n", "n_all", (~templated(F.col("bpos"))).alias("exact"), "bt",
-                    _slots(F.col("bt"), cut("raw", F.col("bpos"))).alias("bslots"))
+    is_ = lambda c: F.col("bt").eqNullSafe(F.col(c))
+    return b.select(h.alias("h"), "item_id", "bpos", "width", "n", "n_named", "n_all", is_("in_t").alias("plain"), is_("in_c").alias("named"),
+                    is_("in_e").alias("exact"), "bt", _slots(F.col("bt"), cut("raw", p)).alias("bslots"))
 
 
 def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -128,30 +162,34 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     near = F.broadcast if small else (lambda df: df)
     widths = sorted(r.width for r in bench.filter("exact").select("width").distinct().collect())  # WINDOW numbers at most
     d = docs.select("doc_id", text_key(F.col("text")).alias("tk"), "text")
-    t = template(F.col("text"))
-    windows = [_hashes(t)]
+    windows = lambda m: F.concat(_hashes(template(m)), _named_hashes(m))
     if widths:
-        windows.append(let(exact(t, spoken(F.col("text"))), lambda e: F.concat(*[_hashes(e, k) for k in widths])))
-    hits = d.select("doc_id", "tk", F.explode(F.concat(*windows)).alias("x")).select("doc_id", "tk", "x.*")
+        windows = lambda m: F.concat(_hashes(template(m)), _named_hashes(m), let(
+            exact(named(m), spoken(F.col("text"))), lambda e: F.concat(*[_hashes(e, k) for k in widths])))
+    hits = d.select("doc_id", "tk", F.explode(let(marked(F.col("text")), windows)).alias("x")).select("doc_id", "tk", "x.*")
     hits = hits.join(near(hashes), "h", "left_semi")
     per_doc = hits.distinct().groupBy("doc_id", "tk").agg(F.collect_list(F.struct("pos", "width", "h")).alias("hits"))
     per_doc = per_doc.select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk"), "hits")
     full = d.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tk") == F.col("_tk")))
-    full = full.select("doc_id", "tk", "hits", template(F.col("text")).alias("t"), spoken(F.col("text")).alias("raw"))
-    full = full.withColumn("e", exact(F.col("t"), F.col("raw")))
+    full = full.select("doc_id", "tk", "hits", marked(F.col("text")).alias("m"), spoken(F.col("text")).alias("raw"))
+    full = full.withColumns({"t": template(F.col("m")), "c": named(F.col("m"))}).withColumn("e", exact(F.col("c"), F.col("raw")))
     cut = lambda c, x: F.slice(c, x["pos"] + 1, x["width"])
-    read = lambda x: F.transform(F.array_distinct(F.array(cut("t", x), cut("e", x))), lambda t: F.struct(
-        x["pos"].alias("pos"), x["h"].alias("h"), t.alias("t"), _slots(t, cut("raw", x)).alias("slots")))
+    read = lambda x: F.transform(F.array_distinct(F.array(cut("t", x), cut("c", x), cut("e", x))), lambda t: F.struct(
+        x["pos"].alias("pos"), x["h"].alias("h"), t.alias("t"), (t == cut("t", x)).alias("as_plain"), _slots(t, cut("raw", x)).alias("slots")))
     found = full.select("doc_id", "tk", F.explode(F.flatten(F.transform("hits", read))).alias("x")).select("doc_id", "tk", "x.*")
     b_side = near(bench) if small else bench
     pairs = (found.join(b_side, "h").filter(F.col("t") == F.col("bt"))
-             .select("doc_id", "tk", "item_id", "n", "n_all", "exact", (F.col("pos") - F.col("bpos")).alias("offset"), "bpos",
+             .select("doc_id", "tk", "item_id", "n", "n_named", "n_all", (F.col("plain") & F.col("as_plain")).alias("plain"), "named", (F.col("pos") - F.col("bpos")).alias("offset"), "bpos",
                      F.filter(F.arrays_zip("bslots", "slots"), lambda s: s["bslots"].isNotNull()).alias("slots")))
-    rows = F.struct("bpos", "exact", "slots")
-    found = pairs.groupBy("doc_id", "tk", "item_id", "n", "n_all", "offset").agg(F.collect_set(rows).alias("rows"))
-    found = found.withColumn("values", F.array_distinct(F.flatten(F.col("rows")["slots"])))
+    rows = F.struct("bpos", "plain", "named", "slots")
+    found = pairs.groupBy("doc_id", "tk", "item_id", "n", "n_named", "n_all", "offset").agg(F.collect_set(rows).alias("rows"))
+    values = lambda rows: F.array_distinct(F.flatten(F.transform(rows, lambda r: r["slots"])))
+    found = found.withColumn("values", values("rows"))
     found = found.withColumns({"agree": _one_to_one(F.col("values")),
-                               "by_template": _places("rows", lambda r: ~r["exact"]),
+                               "agree_plain": _one_to_one(values(F.filter("rows", lambda r: r["plain"]))),
+                               "agree_named": _one_to_one(values(F.filter("rows", lambda r: r["named"]))),
+                               "by_template": _places("rows", lambda r: r["plain"]),
+                               "by_names": _places("rows", lambda r: r["named"]),
                                "verbatim": _places("rows", lambda r: F.forall(r["slots"], lambda s: s["bslots"] == s["slots"])),
                                "matched": _places("rows", lambda r: F.lit(True)),
                                "same_values": ~F.exists("values", lambda s: s["bslots"] != s["slots"])})
@@ -183,7 +221,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per marked (doc_id, text hash): the items found, and how many only with other values."""
     enough = lambda found, n: (F.col(found) > 0) & (F.col(found) >= F.least(F.lit(MIN_RUN), F.col(n)))
     hit = alignments(docs, benchmark).filter(
-        (F.col("agree") & (enough("by_template", "n") | enough("verbatim", "n_all") | (F.col("matched") >= MIN_RUN)))
+        (F.col("agree") & (enough("verbatim", "n_all") | (F.col("matched") >= MIN_RUN)))
+        | (F.col("agree_plain") & enough("by_template", "n")) | (F.col("agree_named") & enough("by_names", "n_named"))
         | (F.greatest("verbatim", "consistent") >= CLASH_WINDOWS))
     return hit.groupBy("doc_id", "tk").agg(
         F.count_distinct("item_id").alias("n_items"), F.min("item_id").alias("item_id"), F.max("matched").alias("n_windows"),

@@ -24,3 +24,13 @@ def test_a_clash_does_not_clear_the_rest_of_a_copy(spark):
              item.replace("sold 5", "sold 8").replace("near 5", "near 9").replace(" 3 ", " 8 "),
              "the baker sold 5 loaves in the morning and kept the " + "word " * 40 + "the cat slept near 9 jars of plum jam which"]
     assert _kept(spark, texts, [item]) == [False, False, False, True]
+
+
+def test_names_are_names_whatever_precedes_them(spark):
+    item = "Anna has 3 apples. Ben gives her 5 more. Carl takes 13 pears."
+    texts = ["Dora has 4 apples. Emil gives her 6 more. Fritz takes 17 pears.", "dora is here\nDora has 4 apples\nEmil gives her 6 more Fritz takes\nthirteen pears",
+             item.lower(), "Dora has 4 apples. Emil sells her 6 more. Fritz wants 17 pears."]
+    assert _kept(spark, texts, [item]) == [False, False, False, True]
+    farm = "the train leaves at ten and the old farmer walks twenty-five miles to town"
+    copies = [farm.capitalize().replace("ten", "thirteen").replace("twenty-five", "19"), "so. " + farm.replace("ten", "one"), farm.replace("leaves", "stops").replace("walks", "rides")]
+    assert _kept(spark, copies, [farm]) == [False, False, True]
