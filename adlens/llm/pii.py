@@ -1,6 +1,7 @@
 """Format-preserving pseudonyms for personal numbers, dates and addresses.
 
-Found values are validated (checksum, calendar, number ranges) and mapped by a
+Found values are validated (checksum, calendar; phones and addresses by their format
+and octets only, as personal data needn't be in a range that is handed out) and mapped by a
 keyed permutation of their own format: a Feistel network over the number the
 value stands for, walked on until it lands on a valid value again.  Equal values
 get equal pseudonyms in every document, different values different ones, and the
@@ -35,7 +36,7 @@ FOUND = re.compile(r"""
   | (?P<date>(?<![\w.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\4[0-9]{4})(?![\w-]|\.[0-9]))
   | (?P<ipv4>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9]))
   | (?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
-  | (?P<phone>(?<![\w+])\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?(?:[\x20.-]?[0-9]{2,4}){1,4}(?![\w-])|(?<![\w(])\([2-9][0-9]{2}\)\x20?[0-9]{3}-[0-9]{4}(?![\w-]))
+  | (?P<phone>(?<![\w+])\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?(?:[\x20.-]?[0-9]{2,4}){1,4}(?![\w-])|(?<![\w(])\([0-9]{3}\)\x20?[0-9]{3}-[0-9]{4}(?![\w-])|(?<![\w.+-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![\w-]))
   | (?P<card>(?<![\w.-])[0-9](?:[\x20-]?[0-9]){12,18}(?![\w-]|\.[0-9]))
 """, re.X | re.A)
 
@@ -120,17 +121,14 @@ class Pseudonyms:
         d = re.sub(r"\D", "", v[len(head):])
         if not 6 <= len(d) <= 13:
             return None
-        north = len(d) == 10 and head in ("", "+1")
-        valid = (lambda x: x[0] in "23456789" and x[3] in "23456789") if north else (lambda x: True)
-        return head + _refill(v[len(head):], self._digits(d, "phone" + (head or "+1"), valid)) if valid(d) else None
+        return head + _refill(v[len(head):], self._digits(d, "phone" + (head or "+1")))
 
     def ipv4(self, v: str) -> str | None:
         parts = [int(x) for x in v.split(".")]
-        valid = lambda x: 1 <= x >> 24 <= 223 and x >> 24 != 127
         if max(parts) > 255:
             return None
         x = int.from_bytes(bytes(parts), "big")
-        return ".".join(map(str, self.perm(x, 1 << 32, b"ipv4", valid, self.back).to_bytes(4, "big"))) if valid(x) else None
+        return ".".join(map(str, self.perm(x, 1 << 32, b"ipv4", back=self.back).to_bytes(4, "big")))
 
     def iban(self, v: str) -> str | None:
         s = v.replace(" ", "")

@@ -1,6 +1,6 @@
 """Cases that the operators once left out."""
 
-from adlens.llm import decontaminate
+from adlens.llm import decontaminate, pii
 
 
 def _kept(spark, texts, items):
@@ -34,3 +34,10 @@ def test_names_are_names_whatever_precedes_them(spark):
     farm = "the train leaves at ten and the old farmer walks twenty-five miles to town"
     copies = [farm.capitalize().replace("ten", "thirteen").replace("twenty-five", "19"), "so. " + farm.replace("ten", "one"), farm.replace("leaves", "stops").replace("walks", "rides")]
     assert _kept(spark, copies, [farm]) == [False, False, True]
+
+
+def test_phones_and_addresses_of_any_range_are_replaced():
+    there, back = pii.Pseudonyms(b"k"), pii.Pseudonyms(b"k", back=True)
+    for v in ("+1 (017) 555-7713", "+1 (132) 555-1352", "240.56.125.154", "233.254.104.120", "0.1.2.3", "127.0.0.1", "555-123-4567", "(155) 012-4567"):
+        out, counts = there.text(f"call {v} now")
+        assert v not in out and sum(counts.values()) == 1 and back.text(out)[0] == f"call {v} now"
