@@ -5,7 +5,10 @@ and octets only, as personal data needn't be in a range that is handed out) and
 keyed permutation of their own format: a Feistel network over the number the
 value stands for, walked on until it lands on a valid value again.  Equal values
 get equal pseudonyms in every document, different values different ones, and the
-holder of the key can go back.  What fails validation is left alone.
+holder of the key can go back.  What fails validation is left alone.  A card or IBAN
+run that fails is tried by its shorter runs, longest first, and searched on from its
+second character; a pseudonym that would make a longer run valid is walked past there,
+so in such a place a value may differ from its usual pseudonym.
 
 Kinds: card (Luhn), ssn, phone (country code kept), ipv4, iban (country kept,
 mod 97), date (yyyy-mm-dd, or day and month first, 1900 to 2099) and the local part of an
@@ -83,6 +86,27 @@ def luhn(digits: str) -> int:
     return -total % 10
 
 
+def is_card(v: str) -> bool:
+    d = re.sub(r"\D", "", v)
+    return 13 <= len(d) <= 19 and luhn(d[:-1]) == int(d[-1]) and len(set(d)) > 1
+
+
+def _letters_as_number(t: str) -> int:
+    return int("".join(str(int(c, 36)) for c in t))
+
+
+def is_iban(v: str) -> bool:
+    s = v.replace(" ", "")
+    return 15 <= len(s) <= 34 and _letters_as_number(s[4:] + s[:4]) % 97 == 1
+
+
+def _runs(v: str, kind: str) -> list[tuple[int, int]]:
+    """The parts of ``v`` between borders of its groups, longest first; an IBAN begins where ``v`` does."""
+    starts = [0] + [m.end() for m in re.finditer("[ -]", v)] if kind == "card" else [0]
+    ends = [m.start() for m in re.finditer("[ -]", v)] + [len(v)]
+    return sorted(((a, b) for a in starts for b in ends if a < b), key=lambda r: (r[0] - r[1], r[0]))
+
+
 def _refill(value: str, digits: str) -> str:
     """``value`` with its digits replaced, in order."""
     it = iter(digits)
@@ -103,12 +127,11 @@ class Pseudonyms:
         n = len(digits)
         return str(self.perm(int(digits), 10 ** n, f"{kind}:{n}".encode(), lambda x: valid(str(x).zfill(n)), self.back)).zfill(n)
 
-    def card(self, v: str) -> str | None:
-        d = re.sub(r"\D", "", v)
-        if luhn(d[:-1]) != int(d[-1]) or len(set(d)) == 1:
+    def card(self, v: str, fits: Callable[[str], bool] = lambda v: True) -> str | None:
+        if not is_card(v):
             return None
-        body = self._digits(d[:-1], "card", lambda x: len(set(x)) > 1)
-        return _refill(v, body + str(luhn(body)))
+        filled = lambda body: _refill(v, body + str(luhn(body)))
+        return filled(self._digits(re.sub(r"\D", "", v)[:-1], "card", lambda x: len(set(x)) > 1 and fits(filled(x))))
 
     def ssn(self, v: str) -> str | None:
         valid = lambda d: d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
@@ -130,17 +153,18 @@ class Pseudonyms:
         x = int.from_bytes(bytes(parts), "big")
         return ".".join(map(str, self.perm(x, 1 << 32, b"ipv4", back=self.back).to_bytes(4, "big")))
 
-    def iban(self, v: str) -> str | None:
+    def iban(self, v: str, fits: Callable[[str], bool] = lambda v: True) -> str | None:
         s = v.replace(" ", "")
-        number = lambda t: int("".join(str(int(c, 36)) for c in t))
-        if not 15 <= len(s) <= 34 or number(s[4:] + s[:4]) % 97 != 1:
-            return None
         old = "".join(c for c in s[4:] if c.isdigit())
-        if not old:
+        if not old or not is_iban(v):
             return None
-        body = _refill(s[4:], self._digits(old, "iban" + s[:2]))
-        new = iter(s[:2] + f"{98 - number(body + s[:2] + '00') % 97:02d}" + body)
-        return "".join(c if c == " " else next(new) for c in v)
+
+        def filled(digits: str) -> str:
+            body = _refill(s[4:], digits)
+            new = iter(s[:2] + f"{98 - _letters_as_number(body + s[:2] + '00') % 97:02d}" + body)
+            return "".join(c if c == " " else next(new) for c in v)
+
+        return filled(self._digits(old, "iban" + s[:2], lambda x: fits(filled(x))))
 
     def date(self, v: str) -> str | None:
         parts = re.split(r"[./-]", v)
@@ -194,15 +218,35 @@ class Pseudonyms:
         """The text with its values replaced, and how many of each kind."""
         counts = dict.fromkeys(KINDS, 0)
 
-        def swap(m: re.Match) -> str:
+        out, done, m = [], 0, FOUND.search(text)
+        while m:
             kind = m.lastgroup if m.lastgroup in counts else next(k for k in KINDS if m.group(k))
-            new = getattr(self, kind)(m.group())
+            a, b, new = self._inside(m.group(), kind) if kind in ("card", "iban") else (0, len(m.group()), getattr(self, kind)(m.group()))
             if new is None:
-                return m.group()
+                m = FOUND.search(text, m.start() + 1)
+                continue
             counts[kind] += 1
-            return new
-
-        return FOUND.sub(swap, text), counts
+            out += [text[done:m.start() + a], new]
+            done = m.start() + b
+            m = FOUND.search(text, done)
+        return "".join(out) + text[done:], counts
+
+    def _inside(self, v: str, kind: str) -> tuple[int, int, str | None]:
+        """(start, end, pseudonym) of the longest valid run in ``v``.
+
+        The longer runs fail their checksum and still do with the pseudonym in place, so the way back finds the same run.
+        """
+        valid = is_card if kind == "card" else is_iban
+        runs = _runs(v, kind)
+        for k, (a, b) in enumerate(runs):
+            if valid(v[a:b]):
+                def fits(new: str) -> bool:
+                    whole = v[:a] + new + v[b:]
+                    return not any(valid(whole[x:y]) for x, y in runs[:k])
+                new = getattr(self, kind)(v[a:b], fits)
+                if new is not None:
+                    return a, b, new
+        return 0, len(v), None
 
 
 def pseudonymise(docs: DataFrame, key: str, back: bool = False) -> DataFrame:

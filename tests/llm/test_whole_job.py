@@ -41,3 +41,12 @@ def test_phones_and_addresses_of_any_range_are_replaced():
     for v in ("+1 (017) 555-7713", "+1 (132) 555-1352", "240.56.125.154", "233.254.104.120", "0.1.2.3", "127.0.0.1", "555-123-4567", "(155) 012-4567"):
         out, counts = there.text(f"call {v} now")
         assert v not in out and sum(counts.values()) == 1 and back.text(out)[0] == f"call {v} now"
+
+
+def test_cards_and_ibans_beside_other_groups_are_replaced():
+    there, back = pii.Pseudonyms(b"k"), pii.Pseudonyms(b"k", back=True)
+    for v, rest in (("4111 1111 1111 1111", " 123"), ("4041894974608795", " 12"), ("GB82 WEST 1234 5698 7654 32", " ABCD"),
+                    ("GB82WEST12345698765432", " 1234"), ("4041894974608795", " 1")):
+        for text in (v + rest, "no " + v + rest + " end", "77 " + v + rest):
+            out, counts = there.text(text)
+            assert v not in out and sum(counts.values()) == 1 and back.text(out)[0] == text, text
