@@ -17,7 +17,7 @@
    a pair can share, exactly, so a crowd of copies that each went their own way
    doesn't become all pairs.
 
-A link at the threshold is missed with probability (1 - 0.85**6)**40 = 6e-9.
+A link at the threshold J is missed with probability (1 - J**6)**40: 6e-9 at 0.85, 5e-6 at 0.8.
 
 On the driver: counts only.  A table is broadcast only when its counted rows are
 at most ``BROADCAST_ROWS``; the same join runs as a shuffle beyond that.
@@ -44,11 +44,9 @@ from adlens.llm.common import stored, text_key
 from adlens.llm.rolling import mix, prefix_hash, span_hash
 
 SHINGLE = 5
-THRESHOLD = 85  # per cent
+THRESHOLD = 85  # per cent, unless a caller asks for another
 BANDS, ROWS = 40, 6
 PLANES = 4  # 64-bit words per signature plane
-# Signature disagreements allowed: 240 minima, two bits each, differ with (1 - J) * 3/4; six standard deviations.
-MAX_DIFFER = int(240 * 0.1125 + 6 * (240 * 0.1125 * 0.8875) ** 0.5) + 1
 BROADCAST_ROWS = 1_000_000
 BATCH_BYTES = 1 << 20
 
@@ -169,10 +167,16 @@ def _differ(a: str, b: str):
     return total
 
 
-def _alike(a: str, b: str):
+def max_differ(threshold: int) -> int:
+    """Signature disagreements allowed: the minima, two bits each, differ with (1 - J) * 3/4; six standard deviations."""
+    n, p = BANDS * ROWS, (1 - threshold / 100) * 0.75
+    return int(n * p + 6 * (n * p * (1 - p)) ** 0.5) + 1
+
+
+def _alike(a: str, b: str, threshold: int):
     """Sizes and signatures allow the threshold."""
     small, large = F.least(F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")), F.greatest(F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles"))
-    return (100 * small >= THRESHOLD * large) & (_differ(a, b) <= MAX_DIFFER)
+    return (100 * small >= threshold * large) & (_differ(a, b) <= max_differ(threshold))
 
 
 def _near(df: DataFrame) -> DataFrame:
@@ -195,7 +199,7 @@ def shingle_table(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFra
     return stored(texts.mapInArrow(to_sets, "node long, shingles binary").dropDuplicates(["node"]), "sets")
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The pairs (a, b) of nodes whose full shingle sets reach the threshold, stored."""
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,7 +207,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= THRESHOLD * (len(x) + len(y) - both))
+                keep.append(100 * both >= threshold * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     with_sets = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
@@ -223,10 +227,10 @@ def own_shingles(sets: DataFrame) -> DataFrame:
     return each.filter("n = 1").groupBy("node").agg(F.count("*").alias("own"))
 
 
-def _may_link(a: str, b: str):
+def _may_link(a: str, b: str, threshold: int):
     """What two sets can share at most, and must hold at least, by the shingles only one of all has: exact, no estimate."""
     rest = [F.col(f"{x}.n_shingles") - F.col(f"{x}.own") for x in (a, b)]
-    return 100 * F.least(*rest) >= THRESHOLD * (F.col(f"{a}.own") + F.col(f"{b}.own") + F.greatest(*rest))
+    return 100 * F.least(*rest) >= threshold * (F.col(f"{a}.own") + F.col(f"{b}.own") + F.greatest(*rest))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -261,7 +265,7 @@ def _all_stars(edges: DataFrame) -> bool:
     return not ends.filter("lo < a and (hi > a or below > lo)").limit(1).count()
 
 
-def link(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
+def link(docs: DataFrame, sketched: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(representatives with their node and set, (node, root)) of all documents that have a set."""
     columns = ["doc_id", "tk", "n_shingles", "digest", "bands"] + [f"s{k}" for k in range(2 * PLANES)]
     reps = stored(sketched.filter("digest is not null").dropDuplicates(["digest"])
@@ -275,9 +279,9 @@ def link(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
              .select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct())
     slim = reps.select(*marks)
     tested = stored(pairs.alias("e").join(slim.alias("x"), F.col("e.a") == F.col("x.node")).join(slim.alias("y"), F.col("e.b") == F.col("y.node"))
-                    .filter(_alike("x", "y")).select("e.a", "e.b"), "pairs")
+                    .filter(_alike("x", "y", threshold)).select("e.a", "e.b"), "pairs")
     ends_of = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    links = verify(tested, shingle_table(ends_of(tested), reps, docs))
+    links = verify(tested, shingle_table(ends_of(tested), reps, docs), threshold)
     roots = stored(components(links), "components")
     # Buckets of up to three are done: both ends met each other and the middle.
     large = ends.filter("n > 3").select("band")
@@ -294,13 +298,13 @@ def link(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
     open_rows = open_rows.join(own, "node", "left").fillna(0, ["own"]).join(meets, "node")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     more = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.node") > F.col("y.node"))
-                   & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y") & _alike("x", "y")
+                   & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y", threshold) & _alike("x", "y", threshold)
                    & (F.array_min(F.array_intersect("x.open_bands", "y.open_bands")) == F.col("x.band")))
             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
     more = stored(more.join(tested, ["a", "b"], "left_anti"), "more-pairs")
     if more.limit(1).count():
         known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # what is joined stays joined
-        roots = stored(components(known.unionByName(verify(more, sets))), "components")
+        roots = stored(components(known.unionByName(verify(more, sets, threshold))), "components")
     return reps, roots
 
 
@@ -321,13 +325,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return linked.unionByName(alone).withColumn("kept", kept)
 
 
-def unique_documents(docs: DataFrame) -> DataFrame:
+def unique_documents(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """One document of each component, with all its columns: the least doc_id (null last), then the least text hash.
 
     Documents without words stay, all of them.
     """
     sketched = sketch(docs)
-    members = _members(sketched, *link(docs, sketched))
+    members = _members(sketched, *link(docs, sketched, threshold))
     name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tk")
     first = members.groupBy("root").agg(F.min(name).alias("first"))
     others = members.join(first, "root").filter(~name.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk"))

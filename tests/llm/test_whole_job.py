@@ -1,6 +1,7 @@
 """Cases that the operators once left out."""
 
-from adlens.llm import decontaminate, pii
+from adlens.llm import decontaminate, near_dup, pii
+from tests.llm import plain
 
 
 def _kept(spark, texts, items):
@@ -50,3 +51,15 @@ def test_cards_and_ibans_beside_other_groups_are_replaced():
         for text in (v + rest, "no " + v + rest + " end", "77 " + v + rest):
             out, counts = there.text(text)
             assert v not in out and sum(counts.values()) == 1 and back.text(out)[0] == text, text
+
+
+def test_near_copies_from_four_fifths_on(spark):
+    words = plain.prose(304, 21).split()
+    copy = list(words)
+    for k in range(30, 270, 42):  # 6 words of 304: 30 of 300 shingles differ, 270 / 330 = 0.82
+        copy[k] = "other"
+    a, b = map(plain.shingles, (" ".join(words), " ".join(copy)))
+    assert 0.8 <= len(a & b) / len(a | b) < 0.85
+    d = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(copy))], "doc_id long, text string")
+    assert [r.doc_id for r in near_dup.unique_documents(d, threshold=80).collect()] == [1]
+    assert near_dup.unique_documents(d).count() == 2
