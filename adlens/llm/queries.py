@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from adlens.llm import (
     decontaminate,
+    divergence,
+    hard_negatives,
     mixing,
     near_dup,
     pii,
@@ -12,6 +14,7 @@ from adlens.llm import (
     repeats,
     secrets,
     sharding,
+    simhash,
     token_counts,
 )
 from adlens.llm.common import table
@@ -61,9 +64,22 @@ def op10_bwt_repeats(spark, sf_dir):
     return repeats.strip_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_hilbert_negatives(spark, sf_dir):
+    return hard_negatives.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_pivot_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_run_length_divergence(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_bayes_quality, op2_template_decontamination, op3_viterbi_tokens, op4_entropy_secrets, op5_minhash_components,
-    op6_feistel_pseudonyms, op7_quality_rules, op8_virtual_slots, op9_block_mix, op10_bwt_repeats)}
-
-LLM_ORACLE = {"op7_quality_rules": quality_rules.oracle()}
+    op6_feistel_pseudonyms, op7_quality_rules, op8_virtual_slots, op9_block_mix, op10_bwt_repeats,
+    op11_hilbert_negatives, op12_pivot_simhash, op13_run_length_divergence)}
 
+LLM_ORACLE = {"op7_quality_rules": quality_rules.oracle(), "op11_hilbert_negatives": hard_negatives.oracle(),
+              "op13_run_length_divergence": divergence.oracle()}
