@@ -29,6 +29,7 @@ source has no pairs; repeated rows are documents of their own; doc_id is not rea
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -43,13 +44,13 @@ MIN_DOCUMENTS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
 STRIPE = 4096
-SLICE_CHARS = 1 << 22
+ENTRIES = 1 << 19  # terms that a task holds before it passes their counts on
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"  # fixed by the contract: letters, and everything beyond ASCII
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences and documents per (lang, source, term), one row of each per SLICE_CHARS of text."""
+    """Occurrences and documents per (lang, source, term), added up over texts until ENTRIES terms are held."""
     find = re.compile(TERM).findall
     held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
     size = 0
@@ -58,18 +59,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lang, source), (n, docs) in held.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(n), pa.string()), pa.array([source] * len(n), pa.string()), pa.array(list(n), pa.string()),
-                 pa.array(list(n.values()), pa.int64()), pa.array([docs[t] for t in n], pa.int64())],
+                 pa.array(list(n.values()), pa.int64()), pa.array(list(map(docs.__getitem__, n)), pa.int64())],
                 names=["lang", "source", "term", "n", "docs"])
 
     for batch in batches:
         for lang, source, text in zip(*(batch.column(k) for k in range(3))):
-            text = text.as_py()
-            terms = Counter(find(text.translate(_LOWER)))
+            terms = find(text.as_py().translate(_LOWER))
             n, docs = held.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
+            size -= len(n)
             n.update(terms)
-            docs.update(terms.keys())
-            size += len(text)
-            if size >= SLICE_CHARS:
+            docs.update(set(terms))
+            size += len(n)
+            if size >= ENTRIES:
                 yield from rows()
                 held.clear()
                 size = 0
@@ -101,32 +102,37 @@ def run_length_columns(terms: DataFrame, stripe: int = STRIPE) -> DataFrame:
     entries = terms.groupBy("lang", "cols").agg(F.count("*").alias("m"))
     ordered = entries.repartitionByRange("lang", "cols").sortWithinPartitions("lang", "cols")
 
-    def encode(lang: str, rows: list) -> pa.RecordBatch:
-        ends = np.cumsum(np.array([m for _, m in rows], dtype=np.int64))
-        at: dict[str, dict[int, int]] = {}
-        for k, (cols, _) in enumerate(rows):
-            for c in cols:
-                at.setdefault(c["source"], {})[k] = c["n"]
-        columns = []
-        for source, known in sorted(at.items()):
-            counts = np.zeros(len(rows), dtype=np.int64)
-            counts[list(known)] = list(known.values())
-            last = np.append(np.flatnonzero(np.diff(counts)), len(rows) - 1)  # the last entry of each run
-            columns.append({"source": source, "ends": ends[last], "counts": counts[last]})
+    def encode(lang: str, m: np.ndarray, cols: pa.ListArray) -> pa.RecordBatch:
+        ends, last = np.cumsum(m), len(m) - 1
+        items, entry = cols.flatten(), np.repeat(np.arange(len(m)), np.diff(cols.offsets.to_numpy()))
+        source, n = items.field("source").dictionary_encode(), items.field("n").to_numpy()
+        code, columns = source.indices.to_numpy(), []
+        for c, name in enumerate(source.dictionary.to_pylist()):
+            counts = np.zeros(len(m), dtype=np.int64)
+            counts[entry[code == c]] = n[code == c]
+            cut = np.append(np.flatnonzero(np.diff(counts)), last)  # the last entry of each run
+            columns.append({"source": name, "ends": ends[cut], "counts": counts[cut]})
         return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([int(ends[-1])]), pa.array([columns], _COLUMNS)], names=["lang", "width", "columns"])
 
     def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lang, rows = None, []
+        lang, held, size = None, [], 0  # of one language, less than a stripe
+
+        def take() -> pa.RecordBatch:
+            parts = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            return encode(lang, parts.column("m").to_numpy(), parts.column("cols"))
+
         for batch in batches:
-            for l, cols, m in zip(batch.column("lang"), batch.column("cols"), batch.column("m")):
-                l = l.as_py()
-                if rows and (l != lang or len(rows) == stripe):
-                    yield encode(lang, rows)
-                    rows = []
-                lang = l
-                rows.append((cols.as_py(), m.as_py()))
-        if rows:
-            yield encode(lang, rows)
+            names, at = batch.column("lang").to_pylist(), 0
+            while at < len(names):
+                if held and (names[at] != lang or size == stripe):
+                    yield take()
+                    held, size = [], 0
+                lang = names[at]
+                end = min(at + stripe - size, bisect_right(names, lang, at))  # sorted by language
+                held.append(batch.slice(at, end - at))
+                size, at = size + end - at, end
+        if held:
+            yield take()
 
     columns = ordered.mapInArrow(encode_all, "lang string, width long, columns array<struct<source: string, ends: array<long>, counts: array<long>>>")
     return stored(columns, "run-length")
@@ -156,8 +162,10 @@ def pair_sums(columns: DataFrame, langs: DataFrame) -> DataFrame:
         total: Counter = Counter()
         for batch in batches:
             for k in range(batch.num_rows):
-                lang, width, cols, v, sources = (batch.column(name)[k].as_py() for name in ("lang", "width", "columns", "v", "sources"))
-                known = {c["source"]: (np.array(c["ends"], np.int64), np.array(c["counts"], np.int64)) for c in cols}
+                lang, width, v, sources = (batch.column(name)[k].as_py() for name in ("lang", "width", "v", "sources"))
+                cols = batch.column("columns")[k].values
+                known = {name: tuple(cols.field(x)[j].values.to_numpy() for x in ("ends", "counts"))
+                         for j, name in enumerate(cols.field("source").to_pylist())}
                 absent = np.array([width], np.int64), np.zeros(1, np.int64)
                 runs = []
                 for s in sources:

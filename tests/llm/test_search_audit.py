@@ -242,7 +242,7 @@ def test_divergence_edges(spark, monkeypatch):
     docs = spark.createDataFrame(rows, plain.SCHEMA)
     want = plain_divergence([(r[1], r[2], r[3]) for r in rows])
     assert audited(docs) == want
-    monkeypatch.setattr(divergence, "SLICE_CHARS", 50)
+    monkeypatch.setattr(divergence, "ENTRIES", 5)
     columns = divergence.run_length_columns
     monkeypatch.setattr(divergence, "run_length_columns", lambda terms: columns(terms, 3))  # many stripes
     assert audited(docs) == want
