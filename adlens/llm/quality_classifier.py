@@ -23,8 +23,8 @@ probabilities are whole millionths, so reruns agree to the digit.
 
 Defined results: null and empty texts have the one feature "empty"; null hosts or
 paths form a site of their own; a null doc_id is scored but teaches nothing; of
-several labels of a doc_id the worse counts; with quality labels of one kind only,
-or none, all documents are what the labels say, or good; with no toxic label no
+several labels of a doc_id the worse counts; with quality labels of one kind only
+among those drawn, or none, all documents are what the labels say, or good; with no toxic label no
 document is toxic; equal rows get equal scores.
 """
 
@@ -161,7 +161,9 @@ def _fit_quality(marked: DataFrame) -> tuple[np.ndarray, float]:
     """Logistic regression (steps of falling size, documents in a fixed shuffled order) on about SAMPLE documents."""
     some = marked.filter("quality is not null")
     share = min(1.0, SAMPLE / max(1, some.count()))
-    rows = some.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).select("doc_id", "quality", "words", "forms").toPandas()
+    # Two hashes, so that a share far below one in a million still draws its documents.
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) + F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 40)) / (1 << 40)
+    rows = some.filter(draw < share * 1_000_000).select("doc_id", "quality", "words", "forms").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     size = 1 << FEATURE_BITS
     weights, square, at, at_square = np.zeros(size), np.full(size, 1e-2), 0.0, 1e-2
@@ -281,8 +283,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     p = evidence(model or fit(docs, labels))("text")
     cols = keep or ["doc_id"]
     d = docs.select(F.struct(*[F.col(c) for c in cols]).alias("doc"), F.col(host).alias("h"), F.col(path).alias("pth"), p.alias("p"))
-    if keep is None:
-        d = stored(d, "scores")  # a few numbers per document: texts are scored once
+    d = stored(d, "scores")  # texts are scored once: sites and verdicts read the stored column
     table, share = sites(d.select("h", "pth", "p"), "h", "pth")
     table = stored(table, "sites")
     if table.count() <= BROADCAST_SITES:
