@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlens.functions import metrics as M
-from adlens.operators.combine import totals
+from adlens.operators.combine import merge_totals, partial_totals, totals
 
 DAILY_KEYS = ["campaign_id", "ad_group_id", "date"]
 SERIES_KEYS = ["campaign_id", "ad_group_id"]
@@ -53,7 +53,21 @@ def daily_performance(traffic: DataFrame, conversion: DataFrame) -> DataFrame:
     two aggregates and a join; the result is the same.
     """
     kept = _dated(traffic).filter(F.col("impressions") >= 0)
-    t = totals(kept, _dated(conversion), DAILY_KEYS)
+    return performance_of(totals(kept, _dated(conversion), DAILY_KEYS))
+
+
+def daily_partials(traffic: DataFrame, conversion: DataFrame) -> DataFrame:
+    """The sums of C3 over a part of the rows, to be added to those of other parts (``performance_of_partials``)."""
+    return partial_totals(_dated(traffic).filter(F.col("impressions") >= 0), _dated(conversion), DAILY_KEYS)
+
+
+def performance_of_partials(partials: DataFrame) -> DataFrame:
+    """C3 from partial sums; equal to ``daily_performance`` over all the rows behind them."""
+    return performance_of(merge_totals(partials, DAILY_KEYS).filter("has_traffic").drop("has_traffic"))
+
+
+def performance_of(t: DataFrame) -> DataFrame:
+    """C3's columns from the totals per ad group and date."""
     zero = F.lit(0)
     out = t.select(
         *DAILY_KEYS, "total_impressions", "total_clicks", "total_cost",
@@ -130,6 +144,12 @@ def anomalies(trends: DataFrame, thresholds: dict[str, float] | None = None) ->
     return flagged.withColumn("has_anomaly", F.when(any_flag, F.lit(1)).otherwise(F.lit(0)))
 
 
+def lookback_rows(rows: DataFrame, days: int = 7) -> DataFrame:
+    """Each series' ``days`` newest rows."""
+    newest_first = Window.partitionBy(*SERIES_KEYS).orderBy(F.desc("date"))
+    return rows.withColumn("_rank", F.row_number().over(newest_first)).filter(F.col("_rank") <= days).drop("_rank")
+
+
 def flags_for_recent(earlier: DataFrame, recent: DataFrame, days: int = 7) -> DataFrame:
     """C4 + C5 for the daily rows of ``recent`` only, exactly as over the whole history.
 
@@ -138,10 +158,7 @@ def flags_for_recent(earlier: DataFrame, recent: DataFrame, days: int = 7) -> Da
     each series' ``days`` most recent rows matter: a per-series top-k
     (``row_number() <= days``, run as a partial top-k before the exchange).
     """
-    newest_first = Window.partitionBy(*SERIES_KEYS).orderBy(F.desc("date"))
-    lookback = (earlier.withColumn("_rank", F.row_number().over(newest_first))
-                .filter(F.col("_rank") <= days).drop("_rank")
-                .withColumn("_recent", F.lit(False)))
+    lookback = lookback_rows(earlier, days).withColumn("_recent", F.lit(False))
     rows = lookback.unionByName(recent.withColumn("_recent", F.lit(True)))
     flags = anomalies(performance_trends(rows, days))
     return flags.filter(F.col("_recent")).drop("_recent")

@@ -8,13 +8,14 @@ after the left join, and it lets the predicate reach the scans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlens.functions import metrics as M
 from adlens.functions.dates import text_window_filter, window_filter
 from adlens.operators.combine import totals
+from adlens.session import checkpoint_root
 
 AD_GROUP_KEYS = ["campaign_id", "ad_group_id"]
 CAMPAIGN_KEYS = ["campaign_id"]
@@ -165,3 +166,18 @@ def keyword_report(traffic: DataFrame, conversion: DataFrame, window: str = "tod
     ordered = out.orderBy(F.desc_nulls_last("cost"), *[F.asc_nulls_last(k) for k in KEYWORD_KEYS])
     return ordered if limit is None else ordered.limit(limit)
 
+
+
+def with_positions(ordered: DataFrame, name: str = "position") -> DataFrame:
+    """The rows of a sorted report with their place in it, from 1.
+
+    Places are counted per partition and shifted by the sizes of the partitions
+    before (one row each), so the report is never brought into one task.
+    """
+    checkpoint_root(ordered.sparkSession)
+    rows = ordered.withColumn("_at", F.monotonically_increasing_id()).checkpoint(eager=True)  # partition number << 33, plus the place in it
+    part = F.shiftright("_at", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    placed = rows.withColumn("_part", part).join(F.broadcast(before.drop("_n")), "_part")
+    return placed.withColumn(name, F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_part", "_at", "_before")

@@ -12,7 +12,9 @@ them as catalog names (``db.table``).  ``daily`` writes the daily table
 partitioned by date and the anomaly digest; ``report`` writes the report rows,
 summary, alerts, alert digest, bid adjustments and rejected rules, each as a
 parquet folder under ``--results``, and appends the summary to the history
-table; the others write one parquet folder.  The session comes from
+table; the others write one parquet folder.  From CSV feeds, both count malformed
+values per column in the scan they make anyway (``rejected``; ``report`` writes it with the
+rest), and ``--quarantine P`` keeps the rows at fault.  The session comes from
 ``spark-submit``; the library's session defaults are applied and shuffles are
 sized to the input.
 """
@@ -22,7 +24,8 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from adlens.functions.dates import window_bounds
 from adlens.operators import reports
@@ -41,14 +44,30 @@ def _first_date(args) -> dt.date | None:
     return window_bounds(args.window, today)[0]
 
 
-def _inputs(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
-    def raw(name, schema):
-        df = readers.table(spark, name) if args.format == "table" else readers.read_source(spark, name, args.format, schema)
-        return readers.arrivals_since(df, _first_date(args))
+FEEDS = {"traffic": TRAFFIC_RAW, "conversion": CONVERSION_RAW}
 
-    traffic, conversion = raw(args.traffic, TRAFFIC_RAW), raw(args.conversion, CONVERSION_RAW)
+
+def _inputs(spark: SparkSession, args) -> tuple[tuple[DataFrame, DataFrame], dict[str, Observation]]:
+    """The two canonical frames, and what counts the malformed values of CSV feeds while a job reads them."""
+    rejects = {feed: Observation(f"rejected-{feed}") for feed in FEEDS} if args.format == "csv" and args.job in ("daily", "report") else {}
+
+    def raw(feed):
+        name = getattr(args, feed)
+        if args.format == "table":
+            return readers.arrivals_since(readers.table(spark, name), _first_date(args))
+        return readers.read_source(spark, name, args.format, FEEDS[feed], rejects.get(feed), _first_date(args))
+
+    traffic, conversion = raw("traffic"), raw("conversion")
     size_shuffles(spark, input_bytes(traffic, conversion))
-    return readers.prepare_traffic(traffic), readers.prepare_conversion(conversion, args.attribution)
+    return (readers.prepare_traffic(traffic), readers.prepare_conversion(conversion, args.attribution)), rejects
+
+
+def _quarantine(spark: SparkSession, args, rejected: DataFrame) -> None:
+    """Write the rows with malformed values; a feed in which the job counted none is not read again."""
+    for feed, schema in FEEDS.items():
+        if rejected.filter((F.col("feed") == feed) & (F.col("rejected") > 0)).limit(1).count():
+            rows = readers.rejected_rows(spark, getattr(args, feed), schema, _first_date(args))
+            rows.write.mode("overwrite").parquet(f"{args.quarantine.rstrip('/')}/{feed}")
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -60,6 +79,8 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--conversion", required=True)
         p.add_argument("--format", default="csv", choices=["csv", "parquet", "table"])
         p.add_argument("--attribution", default="1d", choices=["1d", "7d", "14d", "30d"])
+        if name in ("daily", "report"):
+            p.add_argument("--quarantine", help="write rows of CSV feeds that hold malformed values here")
         if name == "daily":
             p.add_argument("--output", required=True)
             p.add_argument("--days", type=int, default=7)
@@ -96,7 +117,10 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> dict[str, DataFra
     if args.job == "history":
         out = {"history": history.history_read(spark, args.history, args.keep)}
     else:
-        out = _run(spark, args, *_inputs(spark, args))
+        frames, rejects = _inputs(spark, args)
+        out = _run(spark, args, *frames, rejects)
+        if rejects and args.quarantine:
+            _quarantine(spark, args, out["rejected"])
     if args.job != "daily":
         root = args.results.rstrip("/")
         for name, df in out.items():
@@ -105,18 +129,18 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> dict[str, DataFra
     return out
 
 
-def _run(spark: SparkSession, args, traffic: DataFrame, conversion: DataFrame) -> dict[str, DataFrame]:
+def _run(spark: SparkSession, args, traffic: DataFrame, conversion: DataFrame, rejects: dict[str, Observation]) -> dict[str, DataFrame]:
     if args.job == "daily":
         if args.since is not None:
             traffic = traffic.filter(traffic.event_date >= args.since)
             conversion = conversion.filter(conversion.event_date >= args.since)
-        out = jobs.daily_job(spark, traffic, conversion, args.output, days=args.days, since=args.since)
+        out = jobs.daily_job(spark, traffic, conversion, args.output, days=args.days, since=args.since, rejects=rejects)
         out["digest"].write.mode("overwrite").json(f"{args.output.rstrip('/')}_anomaly_digest")
         return out
     if args.job == "report":
         return jobs.report_job(spark, traffic, conversion, args.window, args.as_of, history_path=args.history,
                                rules_path=args.rules, account_id=args.account, run_timestamp=args.run_timestamp,
-                               bounded=args.bounded)
+                               bounded=args.bounded, rejects=rejects)
     both = (traffic, conversion, args.window, args.as_of)
     if args.job == "campaigns":
         return {"campaigns": reports.campaign_report(*both, campaign_id=args.campaign, bounded=args.bounded)}

@@ -11,27 +11,36 @@ three times, D17).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from adlens.operators import alerts, daily, reports, rules, summary
 from adlens.session import checkpoint_root
-from adlens.sources import config, history, readers
+from adlens.sources import config, history, lookback, readers, snapshots
 
 
 def daily_job(spark: SparkSession, traffic: DataFrame, conversion: DataFrame, output_path: str,
               days: int = 7, digest_limit: int = 10, fmt: str = "parquet",
-              since=None) -> dict[str, DataFrame]:
+              since=None, rejects: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
     """C1 -> C2 -> C3 -> C4 -> C5, written by date (S7), then the anomaly digest.
 
     A full run replaces the whole table, as the reference does.  With ``since``
     (a date), only dates from ``since`` on are recomputed and replaced from the raw rows (pass raw frames pruned to
     the arrivals that can hold them); the trends of those dates look back
-    into the table already written (``daily.flags_for_recent``), so the
-    result equals a full run.  Returns the written table (read back) and
-    the digest.
+    into the table already written, through the state kept beside it
+    (``lookback``), so the result equals a full run.  Returns the written table
+    (read back) and the digest.
+
+    Parquet output is a snapshot table: it changes at once when all is written, and a
+    run that fails leaves it as it was.  Where plain files already lie at
+    ``output_path``, they are replaced as plain files (``readers.write_table``).
+
+    ``rejects``: what counts the malformed values of the feeds' files while this job
+    reads them (``readers.read_csv``); the counts come back as ``rejected``.
     """
+    sink = snapshots.snapshot_sink(spark, output_path) if fmt == "parquet" else None
+    version = sink.current() if sink else None
+    side, notes = {lookback.STATE: None}, {lookback.STATE: None}
     if since is None:
         flags = daily.anomalies(daily.performance_trends(daily.daily_performance(traffic, conversion), days))
     else:
@@ -40,29 +49,33 @@ def daily_job(spark: SparkSession, traffic: DataFrame, conversion: DataFrame, ou
         first = F.lit(since).cast("date")
         recent = daily.daily_performance(traffic.filter(F.col("event_date") >= first),
                                          conversion.filter(F.col("event_date") >= first))
-        try:
+        if sink is None:
             # Only partitions before ``since`` are read; only those from ``since`` on are replaced.
-            earlier = (readers.read_parquet(spark, output_path)
-                       .filter(F.col("date") < first).select(*recent.columns))
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-                raise
+            earlier = readers.read_parquet(spark, output_path).filter(F.col("date") < first).select(*recent.columns)
+        elif version is None:
             earlier = recent.filter(F.lit(False))          # first run: no history yet
+        else:
+            earlier, side, notes = lookback.rows_before(sink, version, lambda: sink.read(version).select(*recent.columns), lookback.as_date(since), days)
         flags = daily.flags_for_recent(earlier, recent, days)
-    readers.write_table(flags, output_path, fmt, ["date"], replace_all=since is None)
+    if sink is None:
+        readers.write_table(flags, output_path, fmt, ["date"], replace_all=since is None)
+    else:
+        sink.commit(flags, ["date"], "all" if since is None else "touched", version, must_follow=since is not None, side=side, notes=notes)
     written = readers.read_source(spark, output_path, fmt, schema=flags.schema)
-    return {"table": written, "digest": alerts.anomaly_digest(written, digest_limit)}
+    out = {"table": written, "digest": alerts.anomaly_digest(written, digest_limit)}
+    return {**out, "rejected": readers.rejected_counts(spark, rejects)} if rejects else out
 
 
 def report_job(spark: SparkSession, traffic: DataFrame, conversion: DataFrame,
                window: str = "today", as_of=None, history_path: str | None = None,
                rules_path: str | None = None, account_id: str = history.DEFAULT_ACCOUNT,
-               run_timestamp=None, on_rules_error: str = "none", bounded: bool = False) -> dict[str, DataFrame]:
+               run_timestamp=None, on_rules_error: str = "none", bounded: bool = False,
+               rejects: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
     """Report (C7) -> summary (C11) -> history (C17) -> alerts (C12-C14) -> bid adjustments.
 
     The rules are read before anything is written, so a run that fails on them
     leaves no history entry; ``on_rules_error`` says what a bad document means
-    (``config.read_rules``).  Returns the named results; the caller decides
+    (``config.read_rules``).  ``rejects`` as in ``daily_job``.  Returns the named results; the caller decides
     which to write or send.
     """
     rule_list = config.read_rules(spark, rules_path, on_rules_error)
@@ -80,6 +93,7 @@ def report_job(spark: SparkSession, traffic: DataFrame, conversion: DataFrame,
         "alert_digest": alerts.alert_digest(all_alerts),
         "bid_adjustments": adjustments,
         "rejected_rules": rules.rejected_rules(spark, rule_list),
+        **({"rejected": readers.rejected_counts(spark, rejects)} if rejects else {}),
         "run": summ.select(F.lit(window).alias("time_window"), F.localtimestamp().alias("timestamp")),
     }
 

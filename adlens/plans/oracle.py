@@ -453,3 +453,19 @@ from all_alerts""",
     "keyword_positions": f"select campaign_id, keyword_id, cost, cast(row_number() over ({KW_ORDER.replace(' limit 10', '')}) as int) "
                          f"as position from ({DAY_WINDOWS})",
 })
+
+REJECTED = {"clicks": "cast(keyword_id as int) % 10 = 3", "cost": "cast(keyword_id as int) % 7 = 2"}
+
+ORACLE.update({
+    "daily_job_stepwise": ORACLE["anomalies"],
+    "partial_sums_performance": ORACLE["daily_performance"],
+    "history_compacted": history_sql(10),
+    "rejected_values": f"with {A} " + " union all ".join(
+        f"select 'traffic' as feed, '{c}' as \"column\", (select count(*) from traffic where {REJECTED.get(c, 'false')}) as rejected"
+        for c in ("campaign_id", "ad_group_id", "keyword_id", "keyword_text", "match_type", "time_window_start", "impressions", "clicks", "cost")),
+    "campaign_positions": "select campaign_id, spend, row_number() over (order by spend desc nulls last, campaign_id) as position "
+                          f"from ({ORACLE['campaign_report']})",
+    "report_job_summary": f"with {A}, {REP7}, {summary_cte('rep')} select {SUMMARY_COLS}, low_performing, average_performing, "
+                          "high_performing, high_acos, target_acos, low_acos from summ",
+    "history_default_stamp": f"select 'default' as account_id, total_campaigns, total_spend, true as at_run_time from ({ORACLE['account_summary']})",
+})

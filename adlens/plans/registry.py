@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adlens.functions import dates
@@ -21,8 +21,9 @@ from adlens.plans import jobs
 from adlens.schema import CONVERSION_RAW, TRAFFIC_RAW
 from adlens.session import scratch_path
 from adlens.sources import config, history, readers
+from adlens.sources.snapshots import SnapshotTable
 from adlens.sources.adapter import ad_tables, read_events
-from adlens.streaming import refresh
+from adlens.streaming import deltas, refresh
 
 AS_OF = "2024-01-15"
 
@@ -437,3 +438,87 @@ QUERIES.update({
     "keyword_fan_out": q_keyword_fan_out,
     "keyword_positions": q_keyword_positions,
 })
+
+
+# --- versions, look-back state, partial sums, retention, malformed values, order and stamp ----------
+
+def q_daily_job_stepwise(spark, sf_dir):
+    """C18 in steps with late dates: each run looks back into the state kept beside the table; the table as it then stands."""
+    traffic, conversion = ad_tables(spark, sf_dir)
+    path, out = scratch_path(spark, "daily-steps"), None
+    for since, until in ((None, "2024-01-15"), ("2024-01-14", "2024-01-20"), ("2024-01-18", "2024-01-26"), ("2024-01-24", "2025-01-01")):
+        upto = F.col("event_date") < F.lit(until).cast("date")
+        out = jobs.daily_job(spark, traffic.filter(upto), conversion.filter(upto), path, since=since)
+    return out["table"]
+
+
+def _in_files(df):
+    """Rows named by the file a delivery would bring them in: late rows of a date come with another file."""
+    return df.withColumn(deltas.FILE, F.concat(F.lit("delivery-"), F.pmod(F.xxhash64("ad_group_id", "time_window_start"), F.lit(3))))
+
+
+def q_partial_sums_performance(spark, sf_dir):
+    """C3 from partial sums per file: three deliveries, one of them twice."""
+    traffic, conversion = map(_in_files, ad_tables(spark, sf_dir))
+    store, version = SnapshotTable(spark, scratch_path(spark, "partial-sums")), None
+    for some in (["delivery-0", "delivery-1"], ["delivery-1", "delivery-2"]):
+        arrived = F.col(deltas.FILE).isin(some)
+        version = deltas.add_files(store, traffic.filter(arrived), conversion.filter(arrived))
+    return daily.performance_of_partials(deltas.partial_sums(store, version))
+
+
+def q_history_compacted(spark, sf_dir):
+    """Appends that are compacted to what is retained on the way; the newest 10 read back."""
+    t, c = ad_tables(spark, sf_dir)
+    per_day = reports.window_report(t, c, ["campaign_id", "ad_group_id", "event_date"], window=None)
+    summaries = summary.account_summary(per_day, by=["event_date"])
+    path = scratch_path(spark, "history-compacted")
+    for k in range(4):
+        history.history_append(summaries.filter(F.dayofmonth("event_date") % 4 == k), path, "all", "event_date", compact_after=2)
+    return history.history_read(spark, path, 10).select(
+        "account_id", "timestamp", *summary.SUMMARY_COLUMNS, "roas_distribution.*", "acos_distribution.*")
+
+
+def q_rejected_values(spark, sf_dir):
+    """S1 in a job: malformed values of the traffic files, counted per column by the daily job's own scan."""
+    traffic, conversion = ad_tables(spark, sf_dir)
+    k = F.col("keyword_id").cast("int")
+    t = traffic.withColumn("time_window_start", _iso_text(traffic)).drop("event_date").withColumns({
+        "clicks": F.when(k % 10 == 3, "n/a").otherwise(F.col("clicks").cast("string")),
+        "cost": F.when(k % 7 == 2, "1,5").otherwise(F.col("cost").cast("string"))})
+    path = scratch_path(spark, "malformed-traffic")
+    t.write.option("header", True).csv(path)
+    rejects = {"traffic": Observation("rejected-traffic")}
+    raw = readers.read_source(spark, path, "csv", TRAFFIC_RAW, rejects["traffic"])
+    return jobs.daily_job(spark, readers.prepare_traffic(raw), conversion, scratch_path(spark, "daily"), rejects=rejects)["rejected"]
+
+
+def q_campaign_positions(spark, sf_dir):
+    """O1 with each campaign's position in the returned order."""
+    return reports.with_positions(q_campaign_report(spark, sf_dir)).select("campaign_id", "spend", "position")
+
+
+def q_report_job_summary(spark, sf_dir):
+    return _report_job("summary")(spark, sf_dir).select(*summary.SUMMARY_COLUMNS, "roas_distribution.*", "acos_distribution.*")
+
+
+def q_history_default_stamp(spark, sf_dir):
+    """DT7: an entry appended without a run time is stamped with the session's time of the run."""
+    path = scratch_path(spark, "history")
+    start = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    history.history_append(summary.account_summary(_report_last7(spark, sf_dir)), path)
+    end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    here = lambda t: F.lit(int((t - _dt.datetime(1970, 1, 1)).total_seconds()))
+    local = F.unix_seconds(F.to_utc_timestamp(F.col("timestamp").cast("string"), F.current_timezone()))
+    return history.history_read(spark, path).select("account_id", "total_campaigns", "total_spend", local.between(here(start), here(end) + 1).alias("at_run_time"))
+
+
+QUERIES.update({
+    "daily_job_stepwise": q_daily_job_stepwise,
+    "partial_sums_performance": q_partial_sums_performance,
+    "history_compacted": q_history_compacted,
+    "rejected_values": q_rejected_values,
+    "campaign_positions": q_campaign_positions,
+    "report_job_summary": q_report_job_summary,
+    "history_default_stamp": q_history_default_stamp,
+})

@@ -1,8 +1,9 @@
 """Performance history: append summaries, read back the newest ones.
 
-The history is an append-only table on the shared file system (one row per
-summary), instead of one JSON document rewritten on every run: appends never
-race on a read-modify-write, and retention is a window over the table.
+The history is a snapshot table on the shared file system (one row per
+summary), instead of one JSON document rewritten on every run: an append adds a
+folder, racing appends both count, and retention is a window over the table,
+on reading and, every few appends, in the store itself.
 Keeping the newest ``keep`` entries per account is ``row_number <= keep``,
 which Spark runs as a per-partition top-k before the exchange
 (``WindowGroupLimit``), so the kept set is bounded whatever the history size.
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from adlens.operators.summary import SUMMARY_COLUMNS
+from adlens.sources import snapshots
 
 HISTORY_KEEP = 30
 DEFAULT_ACCOUNT = "default"
@@ -50,14 +52,37 @@ def as_history(summary: DataFrame, account_id=DEFAULT_ACCOUNT, timestamp=None) -
 WRITTEN_AT = T.StructField("written_at", T.TimestampNTZType())
 
 
-def history_append(summary: DataFrame, path: str, account_id=DEFAULT_ACCOUNT, timestamp=None) -> None:
-    """Append stamped summaries to the history table.
+COMPACT_AFTER = 16  # appends that lie beside each other before they become one folder
+
+
+def history_append(summary: DataFrame, path: str, account_id=DEFAULT_ACCOUNT, timestamp=None,
+                   keep: int = HISTORY_KEEP, compact_after: int | None = None) -> None:
+    """Append stamped summaries to the history table, which keeps the newest ``keep`` per account.
 
     Pass the run's scheduled time as ``timestamp`` to make a retried run
-    harmless: reading keeps one entry per account and timestamp, the one written last.
+    harmless: one entry per account and timestamp counts, the one written last.
+
+    The history is a snapshot table.  An append adds a folder; every ``compact_after`` (``COMPACT_AFTER``)
+    of them are rewritten as one that holds only what is retained, in the commit of the append
+    that comes then.  So the files stay few, however many runs there were.  A table of
+    plain files is appended to as it is.
     """
-    entries = as_history(summary, account_id, timestamp)
-    entries.withColumn(WRITTEN_AT.name, F.localtimestamp()).write.mode("append").parquet(path)
+    entries = as_history(summary, account_id, timestamp).withColumn(WRITTEN_AT.name, F.localtimestamp())
+    sink = snapshots.snapshot_sink(summary.sparkSession, path)
+    if sink is None:
+        entries.write.mode("append").parquet(path)
+        return
+    while True:
+        version = sink.current()
+        if version is None or len(version.folders()) < (compact_after or COMPACT_AFTER):
+            sink.commit(entries, replace="append")
+            return
+        both = sink.read(version).unionByName(entries)
+        try:
+            sink.commit(latest(last_written(both, drop=False), keep).coalesce(1), replace="all", base=version, must_follow=True)
+            return
+        except snapshots.ConflictError:
+            continue  # another append came first: retain from what is there now
 
 
 def latest(history: DataFrame, keep: int = HISTORY_KEEP) -> DataFrame:
@@ -66,15 +91,17 @@ def latest(history: DataFrame, keep: int = HISTORY_KEEP) -> DataFrame:
     return history.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= keep).drop("_rank")
 
 
-def last_written(history: DataFrame) -> DataFrame:
+def last_written(history: DataFrame, drop: bool = True) -> DataFrame:
     """One entry per account and timestamp: of a run and its retries, the last."""
     w = Window.partitionBy("account_id", "timestamp").orderBy(F.desc_nulls_last(WRITTEN_AT.name))
-    return (history.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1)
-            .drop("_rank", WRITTEN_AT.name))
+    one = history.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
+    return one.drop(WRITTEN_AT.name) if drop else one
 
 
 def history_read(spark: SparkSession, path: str, keep: int = HISTORY_KEEP) -> DataFrame:
     """The retained history; an empty history when none was written yet."""
+    if snapshots.is_snapshot_table(spark, path):
+        return latest(last_written(snapshots.SnapshotTable(spark, path).read()), keep)
     try:
         history = spark.read.schema(T.StructType([*HISTORY_SCHEMA.fields, WRITTEN_AT])).parquet(path)
     except AnalysisException as e:

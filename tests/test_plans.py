@@ -13,7 +13,9 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
              "FlatMapGroupsInPandas", "MapInPandas")
 # These write or run jobs while being built.
 WRITES = {"parquet_roundtrip", "csv_roundtrip", "rules_from_json", "ingested_performance", "rules_document", "recommendations_document",
-          "daily_job", "daily_job_replaced", "report_job_report", "report_job_alert_digest", "report_job_adjustments", "history_table"}
+          "daily_job", "daily_job_replaced", "report_job_report", "report_job_alert_digest", "report_job_adjustments", "history_table",
+          "daily_job_stepwise", "partial_sums_performance", "history_compacted", "rejected_values", "campaign_positions", "report_job_summary",
+          "history_default_stamp"}
 
 
 def plan(df) -> str:
