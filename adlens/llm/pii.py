@@ -6,13 +6,16 @@ keyed permutation of their own format: a Feistel network over the number the
 value stands for, walked on until it lands on a valid value again.  Equal values
 get equal pseudonyms in every document, different values different ones, and the
 holder of the key can go back.  What fails validation is left alone.  A card or IBAN
-run that fails is tried by its shorter runs, longest first, and searched on from its
+run that fails is tried without its last groups, longest first, and searched on from its
 second character; a pseudonym that would make a longer run valid is walked past there,
 so in such a place a value may differ from its usual pseudonym.
 
 Kinds: card (Luhn), ssn, phone (country code kept), ipv4, iban (country kept,
 mod 97), date (yyyy-mm-dd, or day and month first, 1900 to 2099) and the local part of an
-e-mail address (letters to letters, digits to digits).
+e-mail address (letters to letters, digits to digits).  Cards are 13 to 19 digits without a
+separator or in the groupings cards are printed in (``CARD_GROUPS``); other rows of
+numbers stay.  An international phone number's country code is told by the table of
+calling codes, so one number gets one pseudonym however it is spaced.
 
 Defined results: null text stays null, empty stays empty; a null doc_id is
 carried through; repeated rows get the same text; only doc_id and text are read.
@@ -39,8 +42,8 @@ FOUND = re.compile(r"""
   | (?P<date>(?<![\w.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\4[0-9]{4})(?![\w-]|\.[0-9]))
   | (?P<ipv4>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9]))
   | (?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
-  | (?P<phone>(?<![\w+])\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?(?:[\x20.-]?[0-9]{2,4}){1,4}(?![\w-])|(?<![\w(])\([0-9]{3}\)\x20?[0-9]{3}-[0-9]{4}(?![\w-])|(?<![\w.+-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![\w-]))
-  | (?P<card>(?<![\w.-])[0-9](?:[\x20-]?[0-9]){12,18}(?![\w-]|\.[0-9]))
+  | (?P<phone>(?<![\w+])\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?(?:[\x20.-]?[0-9]{2,4}){1,4}(?![\w-])|(?<![\w(])\([0-9]{3}\)\x20?[0-9]{3}-[0-9]{4}(?![\w-])|(?<![\w.+-])(?:1-)?[0-9]{3}-[0-9]{3}-[0-9]{4}(?![\w-]))
+  | (?P<card>(?<![\w.-])(?:[0-9]{13,19}|[0-9]{4}([\x20-])(?:[0-9]{4}\9[0-9]{4}\9[0-9]{4}(?:\9[0-9]{3})?|[0-9]{6}\9[0-9]{4,5}))(?![\w-]|\.[0-9]))
 """, re.X | re.A)
 
 
@@ -77,6 +80,20 @@ class Permutation:
                 return x
 
 
+# The country calling codes of one and of two digits; all others have three.
+CALLING_CODES = {1: frozenset("1 7".split()),
+                 2: frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                              "81 82 84 86 90 91 92 93 94 95 98".split())}
+# Groupings that cards are written in, all with one separator; and the numbers that issuers hand out.
+CARD_GROUPS = [[4, 4, 4, 4], [4, 4, 4, 4, 3], [4, 6, 5], [4, 6, 4]]
+_ISSUED = re.compile("[3-6]|2(?:22[1-9]|2[3-9]|[3-6]|7[01]|720)")
+
+
+def country_code(digits: str) -> str:
+    """The calling code that an international number begins with."""
+    return next((digits[:n] for n, codes in CALLING_CODES.items() if digits[:n] in codes), digits[:3])
+
+
 def luhn(digits: str) -> int:
     """The check digit that completes ``digits``."""
     total = 0
@@ -101,10 +118,9 @@ def is_iban(v: str) -> bool:
 
 
 def _runs(v: str, kind: str) -> list[tuple[int, int]]:
-    """The parts of ``v`` between borders of its groups, longest first; an IBAN begins where ``v`` does."""
-    starts = [0] + [m.end() for m in re.finditer("[ -]", v)] if kind == "card" else [0]
-    ends = [m.start() for m in re.finditer("[ -]", v)] + [len(v)]
-    return sorted(((a, b) for a in starts for b in ends if a < b), key=lambda r: (r[0] - r[1], r[0]))
+    """What ``v`` may be a value up to, longest first: its end or an earlier border of its groups, for a card one that leaves a card's grouping."""
+    ends = [len(v)] + [m.start() for m in reversed(list(re.finditer("[ -]", v)))]
+    return [(0, b) for b in ends if kind != "card" or "-" not in v[:b].replace(" ", "-") or [len(g) for g in re.split("[ -]", v[:b])] in CARD_GROUPS]
 
 
 def _refill(value: str, digits: str) -> str:
@@ -139,12 +155,11 @@ class Pseudonyms:
         return _refill(v, self._digits(d, "ssn", valid)) if valid(d) else None
 
     def phone(self, v: str) -> str | None:
-        code = re.match(r"\+[0-9]{1,3}(?=[\x20.(-])", v)
-        head = code.group() if code else v[:2] if v[0] == "+" else ""
-        d = re.sub(r"\D", "", v[len(head):])
-        if not 6 <= len(d) <= 13:
+        d = re.sub(r"\D", "", v)
+        code = country_code(d) if v[0] == "+" else "1" if v.startswith("1-") else ""
+        if not 6 <= len(d) - len(code) <= 13:
             return None
-        return head + _refill(v[len(head):], self._digits(d, "phone" + (head or "+1")))
+        return _refill(v, code + self._digits(d[len(code):], "phone+" + (code or "1")))
 
     def ipv4(self, v: str) -> str | None:
         parts = [int(x) for x in v.split(".")]
@@ -221,32 +236,45 @@ class Pseudonyms:
         out, done, m = [], 0, FOUND.search(text)
         while m:
             kind = m.lastgroup if m.lastgroup in counts else next(k for k in KINDS if m.group(k))
-            a, b, new = self._inside(m.group(), kind) if kind in ("card", "iban") else (0, len(m.group()), getattr(self, kind)(m.group()))
+            b, new = self._inside(m, kind) if kind in ("card", "iban") else (len(m.group()), getattr(self, kind)(m.group()))
             if new is None:
                 m = FOUND.search(text, m.start() + 1)
                 continue
             counts[kind] += 1
-            out += [text[done:m.start() + a], new]
+            out += [text[done:m.start()], new]
             done = m.start() + b
             m = FOUND.search(text, done)
         return "".join(out) + text[done:], counts
 
-    def _inside(self, v: str, kind: str) -> tuple[int, int, str | None]:
-        """(start, end, pseudonym) of the longest valid run in ``v``.
+    def _inside(self, m: re.Match, kind: str) -> tuple[int, str | None]:
+        """(end, pseudonym) of the longest value that the match begins with.
 
         The longer runs fail their checksum and still do with the pseudonym in place, so the way back finds the same run.
+        A card in groups beside further numbers in the same writing may be a piece of a table of
+        numbers: there it must also begin as issuers' numbers do, and its pseudonym does.
         """
-        valid = is_card if kind == "card" else is_iban
+        v, text = m.group(), m.string
         runs = _runs(v, kind)
-        for k, (a, b) in enumerate(runs):
-            if valid(v[a:b]):
-                def fits(new: str) -> bool:
-                    whole = v[:a] + new + v[b:]
-                    return not any(valid(whole[x:y]) for x, y in runs[:k])
-                new = getattr(self, kind)(v[a:b], fits)
+        for k, (_, b) in enumerate(runs):
+            sep = v[4:5]
+            end = m.start() + b
+            table = kind == "card" and sep in (" ", "-") and (_beside(text, end, sep) or _beside(text, m.start() - 1, sep, -1))
+
+            def valid(run: str) -> bool:
+                return is_iban(run) if kind == "iban" else is_card(run) and (not table or bool(_ISSUED.match(run)))
+
+            if valid(v[:b]):
+                longer = runs[:k]
+                fits = lambda new: valid(new) and not any((is_card if kind == "card" else is_iban)((new + v[b:])[:y]) for _, y in longer)  # noqa: E731, B023
+                new = getattr(self, kind)(v[:b], fits)
                 if new is not None:
-                    return a, b, new
-        return 0, len(v), None
+                    return b, new
+        return len(v), None
+
+
+def _beside(text: str, at: int, sep: str, step: int = 1) -> bool:
+    """A digit follows (or with -1 precedes) the separator at a place of the text."""
+    return 0 <= at < len(text) and text[at] == sep and 0 <= at + step < len(text) and text[at + step] in "0123456789"
 
 
 def pseudonymise(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
