@@ -55,17 +55,25 @@ NUMBER_WORDS = ["zero", "one", "two", "three", "four", "five", "six", "seven", "
                 "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million", "billion"]
 
 
+def _plain(text: Column) -> Column:
+    """The text without the characters that stand for placeholders; null is empty."""
+    t = F.coalesce(text, F.lit(""))
+    return F.when(t.rlike("[\u0001-\u0004]"), F.regexp_replace(t, "[\u0001-\u0004]", "")).otherwise(t)
+
+
 def marked(text: Column) -> Column:
     """The template words of a text, with ``CAPITAL`` where a capital may only be due to its place.  They align one to one with ``spoken`` of it."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0004]", "")
-    number = "(?:" + "|".join(NUMBER_WORDS) + ")"
-    t = F.regexp_replace(t, rf"(?i)\b{number}(?:-{number})*\b", NUMBER)
+    # Each pattern begins with what is cheap and rare to find; look-arounds come after it.
+    t = _plain(text)
+    firsts = sorted({w[0] for w in NUMBER_WORDS})
+    number = "(?:" + "|".join(f"{c}(?:" + "|".join(w[1:] for w in NUMBER_WORDS if w[0] == c) + ")" for c in firsts) + ")"
+    t = F.regexp_replace(t, rf"(?i)(?=[{''.join(firsts)}])\b{number}(?:-{number})*\b", NUMBER)
     # A capitalised word inside a sentence: what stands before it ends no sentence and no line.
-    t = F.regexp_replace(t, r"(?<=[^.!?:\s][ \t])[\p{Lu}][\p{Ll}][\p{L}'’-]*", NAME)
-    t = F.regexp_replace(t, r"(?<![\p{L}\p{M}]|[\p{L}\p{M}]['’-])(?=[\p{Lu}][\p{Ll}])", CAPITAL)
+    t = F.regexp_replace(t, r"(?=[\p{Lu}])(?<=[^.!?:\s][ \t])[\p{Lu}][\p{Ll}][\p{L}'’-]*", NAME)
+    t = F.regexp_replace(t, r"(?=[\p{Lu}][\p{Ll}])(?<![\p{L}\p{M}]|[\p{L}\p{M}]['’-])", CAPITAL)
     t = F.regexp_replace(F.lower(t), r"[0-9]+(?:[.,:/][0-9]+)*", NUMBER)
-    t = F.regexp_replace(t, "(?<=\u0001[ -]?)\u0004?(?:" + "|".join(UNITS) + r")\b", UNIT)
-    return words(F.regexp_replace(t, "[^\\p{L}\\p{M}\u0001-\u0004\\x20\\x09-\\x0D]+", ""))
+    t = F.regexp_replace(t, "(\u0001[ -]?)\u0004?(?:" + "|".join(UNITS) + r")\b", "$1" + UNIT)
+    return words(F.regexp_replace(t, "[^a-z\\p{L}\\p{M}\u0001-\u0004\\x20\\x09-\\x0D]+", ""))
 
 
 def template(marked_words: Column) -> Column:
@@ -80,7 +88,7 @@ def named(marked_words: Column) -> Column:
 
 def spoken(text: Column) -> Column:
     """The words that ``marked`` has a place for, as they stand in the text."""
-    return F.filter(words(F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0004]", "")), lambda w: w.rlike(r"[\p{L}\p{M}0-9]"))
+    return F.filter(words(_plain(text)), lambda w: w.rlike(r"[a-zA-Z0-9\p{L}\p{M}]"))
 
 
 def _hash(words_: Column, start: Column, width: int) -> Column:
@@ -98,16 +106,16 @@ def _hashes(words_: Column, width: int = WINDOW) -> Column:
         lambda i: F.struct(i.alias("pos"), F.lit(width).alias("width"), _hash(t, i, width).alias("h")))).otherwise(none))
 
 
-def _named_hashes(marked_words: Column) -> Column:
-    """(place, width, hash) of the windows that ``named`` reads otherwise than ``template``."""
-    def of(m: Column) -> Column:
-        last = F.size(m) - WINDOW
-        marks = F.filter(F.sequence(F.lit(0), F.greatest(F.size(m) - 1, F.lit(0))), lambda p: m[p].contains(CAPITAL))
+def _changed_hashes(words_: Column, base: Column) -> Column:
+    """(place, width, hash) of the windows of ``words_`` that hold a word in which it differs from ``base``: the others have the base's hashes."""
+    def of(both: Column) -> Column:
+        t, was = both["t"], both["was"]
+        last = F.size(t) - WINDOW
+        marks = F.filter(F.sequence(F.lit(0), F.greatest(F.size(t) - 1, F.lit(0))), lambda p: t[p] != was[p])
         starts = F.array_distinct(F.flatten(F.transform(marks, lambda p: F.sequence(F.greatest(p - WINDOW + 1, F.lit(0)), F.least(p, last)))))
-        hashed = let(named(m), lambda t: F.transform(
-            starts, lambda i: F.struct(i.alias("pos"), F.lit(WINDOW).alias("width"), _hash(t, i, WINDOW).alias("h"))))
+        hashed = F.transform(starts, lambda i: F.struct(i.alias("pos"), F.lit(WINDOW).alias("width"), _hash(t, i, WINDOW).alias("h")))
         return F.when(last >= 0, hashed).otherwise(F.array().cast(_WINDOWS))
-    return let(marked_words, of)
+    return let(F.struct(words_.alias("t"), base.alias("was")), of)
 
 
 def _value(word: Column) -> Column:
@@ -162,11 +170,18 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     near = F.broadcast if small else (lambda df: df)
     widths = sorted(r.width for r in bench.filter("exact").select("width").distinct().collect())  # WINDOW numbers at most
     d = docs.select("doc_id", text_key(F.col("text")).alias("tk"), "text")
-    windows = lambda m: F.concat(_hashes(template(m)), _named_hashes(m))
-    if widths:
-        windows = lambda m: F.concat(_hashes(template(m)), _named_hashes(m), let(
-            exact(named(m), spoken(F.col("text"))), lambda e: F.concat(*[_hashes(e, k) for k in widths])))
-    hits = d.select("doc_id", "tk", F.explode(let(marked(F.col("text")), windows)).alias("x")).select("doc_id", "tk", "x.*")
+
+    def windows(read: Column) -> Column:
+        t, c = read["t"], read["c"]
+        found = F.concat(_hashes(t), _changed_hashes(c, t))
+        if not widths:
+            return found
+        # Of the exact words, windows of full width without a value have been hashed as the template's or the names'.
+        return F.concat(found, let(exact(c, spoken(F.col("text"))), lambda e: F.concat(
+            *[_changed_hashes(e, c) if k == WINDOW else _hashes(e, k) for k in widths])))
+
+    readings = let(marked(F.col("text")), lambda m: F.struct(template(m).alias("t"), named(m).alias("c")))
+    hits = d.select("doc_id", "tk", F.explode(let(readings, windows)).alias("x")).select("doc_id", "tk", "x.*")
     hits = hits.join(near(hashes), "h", "left_semi")
     per_doc = hits.distinct().groupBy("doc_id", "tk").agg(F.collect_list(F.struct("pos", "width", "h")).alias("hits"))
     per_doc = per_doc.select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk"), "hits")
