@@ -10,8 +10,13 @@ while an array counts each character of the window: every step adds one count,
 takes one off and moves the sum of c*log2(c) by the two changes (whole numbers,
 in millionths, so no rounding error gathers).  A window is hot when its entropy
 reaches the class's threshold; the span runs from the first hot window to the
-last.  The allow-list suppresses identifiers that are random but public, and a
-span inside a pattern's span is not said twice.
+last.  The allow-list covers identifiers that are random but public, and words like
+"example": a window that holds a covered character is not hot.  A span inside a
+pattern's span is not said twice.
+
+Places are running sums, taken in blocks of ``BLOCK`` and then over the blocks, and a span
+finds the patterns' spans around it by bisection: a text with many matches costs
+little more than its length.
 
 Defined results: null text is empty, with no spans; a null doc_id is carried
 through; repeated rows are scanned one by one; only doc_id and text are read.
@@ -35,42 +40,87 @@ KINDS = ["assign", "access", "hex", "entropy"]
 
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
-# (class, all characters of the candidate, least bits per character in a window)
-CLASSES = [("digits", r"^[0-9]+$", None), ("letters", r"^[A-Za-z_=/+-]+$", None), ("hex", r"^[0-9A-Fa-f]+$", 3.0),
+COVERED = "~"  # stands for a character that no hot window may hold; in no candidate
+ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-" + COVERED
+# (class, all characters of the candidate, least bits per character in a window).  Random keys reach these
+# in nearly all lengths from 32 on; letters and digits count between separators only, as words and numbers joined say nothing.
+CLASSES = [("digits", r"^[0-9+/_=-]+$", 2.85), ("letters", r"^[A-Za-z+/_=-]+$", 3.7), ("hex", r"^[0-9A-Fa-f]+$", 3.0),
            ("alnum", r"^[A-Za-z0-9]+$", 3.6), ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.7)]
-# Random-looking but public, or no secret at all.
+SEPARATORS = "+/_=-"
+# Random-looking but public, or no secret at all.  The first two are covered where they stand, so what lies beside them is still
+# found; the others are about a candidate as a whole.
+ALLOW_WORDS = ["example", "sample", "dummy", "placeholder", "changeme", "your_key", "your-key", "yourkey", "0123456789", "1234567890", "9876543210"]
+ALLOW_UUID = r"(?<![0-9a-fA-F])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9a-fA-F])"
 ALLOW = [
-    r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
-    r"(?i:example|sample|dummy|placeholder|changeme|your[_-]?key)",
-    r"(.)\1{5,}",  # filler
-    r"^[A-Za-z]{2,}(?:[-_/=+][A-Za-z]{2,}|[-_/=+][0-9]{1,4})+$",  # words and small numbers joined: slugs, paths
+    r"^[A-Za-z]{2,19}(?:[-_/=+][A-Za-z]{2,19}|[-_/=+][0-9]{1,4})+$",  # words and small numbers joined: slugs, paths
+    r"^[a-z]{0,19}(?:[A-Z][a-z]{2,18})+$",  # words joined by their capitals
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[0-9T_-]*$",  # dates
 ]
 
 _SPAN = "array<struct<start:bigint,kind:int,end:bigint,value:string>>"
 
 
+BLOCK = 256
+
+
+def _running(values: Column, first: Column, combine) -> Column:
+    """For an array of longs, ``combine`` of ``first`` and all values before each place, and last of all values."""
+    zero = lambda of: F.struct(of.alias("at"), F.array().cast("array<bigint>").alias("out"))
+
+    def fold(values: Column, of: Column) -> Column:
+        return F.aggregate(values, zero(of), lambda acc, v: F.struct(
+            combine(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
+
+    n = F.size(values)
+    starts = F.when(n > 0, F.sequence(F.lit(1), n, F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+    blocks = F.transform(starts, lambda i: fold(F.slice(values, i, F.lit(BLOCK)), first))
+
+    def join(blocks: Column) -> Column:
+        whole = fold(F.transform(blocks, lambda b: b["at"]), first)
+        return let(whole, lambda w: F.concat(
+            F.flatten(F.zip_with(blocks, w["out"], lambda b, before: F.transform(b["out"], lambda x: combine(before, x)))), F.array(w["at"])))
+
+    return let(blocks, join)
+
+
 def _found(text: Column, pattern: str, kind: int, test) -> Column:
     """Spans of the matches that pass ``test``, leftmost and non-overlapping, in order."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
 
-    def place(both: Column) -> Column:
-        m, p = both["m"], both["p"]
-        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("out"))
+    def place(m: Column) -> Column:
+        pieces = F.split(text, pattern, -1)  # one more than matches: they alternate
+        ends = F.zip_with(m, F.slice(pieces, F.lit(1), F.size(m)), lambda m, p: (F.length(m) + F.length(p)).cast("long"))
+        spans = F.zip_with(m, _running(ends, F.lit(0).cast("long"), lambda a, b: a + b), lambda m, at: F.struct(m.alias("value"), at.alias("at")))
+        spans = F.zip_with(F.slice(spans, F.lit(1), F.size(m)), F.slice(pieces, F.lit(1), F.size(m)), lambda s, p: let(
+            s["at"] + F.length(p), lambda begin: F.struct(begin.alias("start"), F.lit(kind).alias("kind"), (begin + F.length(s["value"])).alias("end"), s["value"].alias("value"))))
+        return spans.cast(_SPAN)
 
-        def step(acc, j):
-            begin = acc["at"] + F.length(p[j])
-            end = begin + F.length(m[j])
-            span = F.struct(begin.cast("long").alias("start"), F.lit(kind).alias("kind"), end.cast("long").alias("end"), m[j].alias("value"))
-            return F.struct(end.cast("long").alias("at"), F.concat(acc["out"], F.array(span)).cast(_SPAN).alias("out"))
+    spans = let(matches, lambda m: F.when(F.size(m) == 0, F.array().cast(_SPAN)).otherwise(place(m)))
+    return F.filter(spans, lambda s: test(s["value"])) if test is not None else spans
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(m) - 1), start, step, lambda acc: acc["out"])
 
-    spans = F.when(F.size(matches) == 0, F.array().cast(_SPAN)).otherwise(
-        let(F.struct(matches.alias("m"), pieces.alias("p")), place))
-    return F.filter(spans, lambda s: test(s["value"])) if test is not None else spans
+def _outside(spans: Column, base: Column) -> Column:
+    """The spans that no span of ``base`` (sorted) holds: of those that begin no later, none ends as late."""
+    def keep(b: Column) -> Column:
+        starts = F.transform(b, lambda s: s["start"])
+        furthest = _running(F.transform(b, lambda s: s["end"]), F.lit(-1).cast("long"), lambda x, y: F.greatest(x, y))  # of the first k
+        return let(F.struct(starts.alias("starts"), furthest.alias("furthest")), lambda t: F.filter(
+            spans, lambda s: t["furthest"][_up_to(t["starts"], s["start"])] < s["end"]))
+    return let(base, keep)
+
+
+def _up_to(sorted_: Column, value: Column) -> Column:
+    """How many of a sorted array are at most ``value``, by bisection."""
+    start = F.struct(F.lit(0).alias("lo"), F.size(sorted_).alias("hi"))
+    middle = lambda acc: F.shiftright(acc["lo"] + acc["hi"], 1)
+
+    def halve(acc: Column, _) -> Column:
+        below = sorted_[F.least(middle(acc), F.size(sorted_) - 1)] <= value
+        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(F.when(below, F.struct((middle(acc) + 1).alias("lo"), acc["hi"].alias("hi"))).otherwise(
+            F.struct(acc["lo"].alias("lo"), middle(acc).alias("hi"))))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(sorted_) + 1.0)).cast("int"))
+    return F.when(F.size(sorted_) == 0, F.lit(0)).otherwise(F.aggregate(steps, start, halve, lambda acc: acc["lo"]))
 
 
 def _weight(count: Column) -> Column:
@@ -79,19 +129,35 @@ def _weight(count: Column) -> Column:
     return F.array(*[F.lit(x).cast("long") for x in table])[count]
 
 
-def _hot(value: Column) -> Column:
+def _covered(value: Column) -> Column:
+    """The candidate with what the allow-list covers in place; of letters and of digits alone, separators too."""
+    words = "(?i:" + "|".join(ALLOW_WORDS) + ")"
+    cover = value
+    for word in ALLOW_WORDS:
+        cover = F.regexp_replace(cover, f"(?i:{word})", COVERED * len(word))
+    uuid = F.regexp_replace(cover, ALLOW_UUID, COVERED * 36)
+    plain = CLASSES[0][1], CLASSES[1][1]
+    covered = F.when(value.rlike(words) | value.rlike(ALLOW_UUID), uuid).otherwise(value)
+    return F.when(value.rlike("|".join(plain)), F.translate(covered, SEPARATORS, COVERED * len(SEPARATORS))).otherwise(covered)
+
+
+def _hot(candidate: Column) -> Column:
     """struct(first, last): starts of the first and the last hot window of a candidate, null when none is hot."""
     limit = F.lit(None).cast("long")
     for _, pattern, bits in reversed(CLASSES):
-        most = None if bits is None else math.floor(1e6 * WINDOW * (math.log2(WINDOW) - bits))
-        limit = F.when(value.rlike(pattern), F.lit(most).cast("long")).otherwise(limit)
+        limit = F.when(candidate.rlike(pattern), F.lit(math.floor(1e6 * WINDOW * (math.log2(WINDOW) - bits))).cast("long")).otherwise(limit)
     for pattern in ALLOW:
-        limit = F.when(value.rlike(pattern), F.lit(None).cast("long")).otherwise(limit)
+        limit = F.when(candidate.rlike(pattern), F.lit(None).cast("long")).otherwise(limit)
+    return let(limit, lambda most: F.when(most.isNotNull(), let(_covered(candidate), lambda value: _slide(value, most))))
+
+
+def _slide(value: Column, limit: Column) -> Column:
+    """The first and the last window of which the sum of c*log2(c) is at most ``limit``, without a covered character."""
     state = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0).cast("long").alias("sum"),
                      F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
     char = lambda i: F.instr(F.lit(ALPHABET), F.substring(value, i + 1, F.lit(1))) - 1
 
-    def step(limit):
+    def step():
         def one(acc, i):
             enter = char(i)
             leave = F.when(i >= WINDOW, char(i - WINDOW)).otherwise(F.lit(-1))
@@ -102,17 +168,15 @@ def _hot(value: Column) -> Column:
                 _weight(n_in + 1) - _weight(n_in)
                 + F.when(leave >= 0, _weight(n_out - 1) - _weight(n_out)).otherwise(F.lit(0).cast("long")))
             total = acc["sum"] + change
-            hot = (i >= WINDOW - 1) & (total <= limit)
+            hot = (i >= WINDOW - 1) & (total <= limit) & (counts[len(ALPHABET) - 1] == 0)
             at = i - (WINDOW - 1)
             return F.struct(counts.alias("counts"), total.alias("sum"),
                             F.when(hot & acc["first"].isNull(), at).otherwise(acc["first"]).alias("first"),
                             F.when(hot, at).otherwise(acc["last"]).alias("last"))
         return one
 
-    scan = lambda most: F.aggregate(
-        F.sequence(F.lit(0), F.length(value) - 1), state, step(most),
-        lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
-    return let(limit, lambda most: F.when(most.isNotNull(), scan(most)))
+    return F.aggregate(F.sequence(F.lit(0), F.length(value) - 1), state, step(),
+                       lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -127,8 +191,8 @@ def scan(docs: DataFrame) -> DataFrame:
     spans = F.transform("hot", lambda x: F.struct(
         (x["c"]["start"] + x["h"]["first"]).cast("long").alias("start"), F.lit(3).alias("kind"),
         (x["c"]["start"] + x["h"]["last"] + WINDOW).cast("long").alias("end"), x["c"]["value"].alias("value")))
-    new = F.filter(spans, lambda s: ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])))
-    return df.select("doc_id", "base", F.sort_array(F.concat("base", new.cast(_SPAN))).alias("spans"))
+    new = F.when(F.size("hot") > 0, _outside(spans.cast(_SPAN), F.col("base"))).otherwise(F.array().cast(_SPAN))
+    return df.select("doc_id", "base", F.sort_array(F.concat("base", new)).alias("spans"))
 
 
 def _said(spans: str) -> Column:
