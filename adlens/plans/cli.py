@@ -6,6 +6,7 @@
                  [--history P] [--account NAME] [--run-timestamp T] [--rules P]
     ... campaigns | account | keywords | recommendations  --traffic P --conversion P --results P [--window W] ...
     ... history --history P [--keep N] --results P
+    ... arrivals --traffic P --conversion P --arrival-map P --closed-before YYYY-MM-DD
 
 ``--format csv|parquet`` says how to read the inputs; ``--format table`` takes
 them as catalog names (``db.table``).  ``daily`` writes the daily table
@@ -14,7 +15,8 @@ summary, alerts, alert digest, bid adjustments and rejected rules, each as a
 parquet folder under ``--results``, and appends the summary to the history
 table; the others write one parquet folder.  From CSV feeds, both count malformed
 values per column in the scan they make anyway (``rejected``; ``report`` writes it with the
-rest), and ``--quarantine P`` keeps the rows at fault.  The session comes from
+rest), and ``--quarantine P`` keeps the rows at fault.  ``arrivals`` enters closed arrival days into a
+map of the event dates they hold; with ``--arrival-map P`` a command reads only days that matter to it.  The session comes from
 ``spark-submit``; the library's session defaults are applied and shuffles are
 sized to the input.
 """
@@ -33,6 +35,7 @@ from adlens.plans import jobs
 from adlens.schema import CONVERSION_RAW, TRAFFIC_RAW
 from adlens.session import apply_defaults, input_bytes, size_shuffles
 from adlens.sources import history, readers
+from adlens.sources.arrivals import ArrivalMap
 
 
 def _first_date(args) -> dt.date | None:
@@ -44,6 +47,13 @@ def _first_date(args) -> dt.date | None:
     return window_bounds(args.window, today)[0]
 
 
+def _last_date(args) -> dt.date | None:
+    """The latest event date the command reads; None where there is no bound."""
+    if args.job == "daily" or args.as_of is None or (args.window == "last7days" and not args.bounded):
+        return None
+    return window_bounds(args.window, args.as_of)[1]
+
+
 FEEDS = {"traffic": TRAFFIC_RAW, "conversion": CONVERSION_RAW}
 
 
@@ -52,10 +62,13 @@ def _inputs(spark: SparkSession, args) -> tuple[tuple[DataFrame, DataFrame], dic
     rejects = {feed: Observation(f"rejected-{feed}") for feed in FEEDS} if args.format == "csv" and args.job in ("daily", "report") else {}
 
     def raw(feed):
-        name = getattr(args, feed)
+        name, held = getattr(args, feed), None
+        if args.arrival_map:
+            held = ArrivalMap(spark, f"{args.arrival_map.rstrip('/')}/{feed}").holds(_first_date(args), _last_date(args))
         if args.format == "table":
-            return readers.arrivals_since(readers.table(spark, name), _first_date(args))
-        return readers.read_source(spark, name, args.format, FEEDS[feed], rejects.get(feed), _first_date(args))
+            rows = readers.arrivals_since(readers.table(spark, name), _first_date(args))
+            return rows if held is None else rows.filter(held)
+        return readers.read_source(spark, name, args.format, FEEDS[feed], rejects.get(feed), _first_date(args), held)
 
     traffic, conversion = raw("traffic"), raw("conversion")
     size_shuffles(spark, input_bytes(traffic, conversion))
@@ -79,6 +92,7 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--conversion", required=True)
         p.add_argument("--format", default="csv", choices=["csv", "parquet", "table"])
         p.add_argument("--attribution", default="1d", choices=["1d", "7d", "14d", "30d"])
+        p.add_argument("--arrival-map", dest="arrival_map", help="read only arrivals that hold dates of the window, by this map (see: arrivals)")
         if name in ("daily", "report"):
             p.add_argument("--quarantine", help="write rows of CSV feeds that hold malformed values here")
         if name == "daily":
@@ -104,6 +118,13 @@ def _parser() -> argparse.ArgumentParser:
             p.add_argument("--keyword", default=None)
             p.add_argument("--limit", type=int, default=10)
             p.add_argument("--mode", default="attributed", choices=["attributed", "as_written"])
+    p = sub.add_parser("arrivals")
+    for feed in FEEDS:
+        p.add_argument(f"--{feed}", required=True)
+    p.add_argument("--format", default="csv", choices=["csv", "parquet", "table"])
+    p.add_argument("--arrival-map", dest="arrival_map", required=True)
+    p.add_argument("--closed-before", dest="closed_before", type=dt.date.fromisoformat, required=True,
+                   help="no more files come for arrival days before this one")
     p = sub.add_parser("history")
     p.add_argument("--history", required=True)
     p.add_argument("--keep", type=int, default=history.HISTORY_KEEP)
@@ -114,6 +135,12 @@ def _parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, argv: list[str] | None = None) -> dict[str, DataFrame]:
     args = _parser().parse_args(argv)
     apply_defaults(spark)
+    if args.job == "arrivals":
+        for feed, schema in FEEDS.items():
+            name = getattr(args, feed)
+            raw = readers.table(spark, name) if args.format == "table" else readers.read_source(spark, name, args.format, schema)
+            ArrivalMap(spark, f"{args.arrival_map.rstrip('/')}/{feed}").update(raw, args.closed_before)
+        return {}
     if args.job == "history":
         out = {"history": history.history_read(spark, args.history, args.keep)}
     else:

@@ -463,6 +463,7 @@ ORACLE.update({
     "rejected_values": f"with {A} " + " union all ".join(
         f"select 'traffic' as feed, '{c}' as \"column\", (select count(*) from traffic where {REJECTED.get(c, 'false')}) as rejected"
         for c in ("campaign_id", "ad_group_id", "keyword_id", "keyword_text", "match_type", "time_window_start", "impressions", "clicks", "cost")),
+    "report_past_arrivals": ORACLE["report_yesterday"],
     "campaign_positions": "select campaign_id, spend, row_number() over (order by spend desc nulls last, campaign_id) as position "
                           f"from ({ORACLE['campaign_report']})",
     "report_job_summary": f"with {A}, {REP7}, {summary_cte('rep')} select {SUMMARY_COLS}, low_performing, average_performing, "

@@ -23,6 +23,7 @@ from adlens.session import scratch_path
 from adlens.sources import config, history, readers
 from adlens.sources.snapshots import SnapshotTable
 from adlens.sources.adapter import ad_tables, read_events
+from adlens.sources.arrivals import ArrivalMap
 from adlens.streaming import deltas, refresh
 
 AS_OF = "2024-01-15"
@@ -493,6 +494,18 @@ def q_rejected_values(spark, sf_dir):
     return jobs.daily_job(spark, readers.prepare_traffic(raw), conversion, scratch_path(spark, "daily"), rejects=rejects)["rejected"]
 
 
+def q_report_past_arrivals(spark, sf_dir):
+    """C7 of a past day from raw folders, of which only the arrivals that hold its dates are read."""
+    paths, frames = _raw_folders(spark, sf_dir), []
+    first, last = window_bounds("yesterday", AS_OF)
+    for path, fmt, schema in zip(paths, ("csv", "parquet"), (TRAFFIC_RAW, CONVERSION_RAW)):
+        days = ArrivalMap(spark, scratch_path(spark, "arrival-map"))
+        for until in ("2024-01-12", "2024-01-28"):  # as days are closed; the last ones are open still
+            days.update(readers.read_source(spark, path, fmt, schema), _dt.date.fromisoformat(until))
+        frames.append(readers.read_source(spark, path, fmt, schema, first_date=first, arrivals=days.holds(first, last)))
+    return reports.ad_group_report(readers.prepare_traffic(frames[0]), readers.prepare_conversion(frames[1]), "yesterday", AS_OF)
+
+
 def q_campaign_positions(spark, sf_dir):
     """O1 with each campaign's position in the returned order."""
     return reports.with_positions(q_campaign_report(spark, sf_dir)).select("campaign_id", "spend", "position")
@@ -518,6 +531,7 @@ QUERIES.update({
     "partial_sums_performance": q_partial_sums_performance,
     "history_compacted": q_history_compacted,
     "rejected_values": q_rejected_values,
+    "report_past_arrivals": q_report_past_arrivals,
     "campaign_positions": q_campaign_positions,
     "report_job_summary": q_report_job_summary,
     "history_default_stamp": q_history_default_stamp,

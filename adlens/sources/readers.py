@@ -52,7 +52,7 @@ def _rejected(text: DataFrame, f: T.StructField) -> Column:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, rejects: Observation | None = None,
-             first_date=None) -> DataFrame:
+             first_date=None, arrivals: Column | None = None) -> DataFrame:
     """CSV with a header row, typed by a declared schema.
 
     Columns are found by header name (deliveries carry many more columns, in
@@ -64,9 +64,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, rejects: Obse
 
     ``rejects`` counts the malformed values per column while the job that reads the
     frame runs, in its own scan (``rejected_counts``).  A filter above the counting is not
-    pushed below it, so arrivals before ``first_date`` are pruned here, before it.
+    pushed below it, so arrivals before ``first_date``, and those that ``arrivals`` rules out
+    (``arrivals.ArrivalMap``), are pruned here, before it.
     """
     text = arrivals_since(_csv_text(spark, path), first_date)
+    text = text if arrivals is None else text.filter(arrivals)
     arrival = [c for c in ARRIVAL_COLUMNS if c in text.columns and c not in schema.fieldNames()]
     if rejects is not None:
         present = [f for f in schema.fields if f.name in text.columns]
@@ -111,18 +113,20 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def read_source(spark: SparkSession, path: str, fmt: str = "csv",
-                schema: T.StructType | None = None, rejects: Observation | None = None, first_date=None) -> DataFrame:
+                schema: T.StructType | None = None, rejects: Observation | None = None, first_date=None,
+                arrivals: Column | None = None) -> DataFrame:
     """Either format by name; any other format is an error.
 
     ``rejects`` counts malformed CSV values (``read_csv``; parquet has none); arrivals that
-    can't hold rows of ``first_date`` or later are left out.
+    can't hold rows of ``first_date`` or later, or that ``arrivals`` rules out, are left out.
     """
     if fmt == "csv":
         if schema is None:
             raise ValueError("CSV sources need a declared schema")
-        return read_csv(spark, path, schema, rejects, first_date)
+        return read_csv(spark, path, schema, rejects, first_date, arrivals)
     if fmt == "parquet":
-        return arrivals_since(read_parquet(spark, path, schema), first_date)
+        rows = arrivals_since(read_parquet(spark, path, schema), first_date)
+        return rows if arrivals is None else rows.filter(arrivals)
     raise ValueError(f"Unsupported format: {fmt}")
 
 
@@ -164,12 +168,16 @@ def arrival_lower_bound(first_date) -> Column:
     Month and day may be typed as numbers by partition discovery, so they
     are padded back to two digits before comparing.
     """
+    first = first_date if isinstance(first_date, dt.date) else dt.date.fromisoformat(str(first_date))
+    return F.coalesce(arrival_day() >= F.lit(str(first - dt.timedelta(days=1))), F.lit(True))
+
+
+def arrival_day() -> Column:
+    """The arrival columns as the text of a date."""
     def two(c: str) -> Column:
         return F.lpad(F.col(c).cast("string"), 2, "0")
 
-    arrival = F.concat(F.col("year").cast("string"), F.lit("-"), two("month"), F.lit("-"), two("day"))
-    first = first_date if isinstance(first_date, dt.date) else dt.date.fromisoformat(str(first_date))
-    return F.coalesce(arrival >= F.lit(str(first - dt.timedelta(days=1))), F.lit(True))
+    return F.concat(F.col("year").cast("string"), F.lit("-"), two("month"), F.lit("-"), two("day"))
 
 
 def arrivals_since(raw: DataFrame, first_date) -> DataFrame:

@@ -14,7 +14,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 # These write or run jobs while being built.
 WRITES = {"parquet_roundtrip", "csv_roundtrip", "rules_from_json", "ingested_performance", "rules_document", "recommendations_document",
           "daily_job", "daily_job_replaced", "report_job_report", "report_job_alert_digest", "report_job_adjustments", "history_table",
-          "daily_job_stepwise", "partial_sums_performance", "history_compacted", "rejected_values", "campaign_positions", "report_job_summary",
+          "daily_job_stepwise", "partial_sums_performance", "history_compacted", "rejected_values", "report_past_arrivals", "campaign_positions", "report_job_summary",
           "history_default_stamp"}
 
 

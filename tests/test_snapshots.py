@@ -279,3 +279,50 @@ def test_positions_of_a_sorted_report(spark):
     want = sorted(rows.collect(), key=lambda r: (-r.spend, r.id))
     assert [r.id for r in sorted(got, key=lambda r: r.position)] == [r.id for r in want]
     assert sorted(r.position for r in got) == list(range(1, 1001))
+
+
+# ------------------------------------------------------------------ arrivals
+
+def _arrived(spark):
+    """Event dates of March; one row of each arrives the next day, one 20 days late."""
+    rows = []
+    for d in range(1, 29):
+        event = dt.date(2025, 3, d)
+        for late in (1, 20):
+            a = event + dt.timedelta(days=late)
+            rows.append(("c1", "g1", "k1", "shoes", "EXACT", f"{event}T05:00:00-07:00", 10, d, D("1.00"), f"{a:%Y}", f"{a:%m}", f"{a:%d}"))
+    return spark.createDataFrame(rows, ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in TRAFFIC_RAW] + ["year string", "month string", "day string"]))
+
+
+def test_a_past_window_reads_only_arrivals_that_hold_its_dates(spark):
+    from adlens.sources.arrivals import ArrivalMap
+    root = scratch_path(spark, "arrivals")
+    _arrived(spark).write.partitionBy("year", "month", "day").parquet(f"{root}/traffic")
+    raw = lambda held=None: readers.read_source(spark, f"{root}/traffic", "parquet", TRAFFIC_RAW, arrivals=held)
+    days = ArrivalMap(spark, f"{root}/map")
+    first = last = dt.date(2025, 3, 10)
+    assert raw(days.holds(first, last)).count() == 56  # nothing entered: everything is read
+    for until in (dt.date(2025, 3, 15), dt.date(2025, 3, 15), dt.date(2025, 4, 5)):
+        days.update(raw(), until)
+    assert days.entered().select("arrival").distinct().count() == 34 and days.entered().count() == days.entered().distinct().count()
+    some = raw(days.holds(first, last))
+    got = {(r.year, r.month, r.day) for r in some.select("year", "month", "day").collect()}
+    # Entered days that hold the date (the next one, and 20 days late), and all days that aren't closed.
+    assert {(int(m), int(d)) for _, m, d in got} == {(3, 11), (3, 30)} | {(4, d) for d in range(5, 18)}
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [coalesce((concat(cast(year" in plan
+    date = F.col("event_date") == F.lit(first)
+    assert rows_of(readers.prepare_traffic(some).filter(date)) == rows_of(readers.prepare_traffic(raw()).filter(date))
+
+
+def test_command_line_arrival_map(spark):
+    from adlens.plans import cli
+    root = scratch_path(spark, "arrivals-cli")
+    _arrived(spark).write.partitionBy("year", "month", "day").option("header", True).csv(f"{root}/traffic")
+    spark.createDataFrame(CONVERSION_ROWS, CONVERSION_COLUMNS).withColumns({"year": F.lit("2025"), "month": F.lit("03"), "day": F.lit("12")}).write.partitionBy(
+        "year", "month", "day").option("header", True).csv(f"{root}/conv")
+    feeds = ["--traffic", f"{root}/traffic", "--conversion", f"{root}/conv", "--arrival-map", f"{root}/map"]
+    cli.run(spark, ["arrivals", *feeds, "--closed-before", "2025-04-25"])
+    base = ["campaigns", "--window", "today", "--as-of", "2025-03-10"]
+    with_map = rows_of(cli.run(spark, [*base, *feeds, "--results", f"{root}/a"])["campaigns"])
+    assert with_map == rows_of(cli.run(spark, [*base, *feeds[:4], "--results", f"{root}/b"])["campaigns"]) and len(with_map) == 1
