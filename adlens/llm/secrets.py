@@ -71,31 +71,32 @@ def _running(values: Column, first: Column, combine) -> Column:
         return F.aggregate(values, zero(of), lambda acc, v: F.struct(
             combine(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
 
-    n = F.size(values)
-    starts = F.when(n > 0, F.sequence(F.lit(1), n, F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
-    blocks = F.transform(starts, lambda i: fold(F.slice(values, i, F.lit(BLOCK)), first))
+    def blocks(values: Column) -> Column:
+        n = F.size(values)
+        starts = F.when(n > 0, F.sequence(F.lit(1), n, F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: fold(F.slice(values, i, F.lit(BLOCK)), first))
 
     def join(blocks: Column) -> Column:
         whole = fold(F.transform(blocks, lambda b: b["at"]), first)
         return let(whole, lambda w: F.concat(
             F.flatten(F.zip_with(blocks, w["out"], lambda b, before: F.transform(b["out"], lambda x: combine(before, x)))), F.array(w["at"])))
 
-    return let(blocks, join)
+    return let(let(values, blocks), join)
 
 
 def _found(text: Column, pattern: str, kind: int, test) -> Column:
     """Spans of the matches that pass ``test``, leftmost and non-overlapping, in order."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-    def place(m: Column) -> Column:
-        pieces = F.split(text, pattern, -1)  # one more than matches: they alternate
-        ends = F.zip_with(m, F.slice(pieces, F.lit(1), F.size(m)), lambda m, p: (F.length(m) + F.length(p)).cast("long"))
+    def place(m: Column, pieces: Column) -> Column:
+        ends = F.zip_with(m, pieces, lambda m, p: (F.length(m) + F.length(p)).cast("long"))
         spans = F.zip_with(m, _running(ends, F.lit(0).cast("long"), lambda a, b: a + b), lambda m, at: F.struct(m.alias("value"), at.alias("at")))
-        spans = F.zip_with(F.slice(spans, F.lit(1), F.size(m)), F.slice(pieces, F.lit(1), F.size(m)), lambda s, p: let(
+        spans = F.zip_with(F.slice(spans, F.lit(1), F.size(m)), pieces, lambda s, p: let(
             s["at"] + F.length(p), lambda begin: F.struct(begin.alias("start"), F.lit(kind).alias("kind"), (begin + F.length(s["value"])).alias("end"), s["value"].alias("value"))))
         return spans.cast(_SPAN)
 
-    spans = let(matches, lambda m: F.when(F.size(m) == 0, F.array().cast(_SPAN)).otherwise(place(m)))
+    pieces = lambda m: F.slice(F.split(text, pattern, -1), F.lit(1), F.size(m))  # noqa: E731 - one more than matches: they alternate
+    spans = let(matches, lambda m: F.when(F.size(m) == 0, F.array().cast(_SPAN)).otherwise(let(pieces(m), lambda p: place(m, p))))
     return F.filter(spans, lambda s: test(s["value"])) if test is not None else spans
 
 
