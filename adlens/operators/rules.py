@@ -4,8 +4,9 @@ A rule condition is a small boolean text over four metric names.  Instead
 of text substitution and ``eval`` per row, each condition is checked
 against a whitelist, rewritten to Spark SQL and compiled once with
 ``F.expr``; all rules are then evaluated in one narrow pass as an array of
-``when(condition, struct)`` that is filtered and exploded.  Rules are
-configuration, not data.
+``when(condition, struct)`` that is filtered and exploded.  Of more than
+``RULES_PER_ARRAY`` rules, those of simple comparisons are looked up by their
+thresholds instead (``rule_index``).  Rules are configuration, not data.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlens.functions.metrics import zero_if_null
+from adlens.operators import rule_index
 
 log = logging.getLogger(__name__)
 
@@ -36,7 +38,8 @@ DEFAULT_RULES = [
 
 # The metric names a condition may use, and the report column each one reads.
 METRICS = ("acos", "roas", "conversion", "ctr")
-# Rules to one expression array; more rules make more arrays, in the same pass.
+# Rules to one expression array.  Of more rules, the simple ones are looked up by threshold; the
+# others make more arrays, in the same pass.
 RULES_PER_ARRAY = 200
 
 _TOKEN = re.compile(r"""\s*(?:
@@ -61,7 +64,15 @@ class CompiledRule:
     action: str
     percentage: float
     description: str | None
-    predicate: Column
+    predicate: Column | None                                        # None: looked up by ``comparisons``
+    comparisons: tuple[tuple[str, str, float], ...] | None = None
+
+    @property
+    def payload(self) -> tuple:
+        return self.action, self.percentage, self.description, f"Rule triggered: {self.condition}"
+
+
+PAYLOAD = "struct<action:string,percentage:double,description:string,reason:string>"
 
 
 def _tokens(condition: str) -> list[tuple[str, str]]:
@@ -174,6 +185,40 @@ def to_sql(condition: str) -> str:
     return boolean(0, len(tokens))
 
 
+def _operand(tokens: list[tuple[str, str]]) -> str | float | None:
+    """A metric's name or a signed number; None for anything else."""
+    sign, k = 1.0, 0
+    while k < len(tokens) - 1 and tokens[k] in (("sign", "+"), ("sign", "-")):
+        sign = -sign if tokens[k][1] == "-" else sign
+        k += 1
+    if len(tokens) != k + 1 or tokens[k][0] not in ("num", "name"):
+        return None
+    kind, t = tokens[k]
+    return sign * float(t) if kind == "num" else t if k == 0 else None
+
+
+def simple_comparisons(condition: str) -> list[tuple[str, str, float]] | None:
+    """(metric, operator, number) of each comparison, if the condition is such comparisons joined by ``and``; else None."""
+    out: list[tuple[str, str, float]] = []
+    sides, ops = [[]], []
+    for kind, t in [*_tokens(condition), ("word", "and")]:
+        if kind == "op":
+            ops.append(t)
+            sides.append([])
+        elif kind != "word":
+            sides[-1].append((kind, t))
+        elif t != "and" or not ops:
+            return None
+        else:
+            values = [_operand(s) for s in sides]
+            for a, op, b in zip(values, ops, values[1:]):
+                if a is None or b is None or op not in rule_index.FLIPPED or isinstance(a, str) == isinstance(b, str):
+                    return None
+                out.append((a, op, b) if isinstance(a, str) else (b, rule_index.FLIPPED[op], a))
+            sides, ops = [[]], []
+    return out
+
+
 def _metric_frame(df: DataFrame) -> DataFrame:
     """The metrics as rules see them: missing values are 0."""
     return df.withColumns({f"_m_{m}": zero_if_null(m) for m in METRICS})
@@ -183,13 +228,19 @@ def compile_rules(rules: list[dict], probe: DataFrame) -> tuple[list[CompiledRul
     """Compile every rule; invalid ones are returned with the reason and skipped.
 
     ``probe`` is any frame carrying the four metric columns; the compiled
-    predicates are resolved against it (analysis only, no job runs).
+    predicates are resolved against it (analysis only, no job runs).  Of more
+    than ``RULES_PER_ARRAY`` rules, simple ones get comparisons and no predicate.
     """
     frame = _metric_frame(probe)
     ok, rejected = [], []
     for i, rule in enumerate(rules):
         try:
             cond = rule["condition"]
+            simple = simple_comparisons(cond) if len(rules) > RULES_PER_ARRAY else None
+            if simple is not None:
+                ok.append(CompiledRule(i, cond, str(rule["action"]), float(rule["percentage"]),
+                                       rule.get("description"), None, tuple(simple)))
+                continue
             pred = F.expr(to_sql(cond))
             dtype = frame.select(pred.alias("p")).schema["p"].dataType
             if not isinstance(dtype, T.BooleanType):
@@ -202,10 +253,15 @@ def compile_rules(rules: list[dict], probe: DataFrame) -> tuple[list[CompiledRul
     return ok, rejected
 
 
-def _fired(df: DataFrame, compiled: list[CompiledRule], payload) -> DataFrame:
-    """Rows x matching rules, in rule order; 0..n output rows per input row."""
+def _fired(df: DataFrame, compiled: list[CompiledRule]) -> DataFrame:
+    """Rows x matching rules as ``r``; 0..n output rows per input row, in rule order unless rules are looked up."""
     frame = _metric_frame(df)
-    candidates = [F.when(r.predicate, payload(r)) for r in compiled]
+    if any(r.predicate is None for r in compiled):
+        index = rule_index.RuleIndex([(r.index, r.comparisons) for r in compiled if r.predicate is None], METRICS)
+        tested = [(r.index, r.predicate) for r in compiled if r.predicate is not None]
+        return rule_index.fired_by_index(frame, index, tested, [(r.index, *r.payload) for r in compiled], PAYLOAD)
+    names = ("action", "percentage", "description", "reason")
+    candidates = [F.when(r.predicate, F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r.payload)]).cast(PAYLOAD)) for r in compiled]
     parts = [F.filter(F.array(*candidates[a:a + RULES_PER_ARRAY]), lambda x: x.isNotNull())
              for a in range(0, len(candidates), RULES_PER_ARRAY)]
     return frame.select("*", F.explode(F.concat(*parts)).alias("r"))
@@ -228,15 +284,10 @@ def bid_adjustments(report: DataFrame, rules: list[dict] | None = None) -> DataF
     """Every matching rule of every ad group emits one adjustment."""
     compiled, _ = compile_rules(DEFAULT_RULES if rules is None else rules, _metric_frame(report))
 
-    def payload(r: CompiledRule) -> Column:
-        return F.struct(F.lit(r.index).alias("rule_index"), F.lit(r.action).alias("action"),
-                        F.lit(r.percentage).alias("percentage"),
-                        F.lit(f"Rule triggered: {r.condition}").alias("reason"))
-
     if not compiled:
         return _no_rows(report, {"campaign_id": "string", "ad_group_id": "string", "action": "string",
                                  "percentage": "double", "reason": "string"})
-    out = _fired(report, compiled, payload)
+    out = _fired(report, compiled)
     return out.select("campaign_id", "ad_group_id", "r.action", "r.percentage", "r.reason")
 
 
@@ -244,17 +295,12 @@ def bid_recommendations(campaigns: DataFrame, rules: list[dict] | None = None) -
     """Per-campaign recommendations with the metrics the rules saw."""
     compiled, _ = compile_rules(DEFAULT_RULES if rules is None else rules, _metric_frame(campaigns))
 
-    def payload(r: CompiledRule) -> Column:
-        return F.struct(F.lit(r.action).alias("action"), F.lit(r.percentage).alias("percentage"),
-                        F.lit(r.description).cast("string").alias("description"),
-                        F.lit(f"Rule triggered: {r.condition}").alias("reason"))
-
     if not compiled:
         return _no_rows(campaigns, {
             "campaign_id": "string",
             "current_metrics": "struct<acos:double,roas:double,conversion:double,ctr:double>",
             "action": "string", "percentage": "double", "description": "string", "reason": "string"})
-    out = _fired(campaigns, compiled, payload)
+    out = _fired(campaigns, compiled)
     metrics = F.struct(*[F.col(f"_m_{m}").alias(m) for m in METRICS])
     return out.select("campaign_id", metrics.alias("current_metrics"),
                       "r.action", "r.percentage", "r.description", "r.reason")

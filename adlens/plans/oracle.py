@@ -419,6 +419,19 @@ def document_branches(m: dict[str, str]) -> list[tuple]:
 
 
 DOCUMENT_ADJUSTMENTS = f"with {A}, {REP7} {rules_sql('rep', 'campaign_id, ad_group_id', branches=document_branches)}"
+RULES_MANY = f"""with {A}, {REP7},
+metrics as (select campaign_id, ad_group_id, coalesce(acos, 0.0) as acos, coalesce(roas, 0.0) as roas,
+                   coalesce(conversion, 0.0) as conversion, coalesce(ctr, 0.0) as ctr from rep),
+rules as (select k, k // 4 % 100 as v, ['acos', 'roas', 'conversion', 'ctr'][k % 4 + 1] as m from range(1200) t(k)),
+tried as (select campaign_id, ad_group_id, acos, roas, conversion, ctr, k, v, m,
+                 case m when 'acos' then acos when 'roas' then roas when 'conversion' then conversion else ctr end as x
+          from metrics, rules)
+select campaign_id, ad_group_id, ['increase_bid', 'decrease_bid', 'pause'][k % 3 + 1] as action, cast(k % 50 as double) as percentage,
+       'Rule triggered: ' || case k % 3 when 0 then v || ' <= ' || m || ' < ' || (v + 5)
+         when 1 then m || ' > ' || v || ' and roas < ' || (k % 7)
+         else 'ctr == ' || (v % 9) || ' and ' || m || ' >= ' || v end as reason
+from tried
+where case k % 3 when 0 then v <= x and x < v + 5 when 1 then x > v and roas < k % 7 else ctr = v % 9 and x >= v end"""
 HISTORY_TWO = f"""with one as ({history_sql(10)})
 select * from one union all select * replace ('other' as account_id) from one"""
 DAY_WINDOWS = KEYWORD_AS_WRITTEN_SQL.replace("date_trunc('hour', ts) as", "date_trunc('day', ts) as")
@@ -433,6 +446,7 @@ from traffic group by campaign_id, event_date""",
     "touched_performance": f"with {A}, {DAILY_TRAFFIC_CTE} select * from dp where date in "
                            "(select event_date from conversion where conversions < 0 and campaign_id = '3')",
     "rules_document": DOCUMENT_ADJUSTMENTS,
+    "rules_many": RULES_MANY,
     "recommendations_document": f"with {A}, {report_cte(['campaign_id'], 'last7days')} "
                                 f"{rules_sql('rep', 'campaign_id', extra='metrics', branches=document_branches)}",
     "daily_job": ORACLE["anomalies"],

@@ -355,6 +355,26 @@ def q_recommendations_document(spark, sf_dir):
     return recs.select("campaign_id", "current_metrics.*", "action", "percentage", "description", "reason")
 
 
+RULE_COUNT = 1200
+
+
+def many_rules() -> list[dict]:
+    """A rules document of RULE_COUNT rules: ranges, and comparisons joined by ``and``."""
+    out = []
+    for k in range(RULE_COUNT):
+        m, v = rules.METRICS[k % 4], k // 4 % 100
+        condition = (f"{v} <= {m} < {v + 5}", f"{m} > {v} and roas < {k % 7}", f"ctr == {v % 9} and {m} >= {v}")[k % 3]
+        out.append({"condition": condition, "action": ("increase_bid", "decrease_bid", "pause")[k % 3], "percentage": k % 50})
+    return out
+
+
+def q_rules_many(spark, sf_dir):
+    """C15 with many rules, looked up by their thresholds."""
+    path = scratch_path(spark, "rules-many")
+    config.write_rules(spark, many_rules(), path)
+    return rules.bid_adjustments(_report_last7(spark, sf_dir), config.read_rules(spark, path))
+
+
 # --- jobs and history (C17-C19), severity (T3), unknown window (F4), order (O2) ------------------
 
 def q_daily_job(spark, sf_dir):
@@ -427,6 +447,7 @@ QUERIES.update({
     "ingested_timestamps": q_ingested_timestamps,
     "touched_performance": q_touched_performance,
     "rules_document": q_rules_document,
+    "rules_many": q_rules_many,
     "recommendations_document": q_recommendations_document,
     "daily_job": q_daily_job,
     "daily_job_replaced": q_daily_job_replaced,
