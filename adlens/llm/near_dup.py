@@ -12,10 +12,12 @@
    away (six standard deviations); the rest is decided on the full sets.
 5. Components by alternating large-star and small-star steps.
 6. What step 3 left open: buckets of four or more that still hold several
-   components.  There, pairs across components are checked, and only those that
-   can be links at all: shingles that only one of these documents has bound what
-   a pair can share, exactly, so a crowd of copies that each went their own way
-   doesn't become all pairs.
+   components.  Each such bucket has a hub, the member that meets most others; its
+   members are held as their differences to the hub (shingles missing, shingles
+   added), which tells at once who is linked with the hub.  Two members of different components can
+   only be linked if they share a computable number of differences, so pairs come
+   from a join on shared differences, rarest first (a prefix filter), without loss:
+   a crowd of copies that each went their own way doesn't become all pairs.
 
 A link at the threshold J is missed with probability (1 - J**6)**40: 6e-9 at 0.85, 5e-6 at 0.8.
 
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlens.llm.common import stored, text_key
@@ -215,22 +217,58 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> Dat
     return stored(with_sets.select("a", "b", "x", "y").mapInArrow(linked, "a long, b long"), "links")
 
 
-def own_shingles(sets: DataFrame) -> DataFrame:
-    """(node, own): how many of a node's shingles no other node of ``sets`` has."""
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, data in zip(batch.column("node").to_pylist(), batch.column("shingles").to_pylist()):
-                x = np.frombuffer(data, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(np.full(len(x), node))], names=["shingle", "node"])
-
-    each = sets.mapInArrow(spread, "shingle long, node long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"))
-    return each.filter("n = 1").groupBy("node").agg(F.count("*").alias("own"))
+_DIFFERENCES = "hub long, node long, h long, missing long, added long, d array<long>"
 
 
-def _may_link(a: str, b: str, threshold: int):
-    """What two sets can share at most, and must hold at least, by the shingles only one of all has: exact, no estimate."""
-    rest = [F.col(f"{x}.n_shingles") - F.col(f"{x}.own") for x in (a, b)]
-    return 100 * F.least(*rest) >= threshold * (F.col(f"{a}.own") + F.col(f"{b}.own") + F.greatest(*rest))
+def differences(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each (hub, node) with the hub's size and the shingles that only one of the two has, stored."""
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, missing, added, d = [], [], [], []
+            for x, y in zip(batch.column("hub_set").to_pylist(), batch.column("shingles").to_pylist()):
+                x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+                gone, new = np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)
+                size.append(len(x))
+                missing.append(len(gone))
+                added.append(len(new))
+                d.append(np.concatenate([gone, new]))
+            yield pa.RecordBatch.from_arrays([batch.column("hub"), batch.column("node"), pa.array(size, pa.int64()), pa.array(missing, pa.int64()),
+                                              pa.array(added, pa.int64()), pa.array(d, pa.list_(pa.int64()))], names=["hub", "node", "h", "missing", "added", "d"])
+
+    hubs = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_set"))
+    return stored(groups.join(sets, "node").join(hubs, "hub").select("hub", "node", "hub_set", "shingles").mapInArrow(differ, _DIFFERENCES), "differences")
+
+
+def shared_differences(differing: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): the pairs of different components that may be links, from (hub, node, root, cost, budget, d); exact, no estimate.
+
+    With m missing and a added shingles, a node's cost is 100 m + J a, the budget (100 - J) h.
+    Two nodes that share s differences are linked exactly if their costs are at most
+    budget + (100 + J) s together.  As all within the budget hang on the hub, s >= 1
+    for the others.  ``low`` is the least cost a node's partner can have: so many differences, ``need``, it
+    shares with any.  Of its differences that another component has, too, ordered
+    from the rarest, one of the first (their number - need + 1) must then be shared.
+    """
+    each = differing.select("hub", "node", "root", "cost", F.explode("d").alias("d"))
+    held = each.groupBy("hub", "d").agg(F.count("*").alias("holders"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    each = stored(each.join(held.select("hub", "d", "holders"), ["hub", "d"]), "shared-differences")
+    nodes = each.groupBy("hub", "node", "root", "cost").agg(F.count("*").alias("able"))
+    cheapest = nodes.groupBy("hub", "root").agg(F.min("cost").alias("cost"))
+    first = cheapest.groupBy("hub").agg(F.min(F.struct("cost", "root")).alias("first"))
+    second = cheapest.join(first, "hub").filter(F.col("root") != F.col("first.root")).groupBy("hub").agg(F.min("cost").alias("second"))
+    low = F.when(F.col("root") == F.col("first.root"), F.col("second")).otherwise(F.col("first.cost"))
+    budgets = differing.select("hub", "budget").distinct()
+    need = F.greatest(F.lit(1), F.ceil((F.col("cost") + low - F.col("budget")) / (100 + threshold)))
+    left = nodes.join(first, "hub").join(second, "hub").join(budgets, "hub").withColumn("need", need).filter("able >= need")
+    left = stored(left.select("hub", "node", "budget", "able", "need"), "sharing")
+    rarest = Window.partitionBy("hub", "node").orderBy("holders", "d")
+    heads = (each.join(left, ["hub", "node"]).withColumn("place", F.row_number().over(rarest)).filter("place <= able - need + 1")
+             .select("hub", "node", "root", "cost", "budget", "able", "d"))
+    x, y = heads.alias("x"), heads.alias("y")
+    enough = F.col("x.cost") + F.col("y.cost") <= F.col("x.budget") + (100 + threshold) * F.least("x.able", "y.able")
+    return (x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.d") == F.col("y.d")) & (F.col("x.node") > F.col("y.node"))
+                   & (F.col("x.root") != F.col("y.root")) & enough)
+            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -288,22 +326,25 @@ def link(docs: DataFrame, sketched: DataFrame, threshold: int = THRESHOLD) -> tu
     open_rows = rows.join(F.broadcast(large) if small else large, "band")
     open_rows = open_rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = open_rows.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("band")
-    open_rows = stored(open_rows.join(mixed, "band", "left_semi").join(slim, "node"), "open")
+    open_rows = stored(open_rows.join(mixed, "band", "left_semi").select("band", "node"), "open")
     if not open_rows.limit(1).count():
         return reps, roots
     sets = shingle_table(open_rows.select("node").distinct(), reps, docs)
-    own = stored(own_shingles(sets), "own")
-    # A pair that meets in several buckets is told in the one with the least key only.
-    meets = open_rows.groupBy("node").agg(F.collect_list("band").alias("open_bands"))  # at most BANDS each
-    open_rows = open_rows.join(own, "node", "left").fillna(0, ["own"]).join(meets, "node")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    more = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.node") > F.col("y.node"))
-                   & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y", threshold) & _alike("x", "y", threshold)
-                   & (F.array_min(F.array_intersect("x.open_bands", "y.open_bands")) == F.col("x.band")))
-            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    more = stored(more.join(tested, ["a", "b"], "left_anti"), "more-pairs")
+    # The hub of a bucket is the member that meets most others over all open buckets; a node is in a hub's group once.
+    sizes = open_rows.groupBy("band").agg(F.count("*").alias("met"))
+    meets = open_rows.join(sizes, "band").groupBy("node").agg(F.sum("met").alias("met"))
+    hubs = open_rows.join(meets, "node").groupBy("band").agg(F.max(F.struct("met", "node"))["node"].alias("hub"))
+    groups = open_rows.join(hubs, "band").select("hub", "node").distinct()
+    differing = differences(groups, sets).withColumn("cost", 100 * F.col("missing") + threshold * F.col("added")).withColumn("budget", (100 - threshold) * F.col("h"))
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # what is joined stays joined
+    spokes = differing.filter("cost <= budget and node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    roots = stored(components(known.unionByName(spokes)), "components")
+    differing = differing.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    more = shared_differences(differing, threshold).join(tested, ["a", "b"], "left_anti")
+    more = stored(more.alias("e").join(slim.alias("x"), F.col("e.a") == F.col("x.node")).join(slim.alias("y"), F.col("e.b") == F.col("y.node"))
+                  .filter(_alike("x", "y", threshold)).select("e.a", "e.b"), "more-pairs")
     if more.limit(1).count():
-        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # what is joined stays joined
+        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = stored(components(known.unionByName(verify(more, sets, threshold))), "components")
     return reps, roots
 
