@@ -51,6 +51,7 @@ BANDS, ROWS = 40, 6
 PLANES = 4  # 64-bit words per signature plane
 BROADCAST_ROWS = 1_000_000
 BATCH_BYTES = 1 << 20
+HUB_PARTS = 16
 
 _rng = np.random.default_rng(5_2024)
 _A = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -235,8 +236,11 @@ def differences(groups: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("hub"), batch.column("node"), pa.array(size, pa.int64()), pa.array(missing, pa.int64()),
                                               pa.array(added, pa.int64()), pa.array(d, pa.list_(pa.int64()))], names=["hub", "node", "h", "missing", "added", "d"])
 
-    hubs = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_set"))
-    return stored(groups.join(sets, "node").join(hubs, "hub").select("hub", "node", "hub_set", "shingles").mapInArrow(differ, _DIFFERENCES), "differences")
+    # A hub's group may be large: its rows are dealt over HUB_PARTS tasks, each with the hub's set.
+    hubs = sets.join(groups.select("hub").distinct(), F.col("node") == F.col("hub")).select(
+        "hub", F.col("shingles").alias("hub_set"), F.explode(F.sequence(F.lit(0), F.lit(HUB_PARTS - 1))).alias("part"))
+    dealt = groups.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(HUB_PARTS)).cast("int"))
+    return stored(dealt.join(sets, "node").join(hubs, ["hub", "part"]).select("hub", "node", "hub_set", "shingles").mapInArrow(differ, _DIFFERENCES), "differences")
 
 
 def shared_differences(differing: DataFrame, threshold: int) -> DataFrame:
@@ -256,10 +260,11 @@ def shared_differences(differing: DataFrame, threshold: int) -> DataFrame:
     cheapest = nodes.groupBy("hub", "root").agg(F.min("cost").alias("cost"))
     first = cheapest.groupBy("hub").agg(F.min(F.struct("cost", "root")).alias("first"))
     second = cheapest.join(first, "hub").filter(F.col("root") != F.col("first.root")).groupBy("hub").agg(F.min("cost").alias("second"))
-    low = F.when(F.col("root") == F.col("first.root"), F.col("second")).otherwise(F.col("first.cost"))
     budgets = differing.select("hub", "budget").distinct()
+    per_hub = stored(first.join(second, "hub").join(budgets, "hub"), "hubs")  # one row each
+    low = F.when(F.col("root") == F.col("first.root"), F.col("second")).otherwise(F.col("first.cost"))
     need = F.greatest(F.lit(1), F.ceil((F.col("cost") + low - F.col("budget")) / (100 + threshold)))
-    left = nodes.join(first, "hub").join(second, "hub").join(budgets, "hub").withColumn("need", need).filter("able >= need")
+    left = nodes.join(_near(per_hub), "hub").withColumn("need", need).filter("able >= need")
     left = stored(left.select("hub", "node", "budget", "able", "need"), "sharing")
     rarest = Window.partitionBy("hub", "node").orderBy("holders", "d")
     heads = (each.join(left, ["hub", "node"]).withColumn("place", F.row_number().over(rarest)).filter("place <= able - need + 1")
