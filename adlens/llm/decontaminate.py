@@ -4,10 +4,12 @@
    is lower-cased without punctuation.  A question with other numbers or names
    has the same template.  A capital that begins a sentence or a line is read both
    ways, as a name and as a plain word.
-2. Every window of ``WINDOW`` template words is hashed, in documents and
-   benchmark alike, and the two sides are hash-joined.  Only hits go on.
-3. Hits fetch their words; hash hits with another template fall away.  Hits are
-   grouped by (document, item, offset): one group is one alignment of the item.
+2. A window of ``WINDOW`` template words holds a block of half as many that begins
+   at a multiple of its length.  Those of the documents are hashed and joined with
+   every block of the benchmark's windows.  Only windows around a hit go on.
+3. These fetch their words and are joined with the benchmark's windows, all words
+   compared.  The equal ones are grouped by (document, item, offset): one group is
+   one alignment of the item.
 4. Slots of an alignment must agree: each benchmark value stands for one value in
    the document and the other way round.  A group that agrees and covers
    ``MIN_RUN`` windows (or all of a shorter item) marks the document.  So does one
@@ -18,9 +20,9 @@ Windows with fewer than ``MIN_LITERALS`` words that are no placeholder, and item
 of fewer than ``WINDOW`` template words as a whole, say too little by their
 template; they are found by their exact words, values included.
 
-Built-in functions only.  The benchmark's windows are broadcast only when their
-counted number is at most ``BROADCAST_WINDOWS``; above that both sides are
-shuffled by hash, where Spark splits hot hashes.  Texts are shuffled once, for
+Built-in functions only.  The benchmark's windows and blocks are broadcast only when
+the counted number of either is at most ``BROADCAST_WINDOWS``; above that both sides
+are shuffled by hash, where Spark splits hot hashes.  Texts are shuffled once, for
 documents with hits, by (doc_id, text hash).
 
 Defined results: null and empty texts have no windows and stay; items without
@@ -35,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import let, text_key, words
+from adlens.llm.common import SPACE_CHARS, let, text_key, words
 
 WINDOW = 8
 MIN_RUN = 6
@@ -61,19 +63,27 @@ def _plain(text: Column) -> Column:
     return F.when(t.rlike("[\u0001-\u0004]"), F.regexp_replace(t, "[\u0001-\u0004]", "")).otherwise(t)
 
 
+def _split(text: Column) -> Column:
+    """What ``words`` returns, without a pattern: the text is split at one character."""
+    for c in SPACE_CHARS[1:]:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
+
+
 def marked(text: Column) -> Column:
     """The template words of a text, with ``CAPITAL`` where a capital may only be due to its place.  They align one to one with ``spoken`` of it."""
     # Each pattern begins with what is cheap and rare to find; look-arounds come after it.
     t = _plain(text)
     firsts = sorted({w[0] for w in NUMBER_WORDS})
     number = "(?:" + "|".join(f"{c}(?:" + "|".join(w[1:] for w in NUMBER_WORDS if w[0] == c) + ")" for c in firsts) + ")"
-    t = F.regexp_replace(t, rf"(?i)(?=[{''.join(firsts)}])\b{number}(?:-{number})*\b", NUMBER)
+    first = "".join(firsts + [c.upper() for c in firsts])
+    t = F.regexp_replace(t, rf"\b(?=[{first}])(?i:{number}(?:-{number})*)\b", NUMBER)
     # A capitalised word inside a sentence: what stands before it ends no sentence and no line.
     t = F.regexp_replace(t, r"(?=[\p{Lu}])(?<=[^.!?:\s][ \t])[\p{Lu}][\p{Ll}][\p{L}'’-]*", NAME)
     t = F.regexp_replace(t, r"(?=[\p{Lu}][\p{Ll}])(?<![\p{L}\p{M}]|[\p{L}\p{M}]['’-])", CAPITAL)
     t = F.regexp_replace(F.lower(t), r"[0-9]+(?:[.,:/][0-9]+)*", NUMBER)
     t = F.regexp_replace(t, "(\u0001[ -]?)\u0004?(?:" + "|".join(UNITS) + r")\b", "$1" + UNIT)
-    return words(F.regexp_replace(t, "[^a-z\\p{L}\\p{M}\u0001-\u0004\\x20\\x09-\\x0D]+", ""))
+    return _split(F.regexp_replace(t, "[^a-z\\p{L}\\p{M}\u0001-\u0004\\x20\\x09-\\x0D]+", ""))
 
 
 def template(marked_words: Column) -> Column:
@@ -91,31 +101,16 @@ def spoken(text: Column) -> Column:
     return F.filter(words(_plain(text)), lambda w: w.rlike(r"[a-zA-Z0-9\p{L}\p{M}]"))
 
 
-def _hash(words_: Column, start: Column, width: int) -> Column:
-    return F.xxhash64(*[words_[start + k] for k in range(width)])
-
-
-_WINDOWS = "array<struct<pos:int,width:int,h:bigint>>"
-
+def _block(width: int) -> int:
+    """The length of a block: every window of ``width`` words holds one that begins at a multiple of its length."""
+    return (width + 1) // 2
 
-def _hashes(words_: Column, width: int = WINDOW) -> Column:
-    """(place, width, hash) of every window of the words."""
-    none = F.array().cast(_WINDOWS)
-    return let(words_, lambda t: F.when(F.size(t) >= width, F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(t) - width, F.lit(0))),
-        lambda i: F.struct(i.alias("pos"), F.lit(width).alias("width"), _hash(t, i, width).alias("h")))).otherwise(none))
 
-
-def _changed_hashes(words_: Column, base: Column) -> Column:
-    """(place, width, hash) of the windows of ``words_`` that hold a word in which it differs from ``base``: the others have the base's hashes."""
-    def of(both: Column) -> Column:
-        t, was = both["t"], both["was"]
-        last = F.size(t) - WINDOW
-        marks = F.filter(F.sequence(F.lit(0), F.greatest(F.size(t) - 1, F.lit(0))), lambda p: t[p] != was[p])
-        starts = F.array_distinct(F.flatten(F.transform(marks, lambda p: F.sequence(F.greatest(p - WINDOW + 1, F.lit(0)), F.least(p, last)))))
-        hashed = F.transform(starts, lambda i: F.struct(i.alias("pos"), F.lit(WINDOW).alias("width"), _hash(t, i, WINDOW).alias("h")))
-        return F.when(last >= 0, hashed).otherwise(F.array().cast(_WINDOWS))
-    return let(F.struct(words_.alias("t"), base.alias("was")), of)
+def _hashes(words_: Column, size: int, step: int) -> Column:
+    """The hashes of the runs of ``size`` words that begin at every ``step``-th place."""
+    return let(words_, lambda t: F.when(F.size(t) >= size, F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(t) - size, F.lit(0)), F.lit(step)),
+        lambda i: F.xxhash64(*[t[i + k] for k in range(size)]))).otherwise(F.array().cast("array<bigint>")))
 
 
 def _value(word: Column) -> Column:
@@ -132,6 +127,12 @@ def exact(t: Column, raw: Column) -> Column:
     return F.zip_with(t, raw, lambda t, w: F.when(_placeholder(t), _value(w)).otherwise(t))
 
 
+def exact_words(text: Column) -> Column:
+    """What ``exact`` returns for every reading of a text, from the text as a whole: punctuation stays only as one character between figures."""
+    other = r"[^a-z0-9\x20\x09-\x0D\p{L}\p{M}]"
+    return _split(F.regexp_replace(F.lower(_plain(text)), rf"{other}(?:{other}++|(?<![0-9]{other})|(?![0-9]))", ""))
+
+
 def _slots(t: Column, raw: Column) -> Column:
     """(placeholder's place, value) of one window; values lose case and outer punctuation."""
     return F.transform(raw, lambda w, i: F.when(_placeholder(t[i]), _value(w)))
@@ -155,43 +156,40 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     b = b.withColumns({"in_t": F.when(templated("t", p), cut("t", p)), "in_c": F.when(templated("c", p), cut("c", p))})
     b = b.withColumn("in_e", F.when(F.col("in_t").isNull() | F.col("in_c").isNull(), cut("e", p)))
     b = b.withColumn("bt", F.explode(F.array_distinct(F.array_compact(F.array("in_t", "in_c", "in_e")))))
-    # Words as they are hashed in documents, a hash for each width there is.
-    h = F.coalesce(*[F.when(F.col("width") == k, F.xxhash64(*[F.col("bt")[i] for i in range(k)])) for k in range(1, WINDOW + 1)])
     is_ = lambda c: F.col("bt").eqNullSafe(F.col(c))
-    return b.select(h.alias("h"), "item_id", "bpos", "width", "n", "n_named", "n_all", is_("in_t").alias("plain"), is_("in_c").alias("named"),
+    return b.select(F.xxhash64("bt").alias("h"), "item_id", "bpos", "width", "n", "n_named", "n_all", is_("in_t").alias("plain"), is_("in_c").alias("named"),
                     is_("in_e").alias("exact"), "bt", _slots(F.col("bt"), cut("raw", p)).alias("bslots"))
 
 
 def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per (document, item, offset) with hits: windows matched, of how many, and whether the slots agree."""
     bench = benchmark_windows(benchmark)
-    hashes = bench.select("h").distinct()
-    small = hashes.count() <= BROADCAST_WINDOWS
-    near = F.broadcast if small else (lambda df: df)
     widths = sorted(r.width for r in bench.filter("exact").select("width").distinct().collect())  # WINDOW numbers at most
+    of_width = [F.when(F.col("width") == k, _hashes(F.col("bt"), _block(k), 1)) for k in sorted({*widths, WINDOW})]
+    blocks = bench.select(F.explode(F.coalesce(*of_width)).alias("h")).distinct()
+    small = max(bench.select("h").distinct().count(), blocks.count()) <= BROADCAST_WINDOWS
+    near = F.broadcast if small else (lambda df: df)
     d = docs.select("doc_id", text_key(F.col("text")).alias("tk"), "text")
 
-    def windows(read: Column) -> Column:
-        t, c = read["t"], read["c"]
-        found = F.concat(_hashes(t), _changed_hashes(c, t))
-        if not widths:
-            return found
-        # Of the exact words, windows of full width without a value have been hashed as the template's or the names'.
-        return F.concat(found, let(exact(c, spoken(F.col("text"))), lambda e: F.concat(
-            *[_changed_hashes(e, c) if k == WINDOW else _hashes(e, k) for k in widths])))
-
-    readings = let(marked(F.col("text")), lambda m: F.struct(template(m).alias("t"), named(m).alias("c")))
-    hits = d.select("doc_id", "tk", F.explode(let(readings, windows)).alias("x")).select("doc_id", "tk", "x.*")
-    hits = hits.join(near(hashes), "h", "left_semi")
-    per_doc = hits.distinct().groupBy("doc_id", "tk").agg(F.collect_list(F.struct("pos", "width", "h")).alias("hits"))
+    of = lambda c, k: F.struct(F.lit(k).alias("width"), F.lit(_block(k)).alias("size"), _hashes(c, _block(k), _block(k)).alias("hs"))
+    read = d.select("doc_id", "tk", marked(F.col("text")).alias("m"), *([exact_words(F.col("text")).alias("e")] if widths else []))
+    sets = F.array(of(template(F.col("m")), WINDOW), of(named(F.col("m")), WINDOW), *[of(F.col("e"), k) for k in widths])
+    hits = read.select("doc_id", "tk", F.explode(sets).alias("x")).select("doc_id", "tk", "x.width", "x.size", F.posexplode("x.hs").alias("n", "h"))
+    hits = hits.join(near(blocks), "h", "left_semi").select("doc_id", "tk", "width", "size", (F.col("n") * F.col("size")).alias("block"))
+    per_doc = hits.distinct().groupBy("doc_id", "tk").agg(F.collect_list(F.struct("width", "size", "block")).alias("hits"))
     per_doc = per_doc.select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk"), "hits")
     full = d.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tk") == F.col("_tk")))
     full = full.select("doc_id", "tk", "hits", marked(F.col("text")).alias("m"), spoken(F.col("text")).alias("raw"))
     full = full.withColumns({"t": template(F.col("m")), "c": named(F.col("m"))}).withColumn("e", exact(F.col("c"), F.col("raw")))
+    # The windows of which a block is the first; no window has two.
+    around = lambda x: F.transform(F.filter(F.sequence(x["block"] - x["size"] + 1, x["block"]), lambda p: (p >= 0) & (p + x["width"] <= F.size("m"))),
+                                   lambda p: F.struct(p.alias("pos"), x["width"].alias("width")))
     cut = lambda c, x: F.slice(c, x["pos"] + 1, x["width"])
-    read = lambda x: F.transform(F.array_distinct(F.array(cut("t", x), cut("c", x), cut("e", x))), lambda t: F.struct(
-        x["pos"].alias("pos"), x["h"].alias("h"), t.alias("t"), (t == cut("t", x)).alias("as_plain"), _slots(t, cut("raw", x)).alias("slots")))
-    found = full.select("doc_id", "tk", F.explode(F.flatten(F.transform("hits", read))).alias("x")).select("doc_id", "tk", "x.*")
+    of_window = lambda x: F.transform(F.array_distinct(F.array_compact(F.array(
+        cut("t", x), cut("c", x), F.when(x["width"].isin(widths), cut("e", x))))), lambda t: F.struct(
+        x["pos"].alias("pos"), t.alias("t"), (t == cut("t", x)).alias("as_plain"), _slots(t, cut("raw", x)).alias("slots")))
+    found = full.select("doc_id", "tk", F.explode(F.flatten(F.transform(F.flatten(F.transform("hits", around)), of_window))).alias("x"))
+    found = found.select("doc_id", "tk", "x.*").withColumn("h", F.xxhash64("t"))
     b_side = near(bench) if small else bench
     pairs = (found.join(b_side, "h").filter(F.col("t") == F.col("bt"))
              .select("doc_id", "tk", "item_id", "n", "n_named", "n_all", (F.col("plain") & F.col("as_plain")).alias("plain"), "named", (F.col("pos") - F.col("bpos")).alias("offset"), "bpos",
