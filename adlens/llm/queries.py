@@ -61,7 +61,7 @@ def op9_block_mix(spark, sf_dir):
 
 
 def op10_bwt_repeats(spark, sf_dir):
-    return repeats.strip_repeats(table(spark, sf_dir, "documents"))
+    return repeats.strip_repeats(table(spark, sf_dir, "documents"), passage=repeats.PASSAGE_WORDS)
 
 
 def op11_hilbert_negatives(spark, sf_dir):

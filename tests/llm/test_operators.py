@@ -256,3 +256,39 @@ def test_long_documents_are_cut_without_loss(monkeypatch):
         for w1, w2 in zip(b.column("w1").to_pylist(), b.column("w2").to_pylist()):
             windows += range(w1, w2 + 1)
     assert sorted(windows) == list(range(1000 - 40 + 1))
+
+
+@pytest.mark.parametrize("pool_strings", [4000, 1])
+def test_passages_of_other_documents_are_told(spark, pool_strings):
+    """51 words, under 400 bytes, that two documents hold: nothing is removed, the words are told."""
+    rng = random.Random(11)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(n))
+
+    passage, short, other = prose(51), prose(50), prose(60)
+    assert len(passage) < 400
+    made = [f"{prose(30)} {passage} {prose(30)}" for _ in range(3)]  # in three documents
+    made += [f"{prose(30)}\n{passage.replace(' ', '  ')}\t{prose(30)}", passage]  # other white space; whole text
+    made += [f"{prose(30)} {short} {prose(30)}" for _ in range(2)]  # a word too few
+    made += [f"{prose(9)} {other} {prose(40)} {other} {prose(9)}", prose(200), "", "a b c"]  # twice, but in one document
+    made += [prose(55)] * 2 + [prose(50)] * 2  # equal texts
+    rows = [*enumerate(made), (99, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = [(i, (t or "").split()) for i, t in rows]
+    holders = {}
+    for i, w in cut:
+        for a in range(len(w) - 50):
+            holders.setdefault(tuple(w[a:a + 51]), set()).add(i)
+    want = []
+    for i, w in cut:
+        covered = set()
+        for a in range(len(w) - 50):
+            if len(holders[tuple(w[a:a + 51])]) > 1:
+                covered |= set(range(a, a + 51))
+        want.append((i, len(covered)))
+    got = repeats.strip_repeats(d, pool_strings=pool_strings, passage=repeats.PASSAGE_WORDS).collect()
+    assert sorted((r.doc_id, r.n_passage_words) for r in got) == sorted(want)
+    assert dict(want)[0] == dict(want)[3] == dict(want)[4] == 51 and dict(want)[5] == dict(want)[7] == 0
+    plainly = repeats.strip_repeats(d).collect()
+    assert sorted(tuple(r)[:5] for r in got) == sorted(map(tuple, plainly))
